@@ -2,39 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many batch rows the batch's keys are broadcast over the table's key column.
+# Up to this many batch rows the batch's keys are broadcast over a long history.
 SMALL_BATCH_ROWS = 1_000_000
 # Up to this many distinct days prune the fact's partitions by a literal list.
 MOST_DAYS = 1_000
 
 
-def absent_rows(
-    rows: DataFrame, existing: DataFrame, key: str, batch_rows: int | None = None
-) -> DataFrame:
+def absent_rows(rows: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Rows (unique on ``key``) whose key is not in ``existing``.
 
-    A batch known to be small meets a long history: its keys are broadcast, the history
-    is filtered to them where it lies and is never shuffled. Otherwise both sides are
-    joined on the key the batch is already partitioned by.
+    Rows that were grouped by the key are already partitioned by it.
+    """
+    return rows.join(existing.select(key), key, "left_anti")
+
+
+def held_keys(existing: DataFrame, batch_keys: DataFrame, batch_rows: int) -> DataFrame:
+    """The keys of ``existing`` that matter to a batch of ``batch_rows`` rows.
+
+    A small batch meets a long history: its keys are broadcast, the history is filtered to
+    them where it lies and is never shuffled. A large batch gets the history as it is.
     """
-    known = existing.select(key)
-    if batch_rows is not None and batch_rows <= SMALL_BATCH_ROWS:
-        known = known.join(F.broadcast(rows.select(key)), key, "left_semi")
-    return rows.join(known, key, "left_anti")
+    key = batch_keys.columns[0]
+    held = existing.select(key)
+    if batch_rows <= SMALL_BATCH_ROWS:
+        return held.join(F.broadcast(batch_keys), key, "left_semi")
+    return held
 
 
-def days_filter(rows: DataFrame) -> Column | None:
-    """Condition selecting the fact days that ``rows`` touch, or None when too many.
+def on_days(rows: DataFrame, days: Collection[int]) -> DataFrame:
+    """The fact's partitions of the given days and of no day; all of them if too many.
 
     A fact key contains its date, so no other day can hold the same key.
     """
-    days = [r["date_id"] for r in rows.select("date_id").distinct().limit(MOST_DAYS + 1).collect()]
     if len(days) > MOST_DAYS:
-        return None
-    condition = F.col("date_id").isin([day for day in days if day is not None])
-    if None in days:
-        condition = condition | F.col("date_id").isNull()
-    return condition
+        return rows
+    day: Column = F.col("date_id")
+    return rows.where(day.isin(sorted(days)) | day.isNull())

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from viewtide import schemas
+from viewtide.functions import dates
 from viewtide.operators import dims, facts, merge, parse
 from viewtide.operators.geo import IpLocator
 from viewtide.session import new_scratch
@@ -25,24 +30,42 @@ def _stage(messages: DataFrame, locator: IpLocator) -> DataFrame:
     return located.select(*[text if name == "value" else name for name in STAGED])
 
 
+def _survey(staged: DataFrame) -> tuple[int, list[int]]:
+    """Number of messages and the days they fall on (a set bounded by the calendar)."""
+    day = dates.date_key(F.col("time_stamp"))
+    found = staged.agg(F.count("*").alias("n"), F.collect_set(day).alias("days")).first()
+    return found["n"], found["days"]
+
+
+def _merge_dimension(
+    warehouse: Warehouse, table: str, logs: DataFrame, batch_id: int, batch_rows: int
+) -> None:
+    rows, key = dims.BUILDERS[table](logs), schemas.PRIMARY_KEYS[table]
+    known = warehouse.before(table, batch_id)
+    if table == "dim_customer":
+        # The one dimension that grows with the traffic.
+        known = merge.held_keys(known, rows.select(key), batch_rows)
+    warehouse.write_batch(table, merge.absent_rows(rows, known, key), batch_id)
+
+
 def _merge_batch(
-    warehouse: Warehouse, staged: DataFrame, batch_id: int, batch_rows: int
+    warehouse: Warehouse, staged: DataFrame, batch_id: int, batch_rows: int, days: list[int]
 ) -> None:
-    """Rejects, then the dimensions, then the fact, each as the batch's own folder."""
+    """Rejects and dimensions side by side, then the fact that refers to them."""
     rejects = staged.where(~F.col("accepted")).select("value")
-    warehouse.write_batch("log_rejects", rejects, batch_id)
     logs = staged.where("accepted")
-    for table, build in dims.BUILDERS.items():
-        rows = build(logs)
-        known = warehouse.before(table, batch_id)
-        new = merge.absent_rows(rows, known, rows.columns[0], batch_rows)
-        warehouse.write_batch(table, new, batch_id)
+    jobs = [lambda: warehouse.write_batch("log_rejects", rejects, batch_id)]
+    jobs += [
+        partial(_merge_dimension, warehouse, table, logs, batch_id, batch_rows)
+        for table in dims.BUILDERS
+    ]
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(inheritable_thread_target(job)) for job in jobs]:
+            done.result()
     rows = facts.fact_rows(logs)
-    known = warehouse.before("fact_product_views", batch_id)
-    days = merge.days_filter(rows)
-    if days is not None:
-        known = known.where(days)
-    new = merge.absent_rows(facts.first_per_fact(rows), known, "fact_id", batch_rows)
+    known = merge.on_days(warehouse.before("fact_product_views", batch_id), days)
+    held = merge.held_keys(known, rows.select("fact_id"), batch_rows)
+    new = merge.absent_rows(facts.first_per_fact(rows), held, "fact_id")
     warehouse.write_batch("fact_product_views", new, batch_id)
 
 
@@ -59,8 +82,8 @@ def load_table_batch(
     staged = _stage(messages, locator)
     staged.write.parquet(path)
     staged = spark.read.schema(staged.schema).parquet(path)
-    rows = staged.count()
-    _merge_batch(warehouse, staged, batch_id, rows)
+    rows, days = _survey(staged)
+    _merge_batch(warehouse, staged, batch_id, rows, days)
     return rows
 
 
@@ -70,9 +93,9 @@ def load_micro_batch(
     """Load a micro-batch; returns its number of messages. An empty one is skipped."""
     staged = _stage(messages, locator).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = staged.count()
+        rows, days = _survey(staged)
         if rows:
-            _merge_batch(warehouse, staged, batch_id, rows)
+            _merge_batch(warehouse, staged, batch_id, rows, days)
         return rows
     finally:
         staged.unpersist()

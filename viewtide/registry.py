@@ -25,20 +25,35 @@ AT_ONCE = {"availableNow": True}
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _messages(spark: SparkSession, sf_dir: str, part: str | None = None) -> DataFrame:
-    return clickstream.messages(spark, sf_dir, part, AS_OF)
+_topics: dict[tuple[str, str], str] = {}
 
 
-def _logs(spark: SparkSession, sf_dir: str, part: str | None = None) -> DataFrame:
-    return parse.parse_logs(_messages(spark, sf_dir, part))
+def _topic(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of JSON text messages, a subfolder per part; written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _topics:
+        path = new_scratch(spark, "topic")
+        for part in clickstream.PARTS:
+            clickstream.messages(spark, sf_dir, part, AS_OF).write.text(f"{path}/{part}")
+        _topics[key] = path
+    return _topics[key]
+
+
+def _messages(spark: SparkSession, sf_dir: str, *parts: str) -> DataFrame:
+    topic = _topic(spark, sf_dir)
+    return read_messages(spark, *[f"{topic}/{part}" for part in parts or clickstream.PARTS])
+
+
+def _logs(spark: SparkSession, sf_dir: str, *parts: str) -> DataFrame:
+    return parse.parse_logs(_messages(spark, sf_dir, *parts))
 
 
 def _locator(spark: SparkSession, sf_dir: str) -> IpLocator:
     return IpLocator(clickstream.ip_ranges(spark, sf_dir))
 
 
-def _located(spark: SparkSession, sf_dir: str, part: str | None = None) -> DataFrame:
-    return _locator(spark, sf_dir).enrich(_logs(spark, sf_dir, part))
+def _located(spark: SparkSession, sf_dir: str, *parts: str) -> DataFrame:
+    return _locator(spark, sf_dir).enrich(_logs(spark, sf_dir, *parts))
 
 
 _loaded: dict[tuple[str, str], Warehouse] = {}
@@ -48,10 +63,10 @@ def load_star(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Star tables written from all messages in two batches, once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _loaded:
-        warehouse = Warehouse(spark, new_scratch(spark, "star")).create()
+        warehouse = Warehouse(spark, new_scratch(spark, "star"))
         locator = _locator(spark, sf_dir)
         load.load_table_batch(warehouse, _messages(spark, sf_dir, "early"), locator, 0)
-        later = _messages(spark, sf_dir, "late").unionByName(_messages(spark, sf_dir, "replay"))
+        later = _messages(spark, sf_dir, "late", "replay")
         load.load_table_batch(warehouse, later, locator, 1)
         _loaded[key] = warehouse
     return _loaded[key]
@@ -209,7 +224,7 @@ def _stream_parts(
 
 
 def stream_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    warehouse = Warehouse(spark, new_scratch(spark, "star")).create()
+    warehouse = Warehouse(spark, new_scratch(spark, "star"))
     locator, checkpoint = _locator(spark, sf_dir), new_scratch(spark, "checkpoint")
     _stream_parts(
         spark,
@@ -220,7 +235,7 @@ def stream_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    warehouse = Warehouse(spark, new_scratch(spark, "raw")).create()
+    warehouse = Warehouse(spark, new_scratch(spark, "raw"))
     checkpoint = new_scratch(spark, "checkpoint")
     _stream_parts(
         spark, sf_dir, lambda stream: jobs.start_raw(stream, warehouse, checkpoint, AT_ONCE)
@@ -238,7 +253,7 @@ def batch_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch, an overlapping one, and the overlapping one once more."""
-    warehouse = Warehouse(spark, new_scratch(spark, "star")).create()
+    warehouse = Warehouse(spark, new_scratch(spark, "star"))
     locator = _locator(spark, sf_dir)
     load.load_micro_batch(warehouse, _messages(spark, sf_dir, "early"), locator, 0)
     for _ in range(2):

@@ -40,13 +40,13 @@ def _epoch(ts: Column) -> Column:
     return days * 86_400 + F.hour(ts) * 3_600 + F.minute(ts) * 60 + F.floor(F.second(ts))
 
 
-def _events(spark: SparkSession, sf_dir: str, part: str | None, split_at: str | None) -> DataFrame:
-    """Events of one part: before or from ``split_at``, or those that are replayed."""
+def _events(spark: SparkSession, sf_dir: str, part: str, split_at: str) -> DataFrame:
+    """Events of one part: before ``split_at``, from it on, or those sent again."""
     events = table(spark, sf_dir, "events")
-    if part in ("early", "late"):
-        bound = F.lit(split_at).cast("timestamp_ntz")
-        return events.where(F.col("ts") < bound if part == "early" else F.col("ts") >= bound)
-    return events.where(F.col("event_id") % REPLAY_EVERY == 0) if part == "replay" else events
+    if part == "replay":
+        return events.where(F.col("event_id") % REPLAY_EVERY == 0)
+    bound = F.lit(split_at).cast("timestamp_ntz")
+    return events.where(F.col("ts") < bound if part == "early" else F.col("ts") >= bound)
 
 
 def _records(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
@@ -118,22 +118,12 @@ def _malformed(events: DataFrame) -> DataFrame:
     return events.where(event % MALFORMED_EVERY == 0).select(line.alias("value"))
 
 
-def messages(
-    spark: SparkSession, sf_dir: str, part: str | None = None, split_at: str | None = None
-) -> DataFrame:
-    """JSON text messages: all of them, or one of ``PARTS``."""
-
-    def encode(events: DataFrame) -> DataFrame:
-        records = _records(spark, sf_dir, events)
-        return records.select(F.to_json(F.struct(*schemas.LOG_FIELDS)).alias("value"))
-
+def messages(spark: SparkSession, sf_dir: str, part: str, split_at: str) -> DataFrame:
+    """JSON text messages of one of ``PARTS``, with the malformed lines of that part."""
     events = _events(spark, sf_dir, part, split_at)
-    if part == "replay":
-        return encode(events)
-    lines = encode(events).unionByName(_malformed(events))
-    if part is None:
-        lines = lines.unionByName(encode(_events(spark, sf_dir, "replay", None)))
-    return lines
+    records = _records(spark, sf_dir, events)
+    lines = records.select(F.to_json(F.struct(*schemas.LOG_FIELDS)).alias("value"))
+    return lines if part == "replay" else lines.unionByName(_malformed(events))
 
 
 def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,9 +47,9 @@ class KafkaTopic:
         return self._connection() | {"topic": self.topic}
 
 
-def read_messages(spark: SparkSession, path: str) -> DataFrame:
-    """A folder of text files, one message per line."""
-    return spark.read.text(path)
+def read_messages(spark: SparkSession, *paths: str) -> DataFrame:
+    """Folders of text files, one message per line."""
+    return spark.read.text(list(paths))
 
 
 def read_message_stream(

@@ -7,6 +7,7 @@ it was. What a batch may skip is decided from the folders of earlier batches onl
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,16 +24,16 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def create(self) -> Warehouse:
-        """Create the folders of all tables; existing rows stay."""
-        for table, fields in schemas.TABLES.items():
-            empty = self.spark.createDataFrame([], schemas.ddl({**fields, "batch_id": "bigint"}))
-            empty.write.mode("append").partitionBy("batch_id").parquet(self.path(table))
-        return self
-
     def with_batches(self, table: str) -> DataFrame:
+        """All rows with their ``batch_id``; no rows before the first batch."""
         fields = {**schemas.TABLES[table], "batch_id": "bigint"}
-        rows = self.spark.read.schema(schemas.ddl(fields)).parquet(self.path(table))
+        try:
+            rows = self.spark.read.schema(schemas.ddl(fields)).parquet(self.path(table))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            nulls = ", ".join(f"CAST(NULL AS {kind}) AS `{name}`" for name, kind in fields.items())
+            return self.spark.sql(f"SELECT {nulls} WHERE false")
         return rows.select(*fields)
 
     def table(self, table: str) -> DataFrame:
@@ -60,7 +61,7 @@ class Warehouse:
 
         The copy takes the highest batch number, so later batches still follow it.
         """
-        copy = Warehouse(self.spark, root).create()
+        copy = Warehouse(self.spark, root)
         for table in schemas.TABLES:
             rows = self.with_batches(table)
             last = rows.agg(F.max("batch_id").alias("last")).first()["last"]
