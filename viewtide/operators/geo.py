@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewtide import schemas
@@ -52,9 +52,9 @@ class IpLocator:
         if self.broadcasts:
             self.fine, self.wide = F.broadcast(self.fine), F.broadcast(self.wide)
 
-    def _match(self, rows: DataFrame, number: Column) -> DataFrame:
-        columns = rows.columns
-        numbered = rows.withColumn("_ip", number)
+    def _match(self, rows: DataFrame) -> DataFrame:
+        """Rows having a numeric address ``_ip``, with their ``loc_info``."""
+        found = rows
         for tag, bits, blocks in (
             ("fine", FINE_BITS, self.fine),
             ("wide", WIDE_BITS, self.wide),
@@ -62,21 +62,22 @@ class IpLocator:
             inside = (F.shiftright("_ip", bits) == F.col(f"{tag}_block")) & F.col("_ip").between(
                 F.col(f"{tag}_from"), F.col(f"{tag}_to")
             )
-            numbered = numbered.join(blocks, inside, "left")
-        found = F.coalesce("fine_loc", "wide_loc").alias("loc_info")
-        return numbered.select(*columns, found)
+            found = found.join(blocks, inside, "left")
+        return found.select(*rows.columns, F.coalesce("fine_loc", "wide_loc").alias("loc_info"))
 
     def enrich(self, logs: DataFrame, hot_rows: int = lookup.HOT_ROWS) -> DataFrame:
         """Logs with ``loc_info``; NULL when the address is malformed or in no range.
 
         With ranges too big to broadcast, each distinct address is looked up once and
-        the answers are joined back.
+        the answers are joined back; that reads ``logs`` more than once.
         """
+        numbered = logs.withColumn("_ip", web.ipv4_number(F.col("ip")))
         if self.broadcasts:
-            return self._match(logs, web.ipv4_number(F.col("ip")))
-        addresses = logs.select("ip").where(F.col("ip").isNotNull()).distinct()
-        answers = self._match(addresses, web.ipv4_number(F.col("ip")))
-        return lookup.spread_left_join(logs, answers, "ip", hot_rows)
+            return self._match(numbered).drop("_ip")
+        addresses = numbered.where(F.col("_ip").isNotNull()).groupBy("_ip").count()
+        answers = self._match(addresses)
+        hot = answers.where(F.col("count") >= hot_rows).drop("count")
+        return lookup.spread_left_join(numbered, answers.drop("count"), "_ip", hot).drop("_ip")
 
 
 def geo_enrich(logs: DataFrame, ranges: DataFrame) -> DataFrame:

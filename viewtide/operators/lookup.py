@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,40 +27,52 @@ def fits_broadcast(table: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return measured_bytes(table) <= limit
 
 
-def spread_left_join(
+def hot_entries(
     left: DataFrame, right: DataFrame, key: str, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """For each key with ``hot_rows`` rows or more in ``left``: its entry of ``right``.
+
+    The rows are counted per key first; at most rows / ``hot_rows`` entries are left.
+    """
+    counts = left.where(F.col(key).isNotNull()).groupBy(key).count()
+    hot_keys = counts.where(F.col("count") >= hot_rows).select(key)
+    found = right.join(F.broadcast(hot_keys), key, "left_semi")
+    return hot_keys.join(F.broadcast(found), key, "left")
+
+
+def _slot(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(SPREAD))
+
+
+def spread_left_join(
+    left: DataFrame, right: DataFrame, key: str, hot: DataFrame
 ) -> DataFrame:
     """``left`` left-joined to ``right`` (unique on ``key``) through a shuffle, skew-proof.
 
-    Rows of hot keys take their match from a broadcast of at most rows / ``hot_rows``
-    entries. Only the others go through the shuffled join; hot and NULL keys enter it
-    as NULL, spread by their map partition, which a retried task reproduces.
+    Rows of hot keys take their match from the broadcast of ``hot`` (see
+    ``hot_entries``); only the others are matched in the shuffled join. Hot and NULL keys
+    match nothing there and are spread by their map partition, which a retried task
+    reproduces.
     """
     values = [c for c in right.columns if c != key]
-    hot_keys = left.groupBy(key).count().where(F.col("count") >= hot_rows)
-    hot_keys = hot_keys.where(F.col(key).isNotNull()).select(key)
-    matched = right.join(F.broadcast(hot_keys), key, "left_semi")
-    hot = hot_keys.join(F.broadcast(matched), key, "left").select(
-        F.col(key).alias("_hot_key"), F.struct(*values).alias("_hot")
-    )
+    hot = hot.select(F.col(key).alias("_hot_key"), F.struct(*values).alias("_hot"))
     cold = right.select(
-        F.col(key).alias("_cold_key"), F.lit(0).alias("_cold_slot"), F.struct(*values).alias("_cold")
+        F.col(key).alias("_cold_key"),
+        _slot(F.col(key)).alias("_cold_slot"),
+        F.struct(*values).alias("_cold"),
     )
     routed = left.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+    routed = routed.withColumn("_key", F.when(F.col("_hot_key").isNull(), F.col(key)))
+    anywhere = F.pmod(F.spark_partition_id(), F.lit(SPREAD)).cast("bigint")
     routed = routed.withColumn(
-        "_key", F.when(F.col("_hot_key").isNull(), F.col(key))
-    ).withColumn(
-        "_slot",
-        F.when(F.col("_key").isNull(), F.pmod(F.spark_partition_id(), F.lit(SPREAD))).otherwise(0),
+        "_slot", F.when(F.col("_key").isNull(), anywhere).otherwise(_slot(F.col("_key")))
     )
     joined = routed.join(
         cold,
         (F.col("_key") == F.col("_cold_key")) & (F.col("_slot") == F.col("_cold_slot")),
         "left",
     )
-    chosen = [
-        F.coalesce(F.col(f"_hot.{v}"), F.col(f"_cold.{v}")).alias(v) for v in values
-    ]
+    chosen = [F.coalesce(F.col(f"_hot.{v}"), F.col(f"_cold.{v}")).alias(v) for v in values]
     return joined.select(*[F.col(c) for c in left.columns], *chosen)
 
 
@@ -72,4 +84,4 @@ def lookup(
         return left.join(F.broadcast(right), key, "left").select(
             *left.columns, *[c for c in right.columns if c != key]
         )
-    return spread_left_join(left, right, key)
+    return spread_left_join(left, right, key, hot_entries(left, right, key))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ENTRIES = "map<string,map<int,bigint>>"
+ENTRIES = "map<string,map<string,bigint>>"
 
 
 def consumer_lag(offsets: DataFrame, *by: str) -> DataFrame:
@@ -27,7 +27,8 @@ def offsets_from_json(progress: DataFrame) -> DataFrame:
     topics = ends.select(F.explode("ends").alias("topic", "parts"), "read")
     parts = topics.select("topic", F.explode("parts").alias("partition", "end_offset"), "read")
     committed = F.try_element_at(F.try_element_at("read", F.col("topic")), F.col("partition"))
-    return parts.select("topic", "partition", "end_offset", committed.alias("committed_offset"))
+    number = F.col("partition").cast("int").alias("partition")
+    return parts.select("topic", number, "end_offset", committed.alias("committed_offset"))
 
 
 def expected_partitions(topics: DataFrame, partitions: int) -> DataFrame:

@@ -23,13 +23,21 @@ STAGED = [
 ]
 
 
-def _stage(messages: DataFrame, locator: IpLocator) -> DataFrame:
-    """Parsed and located messages; the text is kept only for rejects."""
-    located = locator.enrich(parse.parse_messages(messages))
+def _locate(parsed: DataFrame, locator: IpLocator) -> DataFrame:
+    """Parsed messages with their location; the text is kept only for rejects."""
     text = F.when(~F.col("accepted"), F.col("value")).alias("value")
+    located = locator.enrich(parsed)
     return located.select(*[text if name == "value" else name for name in STAGED])
 
 
+def _written(rows: DataFrame, label: str) -> DataFrame:
+    """The rows as a table of their own in the shared folder."""
+    spark = rows.sparkSession
+    path = new_scratch(spark, label)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def _survey(staged: DataFrame) -> tuple[int, list[int]]:
     """Number of messages and the days they fall on (a set bounded by the calendar)."""
     day = dates.date_key(F.col("time_stamp"))
@@ -59,8 +67,9 @@ def _merge_batch(
         partial(_merge_dimension, warehouse, table, logs, batch_id, batch_rows)
         for table in dims.BUILDERS
     ]
+    inherit = inheritable_thread_target(warehouse.spark)
     with ThreadPoolExecutor(len(jobs)) as pool:
-        for done in [pool.submit(inheritable_thread_target(job)) for job in jobs]:
+        for done in [pool.submit(inherit(job)) for job in jobs]:
             done.result()
     rows = facts.fact_rows(logs)
     known = merge.on_days(warehouse.before("fact_product_views", batch_id), days)
@@ -77,11 +86,11 @@ def load_table_batch(
     The parsed rows are written once, so the JSON is read once, every table scans only
     its columns, and lost executors cost no re-parsing.
     """
-    spark = warehouse.spark
-    path = new_scratch(spark, "staged")
-    staged = _stage(messages, locator)
-    staged.write.parquet(path)
-    staged = spark.read.schema(staged.schema).parquet(path)
+    parsed = parse.parse_messages(messages)
+    if not locator.broadcasts:
+        # The addresses are then read more than once.
+        parsed = _written(parsed, "parsed")
+    staged = _written(_locate(parsed, locator), "staged")
     rows, days = _survey(staged)
     _merge_batch(warehouse, staged, batch_id, rows, days)
     return rows
@@ -91,7 +100,8 @@ def load_micro_batch(
     warehouse: Warehouse, messages: DataFrame, locator: IpLocator, batch_id: int
 ) -> int:
     """Load a micro-batch; returns its number of messages. An empty one is skipped."""
-    staged = _stage(messages, locator).persist(StorageLevel.MEMORY_AND_DISK)
+    staged = _locate(parse.parse_messages(messages), locator)
+    staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows, days = _survey(staged)
         if rows:
