@@ -9,6 +9,10 @@ from viewtide import schemas
 from viewtide.functions import keys, web
 from viewtide.operators import lookup
 
+# Range tables measured at up to this size are broadcast; filed by block they take about
+# twice as much.
+BROADCAST_BYTES = 512 * 1024 * 1024
+
 # Block sizes as powers of two: a /24 holds 2**8 addresses, a /16 holds 2**16.
 FINE_BITS = 8
 WIDE_BITS = 16
@@ -42,13 +46,14 @@ class IpLocator:
     one block carries most of the traffic.
     """
 
-    def __init__(self, ranges: DataFrame, broadcast_bytes: int = lookup.BROADCAST_BYTES):
+    def __init__(self, ranges: DataFrame, broadcast_bytes: int = BROADCAST_BYTES):
         located = locations(ranges)
         short = (F.col("ip_to") - F.col("ip_from")) < (1 << FINE_BITS)
         self.fine = _blocks(located.where(short), FINE_BITS, "fine")
         self.wide = _blocks(located.where(~short), WIDE_BITS, "wide")
-        # A range is filed twice at most, save for the 65,536 /16 blocks in all.
-        self.broadcasts = lookup.fits_broadcast(ranges, broadcast_bytes // 2)
+        # A short range is filed twice at most; the others fill 65,536 blocks in all, and
+        # one more per range.
+        self.broadcasts = lookup.fits_broadcast(ranges, broadcast_bytes)
         if self.broadcasts:
             self.fine, self.wide = F.broadcast(self.fine), F.broadcast(self.wide)
 
@@ -69,10 +74,11 @@ class IpLocator:
         """Logs with ``loc_info``; NULL when the address is malformed or in no range.
 
         With ranges too big to broadcast, each distinct address is looked up once and
-        the answers are joined back; that reads ``logs`` more than once.
+        the answers are joined back; that reads ``logs`` more than once, so a stream joins
+        the ranges row by row instead.
         """
         numbered = logs.withColumn("_ip", web.ipv4_number(F.col("ip")))
-        if self.broadcasts:
+        if self.broadcasts or logs.isStreaming:
             return self._match(numbered).drop("_ip")
         addresses = numbered.where(F.col("_ip").isNotNull()).groupBy("_ip").count()
         answers = self._match(addresses)

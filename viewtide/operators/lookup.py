@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A table is broadcast only when its measured size is at most this many bytes.
-BROADCAST_BYTES = 512 * 1024 * 1024
+BROADCAST_BYTES = 256 * 1024 * 1024
 # A key is hot from this many rows on; there are at most rows / HOT_ROWS such keys.
 HOT_ROWS = 1_000_000
 ROW_OVERHEAD = 32

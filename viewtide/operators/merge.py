@@ -7,8 +7,9 @@ from collections.abc import Collection
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this many batch rows the batch's keys are broadcast over a long history.
+# A batch is small when it has at most this many rows and bytes of keys.
 SMALL_BATCH_ROWS = 1_000_000
+SMALL_BATCH_KEY_BYTES = 64 * 1024 * 1024
 # Up to this many distinct days prune the fact's partitions by a literal list.
 MOST_DAYS = 1_000
 
@@ -21,17 +22,19 @@ def absent_rows(rows: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     return rows.join(existing.select(key), key, "left_anti")
 
 
-def held_keys(existing: DataFrame, batch_keys: DataFrame, batch_rows: int) -> DataFrame:
-    """The keys of ``existing`` that matter to a batch of ``batch_rows`` rows.
+def is_small(rows: int, key_bytes: int) -> bool:
+    return rows <= SMALL_BATCH_ROWS and key_bytes <= SMALL_BATCH_KEY_BYTES
+
+
+def held_keys(existing: DataFrame, batch_keys: DataFrame, small: bool) -> DataFrame:
+    """The keys of ``existing`` that matter to a batch.
 
     A small batch meets a long history: its keys are broadcast, the history is filtered to
     them where it lies and is never shuffled. A large batch gets the history as it is.
     """
     key = batch_keys.columns[0]
     held = existing.select(key)
-    if batch_rows <= SMALL_BATCH_ROWS:
-        return held.join(F.broadcast(batch_keys), key, "left_semi")
-    return held
+    return held.join(F.broadcast(batch_keys), key, "left_semi") if small else held
 
 
 def on_days(rows: DataFrame, days: Collection[int]) -> DataFrame:

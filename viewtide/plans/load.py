@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import partial
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -38,33 +39,46 @@ def _written(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def _survey(staged: DataFrame) -> tuple[int, list[int]]:
-    """Number of messages and the days they fall on (a set bounded by the calendar)."""
+@dataclass(frozen=True)
+class Survey:
+    """What one pass over a staged batch tells about it."""
+
+    rows: int
+    small: bool
+    days: list[int]
+
+
+def _survey(staged: DataFrame) -> Survey:
+    """Count the messages, their device ids' bytes and their days (bounded by the calendar)."""
     day = dates.date_key(F.col("time_stamp"))
-    found = staged.agg(F.count("*").alias("n"), F.collect_set(day).alias("days")).first()
-    return found["n"], found["days"]
+    found = staged.agg(
+        F.count("*").alias("n"),
+        F.coalesce(F.sum(F.octet_length("device_id")), F.lit(0)).alias("key_bytes"),
+        F.collect_set(day).alias("days"),
+    ).first()
+    return Survey(found["n"], merge.is_small(found["n"], found["key_bytes"]), found["days"])
 
 
 def _merge_dimension(
-    warehouse: Warehouse, table: str, logs: DataFrame, batch_id: int, batch_rows: int
+    warehouse: Warehouse, table: str, logs: DataFrame, batch_id: int, small: bool
 ) -> None:
     rows, key = dims.BUILDERS[table](logs), schemas.PRIMARY_KEYS[table]
     known = warehouse.before(table, batch_id)
     if table == "dim_customer":
         # The one dimension that grows with the traffic.
-        known = merge.held_keys(known, rows.select(key), batch_rows)
+        known = merge.held_keys(known, rows.select(key), small)
     warehouse.write_batch(table, merge.absent_rows(rows, known, key), batch_id)
 
 
 def _merge_batch(
-    warehouse: Warehouse, staged: DataFrame, batch_id: int, batch_rows: int, days: list[int]
+    warehouse: Warehouse, staged: DataFrame, batch_id: int, survey: Survey
 ) -> None:
     """Rejects and dimensions side by side, then the fact that refers to them."""
     rejects = staged.where(~F.col("accepted")).select("value")
     logs = staged.where("accepted")
     jobs = [lambda: warehouse.write_batch("log_rejects", rejects, batch_id)]
     jobs += [
-        partial(_merge_dimension, warehouse, table, logs, batch_id, batch_rows)
+        partial(_merge_dimension, warehouse, table, logs, batch_id, survey.small)
         for table in dims.BUILDERS
     ]
     inherit = inheritable_thread_target(warehouse.spark)
@@ -72,8 +86,8 @@ def _merge_batch(
         for done in [pool.submit(inherit(job)) for job in jobs]:
             done.result()
     rows = facts.fact_rows(logs)
-    known = merge.on_days(warehouse.before("fact_product_views", batch_id), days)
-    held = merge.held_keys(known, rows.select("fact_id"), batch_rows)
+    known = merge.on_days(warehouse.before("fact_product_views", batch_id), survey.days)
+    held = merge.held_keys(known, rows.select("fact_id"), survey.small)
     new = merge.absent_rows(facts.first_per_fact(rows), held, "fact_id")
     warehouse.write_batch("fact_product_views", new, batch_id)
 
@@ -91,9 +105,9 @@ def load_table_batch(
         # The addresses are then read more than once.
         parsed = _written(parsed, "parsed")
     staged = _written(_locate(parsed, locator), "staged")
-    rows, days = _survey(staged)
-    _merge_batch(warehouse, staged, batch_id, rows, days)
-    return rows
+    survey = _survey(staged)
+    _merge_batch(warehouse, staged, batch_id, survey)
+    return survey.rows
 
 
 def load_micro_batch(
@@ -103,9 +117,9 @@ def load_micro_batch(
     staged = _locate(parse.parse_messages(messages), locator)
     staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows, days = _survey(staged)
-        if rows:
-            _merge_batch(warehouse, staged, batch_id, rows, days)
-        return rows
+        survey = _survey(staged)
+        if survey.rows:
+            _merge_batch(warehouse, staged, batch_id, survey)
+        return survey.rows
     finally:
         staged.unpersist()

@@ -1,6 +1,6 @@
 """The reports over the star tables.
 
-Each takes a ``Star`` and the day to report on (today when None). The day becomes a
+Each takes a ``Warehouse`` and the day to report on (today when None). The day becomes a
 literal date key, so the scan of the fact reads that day's partitions only. Counts are
 taken per key before any join to a dimension: a busy key is one row by then.
 """
@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,38 +20,25 @@ from viewtide.sources.warehouse import Warehouse
 Day = dt.date | str | None
 
 
-@dataclass(frozen=True)
-class Star:
-    """The star tables as DataFrames."""
-
-    fact_product_views: DataFrame
-    dim_product: DataFrame
-    dim_store: DataFrame
-    dim_location: DataFrame
-    dim_customer: DataFrame
-    dim_date: DataFrame
-
-    @staticmethod
-    def of(warehouse: Warehouse) -> Star:
-        return Star(**{name: warehouse.table(name) for name in schemas.PRIMARY_KEYS})
-
-    def query(self, sql: str, params: Mapping[str, object] | None = None) -> DataFrame:
-        """Run SQL text over the star tables by name, with ``:name`` parameters."""
-        for name in schemas.PRIMARY_KEYS:
-            getattr(self, name).createOrReplaceTempView(name)
-        return self.fact_product_views.sparkSession.sql(sql, args=dict(params or {}))
+def query(
+    warehouse: Warehouse, sql: str, params: Mapping[str, object] | None = None
+) -> DataFrame:
+    """Run SQL text over the star tables by name, with ``:name`` parameters."""
+    for name in schemas.PRIMARY_KEYS:
+        warehouse.table(name).createOrReplaceTempView(name)
+    return warehouse.spark.sql(sql, args=dict(params or {}))
 
 
 def _day(as_of: Day) -> Column:
     return F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
 
 
-def views_of_day(star: Star, as_of: Day = None) -> DataFrame:
+def views_of_day(warehouse: Warehouse, as_of: Day = None) -> DataFrame:
     """Fact rows of one day that is in the date dimension."""
     day = _day(as_of)
-    views = star.fact_product_views.where(F.col("date_id") == dates.date_key_of(day))
+    views = warehouse.table("fact_product_views").where(F.col("date_id") == dates.date_key_of(day))
     # date_id is the dimension's primary key: this side has one row at most.
-    known = star.dim_date.where(
+    known = warehouse.table("dim_date").where(
         (F.col("full_date") == day) & (F.col("date_id") == dates.date_key_of(day))
     )
     return views.join(F.broadcast(known.select("date_id")), "date_id", "left_semi")
@@ -86,48 +72,48 @@ def _by_hour(views: DataFrame) -> DataFrame:
     ).orderBy("view_hour")
 
 
-def top_products(star: Star, as_of: Day = None, limit: int = 10) -> DataFrame:
-    views = views_of_day(star, as_of).where(F.col("product_id").isNotNull())
+def top_products(warehouse: Warehouse, as_of: Day = None, limit: int = 10) -> DataFrame:
+    views = views_of_day(warehouse, as_of).where(F.col("product_id").isNotNull())
     return _ranked(_count(views, "product_id"), "product_id").limit(limit)
 
 
-def top_countries(star: Star, as_of: Day = None, limit: int = 10) -> DataFrame:
-    places = _count(views_of_day(star, as_of), "location_id")
-    countries = _through(places, star.dim_location, "location_id", "country_name")
+def top_countries(warehouse: Warehouse, as_of: Day = None, limit: int = 10) -> DataFrame:
+    places = _count(views_of_day(warehouse, as_of), "location_id")
+    countries = _through(places, warehouse.table("dim_location"), "location_id", "country_name")
     return _ranked(countries, "country_name").limit(limit)
 
 
-def hourly_traffic(star: Star, as_of: Day = None) -> DataFrame:
-    return _by_hour(views_of_day(star, as_of))
+def hourly_traffic(warehouse: Warehouse, as_of: Day = None) -> DataFrame:
+    return _by_hour(views_of_day(warehouse, as_of))
 
 
-def user_agents(star: Star, as_of: Day = None) -> DataFrame:
-    customers = _count(views_of_day(star, as_of), "customer_id")
-    agents = _through(customers, star.dim_customer, "customer_id", "user_agent")
+def user_agents(warehouse: Warehouse, as_of: Day = None) -> DataFrame:
+    customers = _count(views_of_day(warehouse, as_of), "customer_id")
+    agents = _through(customers, warehouse.table("dim_customer"), "customer_id", "user_agent")
     return _ranked(agents, "user_agent")
 
 
-def top_referrers(star: Star, as_of: Day = None, limit: int = 5) -> DataFrame:
-    counts = _count(views_of_day(star, as_of), "referrer_url")
+def top_referrers(warehouse: Warehouse, as_of: Day = None, limit: int = 5) -> DataFrame:
+    counts = _count(views_of_day(warehouse, as_of), "referrer_url")
     return _ranked(counts, "referrer_url").limit(limit)
 
 
-def stores_by_country(star: Star, country: str, as_of: Day = None) -> DataFrame:
-    places = star.dim_location.where(F.col("country_name") == country)
-    counts = _count(views_of_day(star, as_of), "store_id", "location_id")
+def stores_by_country(warehouse: Warehouse, country: str, as_of: Day = None) -> DataFrame:
+    places = warehouse.table("dim_location").where(F.col("country_name") == country)
+    counts = _count(views_of_day(warehouse, as_of), "store_id", "location_id")
     stores = _through(counts, places, "location_id", "country_name")
     return _ranked(stores.select("store_id", "views"), "store_id")
 
 
-def product_hourly(star: Star, product_id: str, as_of: Day = None) -> DataFrame:
-    return _by_hour(views_of_day(star, as_of).where(F.col("product_id") == product_id))
+def product_hourly(warehouse: Warehouse, product_id: str, as_of: Day = None) -> DataFrame:
+    return _by_hour(views_of_day(warehouse, as_of).where(F.col("product_id") == product_id))
 
 
-def browser_os_hourly(star: Star, as_of: Day = None) -> DataFrame:
+def browser_os_hourly(warehouse: Warehouse, as_of: Day = None) -> DataFrame:
     """Views per hour, browser family and operating system family."""
-    views = views_of_day(star, as_of).withColumn("view_hour", F.hour("time_stamp"))
+    views = views_of_day(warehouse, as_of).withColumn("view_hour", F.hour("time_stamp"))
     customers = _count(views, "view_hour", "customer_id")
-    agents = _through(customers, star.dim_customer, "customer_id", "user_agent")
+    agents = _through(customers, warehouse.table("dim_customer"), "customer_id", "user_agent")
     families = agents.select(
         "view_hour",
         web.browser_family(F.col("user_agent")).alias("browser"),

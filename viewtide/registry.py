@@ -28,7 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 _topics: dict[tuple[str, str], str] = {}
 
 
-def _topic(spark: SparkSession, sf_dir: str) -> str:
+def write_topic(spark: SparkSession, sf_dir: str) -> str:
     """Folder of JSON text messages, a subfolder per part; written once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _topics:
@@ -40,7 +40,7 @@ def _topic(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _messages(spark: SparkSession, sf_dir: str, *parts: str) -> DataFrame:
-    topic = _topic(spark, sf_dir)
+    topic = write_topic(spark, sf_dir)
     return read_messages(spark, *[f"{topic}/{part}" for part in parts or clickstream.PARTS])
 
 
@@ -72,10 +72,6 @@ def load_star(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _loaded[key]
 
 
-def _star(spark: SparkSession, sf_dir: str) -> reports.Star:
-    return reports.Star.of(load_star(spark, sf_dir))
-
-
 # -- parse ---------------------------------------------------------------------------
 
 
@@ -162,35 +158,35 @@ def fact_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_products(_star(spark, sf_dir), AS_OF)
+    return reports.top_products(load_star(spark, sf_dir), AS_OF)
 
 
 def report_top_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_countries(_star(spark, sf_dir), AS_OF)
+    return reports.top_countries(load_star(spark, sf_dir), AS_OF)
 
 
 def report_hourly_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.hourly_traffic(_star(spark, sf_dir), AS_OF)
+    return reports.hourly_traffic(load_star(spark, sf_dir), AS_OF)
 
 
 def report_user_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.user_agents(_star(spark, sf_dir), AS_OF)
+    return reports.user_agents(load_star(spark, sf_dir), AS_OF)
 
 
 def report_top_referrers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_referrers(_star(spark, sf_dir), AS_OF)
+    return reports.top_referrers(load_star(spark, sf_dir), AS_OF)
 
 
 def report_stores_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.stores_by_country(_star(spark, sf_dir), COUNTRY, AS_OF)
+    return reports.stores_by_country(load_star(spark, sf_dir), COUNTRY, AS_OF)
 
 
 def report_product_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.product_hourly(_star(spark, sf_dir), PRODUCT, AS_OF)
+    return reports.product_hourly(load_star(spark, sf_dir), PRODUCT, AS_OF)
 
 
 def report_browser_os_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.browser_os_hourly(_star(spark, sf_dir), AS_OF)
+    return reports.browser_os_hourly(load_star(spark, sf_dir), AS_OF)
 
 
 def domain_log_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,7 +195,8 @@ def domain_log_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def star_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL text over the star tables with a bound parameter."""
-    return _star(spark, sf_dir).query(
+    return reports.query(
+        load_star(spark, sf_dir),
         """SELECT l.country_name, f.store_id, COUNT(*) AS views
         FROM fact_product_views f
         JOIN dim_location l ON f.location_id = l.location_id
