@@ -129,10 +129,22 @@ def test_relay_keeps_every_byte(spark, messages_of):
     lines = ['{"id":"é", "n": 1}', "not json", "", '{"id":"💍"}']
     messages_of(*lines).write.text(source)
     stream = read_message_stream(spark, source)
-    jobs.start_relay(stream, target, new_scratch(spark, "cp"), {"availableNow": True}).awaitTermination()
+    query = jobs.start_relay(stream, target, new_scratch(spark, "cp"), {"availableNow": True})
+    query.awaitTermination()
+    counts = query.recentProgress[0].observedMetrics["messages"]
+    assert (counts["row_count"], counts["reject_count"]) == (4, 2)
     assert sorted(r["value"] for r in spark.read.text(target).collect()) == sorted(lines)
 
 
+def test_raw_landing_keeps_rejects(spark, messages_of, warehouse):
+    source = new_scratch(spark, "in")
+    messages_of(view(1), "broken", view(2)).write.text(source)
+    stream = read_message_stream(spark, source)
+    jobs.start_raw(stream, warehouse, new_scratch(spark, "cp"), registry.AT_ONCE).awaitTermination()
+    assert sorted(r["id"] for r in warehouse.table("user_log_raw").collect()) == ["1", "2"]
+    assert rows(warehouse.with_batches("user_log_raw_rejects")) == [("broken", 0)]
+
+
 def test_stream_reader_limits_files(spark, messages_of):
     source = new_scratch(spark, "in")
     for number in range(3):

@@ -90,15 +90,15 @@ def fact_via_dim_joins(
         "customer_id": F.col("device_id"),
         "date_id": dates.date_key(F.col("time_stamp")),
     }
-    rows = located.select(
-        *[c for c in located.columns],
-        *[column.alias(f"_{name}") for name, column in source.items()],
+    keyed = located.select(
+        *located.columns, *[column.alias(f"_{name}") for name, column in source.items()]
     )
+    rows = keyed
     for name, table in schemas.FOREIGN_KEYS.items():
         known = dimensions[table].select(
             F.col(name).alias(f"_{name}"), F.col(name).alias(f"_dim_{name}")
         )
-        rows = lookup.lookup(rows, known, f"_{name}", broadcast_bytes)
+        rows = lookup.lookup(rows, known, f"_{name}", broadcast_bytes, keyed)
     return first_per_fact(_project(rows, {name: F.col(f"_dim_{name}") for name in source}))
 
 

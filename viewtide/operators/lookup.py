@@ -77,11 +77,20 @@ def spread_left_join(
 
 
 def lookup(
-    left: DataFrame, right: DataFrame, key: str, limit: int = BROADCAST_BYTES
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    limit: int = BROADCAST_BYTES,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join to a table unique on ``key``: broadcast when it fits, else spread."""
+    """Left join to a table unique on ``key``: broadcast when it fits, else spread.
+
+    ``counted`` holds the same keys as ``left`` and is cheaper to read: in a chain of
+    lookups, the rows before the first of them.
+    """
     if fits_broadcast(right, limit):
         return left.join(F.broadcast(right), key, "left").select(
             *left.columns, *[c for c in right.columns if c != key]
         )
-    return spread_left_join(left, right, key, hot_entries(left, right, key))
+    hot = hot_entries(left if counted is None else counted, right, key)
+    return spread_left_join(left, right, key, hot)

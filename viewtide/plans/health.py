@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from viewtide.operators import parse
+
 ENTRIES = "map<string,map<string,bigint>>"
 
 
@@ -54,6 +56,12 @@ def pipeline_freshness(fact: DataFrame, as_of: str) -> DataFrame:
     )
 
 
+def message_counts() -> list[Column]:
+    """Aggregates over messages: how many there are, and how many are no log."""
+    rejected = ~parse.is_log(F.col("value").cast("string"))
+    return [F.count(F.lit(1)).alias("row_count"), F.count_if(rejected).alias("reject_count")]
+
+
 def batch_row_counts(rows: DataFrame) -> DataFrame:
     """Rows per load batch of a table with ``batch_id``."""
     return rows.groupBy("batch_id").agg(F.count("*").alias("row_count"))

@@ -123,3 +123,18 @@ def load_micro_batch(
         return survey.rows
     finally:
         staged.unpersist()
+
+
+def land_micro_batch(warehouse: Warehouse, messages: DataFrame, batch_id: int) -> int:
+    """Land a micro-batch flat, without star tables; returns its number of messages."""
+    parsed = parse.parse_messages(messages).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = parsed.count()
+        if rows:
+            logs = parsed.where("accepted").select(*schemas.LOG_FIELDS)
+            warehouse.write_batch("user_log_raw", parse.raw_log_landing(logs), batch_id)
+            rejects = parsed.where(~F.col("accepted")).select("value")
+            warehouse.write_batch("user_log_raw_rejects", rejects, batch_id)
+        return rows
+    finally:
+        parsed.unpersist()

@@ -271,12 +271,12 @@ def stream_hourly_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The delay exceeds the span of the data, so no copy can come too late."""
     target, checkpoint = new_scratch(spark, "unique"), new_scratch(spark, "checkpoint")
-    locator = _locator(spark, sf_dir)
+    locator, slots = _locator(spark, sf_dir), spark.sparkContext.defaultParallelism
     _stream_parts(
         spark,
         sf_dir,
         lambda stream: jobs.start_dedup(
-            stream, locator, target, checkpoint, "3650 days", AT_ONCE
+            stream, locator, target, checkpoint, "3650 days", AT_ONCE, state_partitions=slots
         ),
     )
     return spark.read.parquet(target)

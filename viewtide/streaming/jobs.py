@@ -6,9 +6,10 @@ at ``first_batch``, so a stream can follow earlier loads of the same tables.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -16,7 +17,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from viewtide.functions import dates
 from viewtide.operators import facts, parse
 from viewtide.operators.geo import IpLocator
-from viewtide.plans import load
+from viewtide.plans import health, load
 from viewtide.sources.messages import KafkaTopic
 from viewtide.sources.warehouse import Warehouse
 
@@ -25,10 +26,33 @@ STAR_TRIGGER: Trigger = {"processingTime": "15 seconds"}
 RAW_TRIGGER: Trigger = {"processingTime": "10 seconds"}
 
 
+# Hourly counts are few: one row per hour and map task reaches the state.
+HOURLY_STATE_PARTITIONS = 8
+
+
 def _start(writer: DataStreamWriter, checkpoint: str, trigger: Trigger) -> StreamingQuery:
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
+    """Shuffle partitions for a query started inside.
+
+    A stateful query takes the session's number when it first starts and keeps it for the
+    life of its checkpoint.
+    """
+    if number is None:
+        yield
+        return
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(number))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def start_star(
     messages: DataFrame,
     warehouse: Warehouse,
@@ -52,14 +76,12 @@ def start_raw(
     trigger: Trigger = RAW_TRIGGER,
     first_batch: int = 0,
 ) -> StreamingQuery:
-    """Land every log flat, one folder per batch."""
-    landing = parse.raw_log_landing(parse.parse_logs(messages))
+    """Land every log flat and every reject beside it, one folder per batch."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            warehouse.write_batch("user_log_raw", batch, first_batch + batch_id)
+        load.land_micro_batch(warehouse, batch, first_batch + batch_id)
 
-    writer = landing.writeStream.outputMode("append").foreachBatch(process)
+    writer = messages.writeStream.outputMode("append").foreachBatch(process)
     return _start(writer, checkpoint, trigger)
 
 
@@ -68,17 +90,23 @@ def start_relay(
 ) -> StreamingQuery:
     """Pass the messages on unchanged to a topic or to a folder of text files.
 
-    Offsets are committed by the checkpoint once a batch is written.
+    Offsets are committed by the checkpoint once a batch is written. The progress of the
+    query reports ``row_count`` and ``reject_count`` per batch under ``messages``.
     """
+    passed = messages.select("value").observe("messages", *health.message_counts())
     if isinstance(target, KafkaTopic):
-        writer = messages.select("value").writeStream.format("kafka")
+        writer = passed.writeStream.format("kafka")
         return _start(writer.options(**target.write_options()), checkpoint, trigger)
-    lines = messages.select(F.col("value").cast("string").alias("value"))
+    lines = passed.select(F.col("value").cast("string").alias("value"))
     return _start(lines.writeStream.format("text").option("path", target), checkpoint, trigger)
 
 
 def start_hourly_traffic(
-    messages: DataFrame, target: str, checkpoint: str, trigger: Trigger
+    messages: DataFrame,
+    target: str,
+    checkpoint: str,
+    trigger: Trigger,
+    state_partitions: int | None = HOURLY_STATE_PARTITIONS,
 ) -> StreamingQuery:
     """Logs received per hour of their event time, over the whole history.
 
@@ -98,7 +126,8 @@ def start_hourly_traffic(
         batch.write.mode("overwrite").parquet(target)
 
     writer = counts.writeStream.outputMode("complete").foreachBatch(publish)
-    return _start(writer, checkpoint, trigger)
+    with _state_partitions(messages.sparkSession, state_partitions):
+        return _start(writer, checkpoint, trigger)
 
 
 def start_dedup(
@@ -108,6 +137,7 @@ def start_dedup(
     checkpoint: str,
     delay: str,
     trigger: Trigger,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Fact keys once each, with state bounded to ``delay`` of event time."""
     logs = parse.parse_logs(messages)
@@ -115,4 +145,5 @@ def start_dedup(
     rows = facts.fact_rows(locator.enrich(timed.withWatermark("_instant", delay)), "_instant")
     unique = rows.dropDuplicatesWithinWatermark(["fact_id"])
     writer = unique.select("fact_id", "date_id", "time_stamp").writeStream.outputMode("append").format("parquet").option("path", target)
-    return _start(writer, checkpoint, trigger)
+    with _state_partitions(messages.sparkSession, state_partitions):
+        return _start(writer, checkpoint, trigger)
