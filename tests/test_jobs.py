@@ -266,6 +266,12 @@ def test_reports_prune_the_fact(spark, sf_dir, name):
     assert "PartitionFilters: [isnotnull(date_id" in text and "current_url" not in text
 
 
+def test_today_is_a_literal_partition(spark, sf_dir):
+    text = plan(reports.top_products(registry.load_star(spark, sf_dir)))
+    today = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d")
+    assert f"(date_id#" in text and f"= {today})" in text.split("PartitionFilters")[1]
+
+
 def test_copies_are_combined_before_the_shuffle(spark, sf_dir):
     text = plan(registry.QUERIES["fact_product_views"](spark, sf_dir))
     assert text.count("partial_min") == 1

@@ -10,7 +10,7 @@ _AGENT = " ".join(
 )
 
 _COMMON = f"""
-WITH size AS (SELECT count(*) AS n FROM pages),
+WITH numbers AS (SELECT *, (SELECT count(*) FROM pages) AS pages FROM events),
 base AS (
   SELECT cast(e.event_id AS varchar) AS id, '1.0' AS api_version, e.event_type AS collection,
     p.url AS current_url,
@@ -34,9 +34,9 @@ base AS (
       ELSE epoch_us(e.ts) // 1000000 END AS time_stamp,
     CASE e.event_id % 6 {_AGENT} END AS user_agent,
     CASE WHEN e.ts < TIMESTAMP '{AS_OF}' THEN 0 ELSE 1 END AS part
-  FROM events e CROSS JOIN size
-  LEFT JOIN pages p ON p.page_id = e.event_id % size.n
-  LEFT JOIN pages r ON r.page_id = (e.event_id * 3) % size.n),
+  FROM numbers e
+  LEFT JOIN pages p ON p.page_id = e.event_id % e.pages
+  LEFT JOIN pages r ON r.page_id = (e.event_id * 3) % e.pages),
 logs AS (
   SELECT * FROM base
   UNION ALL SELECT * REPLACE (2 AS part) FROM base WHERE cast(id AS bigint) % {REPLAY_EVERY} = 0),
@@ -244,10 +244,10 @@ _SELECTS = {
         count(*) AS views, max(time_stamp) AS last_view,
         date_diff('second', max(time_stamp), TIMESTAMP '2024-03-01 00:00:00') AS gap_seconds
         FROM fact WHERE date_id IS NOT NULL GROUP BY 1, 2""",
-    "missing_partitions": """SELECT t.topic, cast(p.range AS int) AS partition
-        FROM (SELECT DISTINCT topic FROM offsets) t, range(6) p
+    "missing_partitions": """SELECT t.topic, t.partition
+        FROM (SELECT DISTINCT topic, cast(unnest(range(6)) AS int) AS partition FROM offsets) t
         WHERE NOT EXISTS (SELECT 1 FROM offsets o
-          WHERE o.topic = t.topic AND o.partition = p.range)""",
+          WHERE o.topic = t.topic AND o.partition = t.partition)""",
 }
 
 ORACLES = {name: _COMMON + select for name, select in _SELECTS.items()}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass
 from functools import partial
 
@@ -31,12 +33,26 @@ def _locate(parsed: DataFrame, locator: IpLocator) -> DataFrame:
     return located.select(*[text if name == "value" else name for name in STAGED])
 
 
-def _written(rows: DataFrame, label: str) -> DataFrame:
-    """The rows as a table of their own in the shared folder."""
+@contextmanager
+def _written(rows: DataFrame, label: str) -> Iterator[DataFrame]:
+    """The rows as a table of their own in the shared folder, emptied afterwards."""
     spark = rows.sparkSession
     path = new_scratch(spark, label)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    try:
+        rows.write.parquet(path)
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        spark.range(0).write.mode("overwrite").parquet(path)
+
+
+@contextmanager
+def _persisted(rows: DataFrame) -> Iterator[DataFrame]:
+    """The rows kept on the executors, memory first, and released afterwards."""
+    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
 
 
 @dataclass(frozen=True)
@@ -100,35 +116,31 @@ def load_table_batch(
     The parsed rows are written once, so the JSON is read once, every table scans only
     its columns, and lost executors cost no re-parsing.
     """
-    parsed = parse.parse_messages(messages)
-    if not locator.broadcasts:
-        # The addresses are then read more than once.
-        parsed = _written(parsed, "parsed")
-    staged = _written(_locate(parsed, locator), "staged")
-    survey = _survey(staged)
-    _merge_batch(warehouse, staged, batch_id, survey)
-    return survey.rows
+    with ExitStack() as tables:
+        parsed = parse.parse_messages(messages)
+        if not locator.broadcasts:
+            # The addresses are then read more than once.
+            parsed = tables.enter_context(_written(parsed, "parsed"))
+        staged = tables.enter_context(_written(_locate(parsed, locator), "staged"))
+        survey = _survey(staged)
+        _merge_batch(warehouse, staged, batch_id, survey)
+        return survey.rows
 
 
 def load_micro_batch(
     warehouse: Warehouse, messages: DataFrame, locator: IpLocator, batch_id: int
 ) -> int:
     """Load a micro-batch; returns its number of messages. An empty one is skipped."""
-    staged = _locate(parse.parse_messages(messages), locator)
-    staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with _persisted(_locate(parse.parse_messages(messages), locator)) as staged:
         survey = _survey(staged)
         if survey.rows:
             _merge_batch(warehouse, staged, batch_id, survey)
         return survey.rows
-    finally:
-        staged.unpersist()
 
 
 def land_micro_batch(warehouse: Warehouse, messages: DataFrame, batch_id: int) -> int:
     """Land a micro-batch flat, without star tables; returns its number of messages."""
-    parsed = parse.parse_messages(messages).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with _persisted(parse.parse_messages(messages)) as parsed:
         rows = parsed.count()
         if rows:
             logs = parsed.where("accepted").select(*schemas.LOG_FIELDS)
@@ -136,5 +148,3 @@ def land_micro_batch(warehouse: Warehouse, messages: DataFrame, batch_id: int) -
             rejects = parsed.where(~F.col("accepted")).select("value")
             warehouse.write_batch("user_log_raw_rejects", rejects, batch_id)
         return rows
-    finally:
-        parsed.unpersist()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,17 +27,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 _topics: dict[tuple[str, str], str] = {}
+_loaded: dict[tuple[str, str], Warehouse] = {}
+_preparing = threading.RLock()
 
 
 def write_topic(spark: SparkSession, sf_dir: str) -> str:
     """Folder of JSON text messages, a subfolder per part; written once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _topics:
-        path = new_scratch(spark, "topic")
-        for part in clickstream.PARTS:
-            clickstream.messages(spark, sf_dir, part, AS_OF).write.text(f"{path}/{part}")
-        _topics[key] = path
-    return _topics[key]
+    with _preparing:
+        if key not in _topics:
+            path = new_scratch(spark, "topic")
+            for part in clickstream.PARTS:
+                clickstream.messages(spark, sf_dir, part, AS_OF).write.text(f"{path}/{part}")
+            _topics[key] = path
+        return _topics[key]
 
 
 def _messages(spark: SparkSession, sf_dir: str, *parts: str) -> DataFrame:
@@ -56,20 +60,18 @@ def _located(spark: SparkSession, sf_dir: str, *parts: str) -> DataFrame:
     return _locator(spark, sf_dir).enrich(_logs(spark, sf_dir, *parts))
 
 
-_loaded: dict[tuple[str, str], Warehouse] = {}
-
-
 def load_star(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Star tables written from all messages in two batches, once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _loaded:
-        warehouse = Warehouse(spark, new_scratch(spark, "star"))
-        locator = _locator(spark, sf_dir)
-        load.load_table_batch(warehouse, _messages(spark, sf_dir, "early"), locator, 0)
-        later = _messages(spark, sf_dir, "late", "replay")
-        load.load_table_batch(warehouse, later, locator, 1)
-        _loaded[key] = warehouse
-    return _loaded[key]
+    with _preparing:
+        if key not in _loaded:
+            warehouse = Warehouse(spark, new_scratch(spark, "star"))
+            locator = _locator(spark, sf_dir)
+            load.load_table_batch(warehouse, _messages(spark, sf_dir, "early"), locator, 0)
+            later = _messages(spark, sf_dir, "late", "replay")
+            load.load_table_batch(warehouse, later, locator, 1)
+            _loaded[key] = warehouse
+        return _loaded[key]
 
 
 # -- parse ---------------------------------------------------------------------------
