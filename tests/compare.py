@@ -50,7 +50,7 @@ def sql_rows(con, sql):
 
 # Column types of both engines under one name.
 SQL_TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "date": "DATE",
-             "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "decimal(18,2)": "DECIMAL(18,2)"}
+             "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "double": "DOUBLE", "decimal(18,2)": "DECIMAL(18,2)"}
 
 
 def spark_types(frame):
