@@ -1,7 +1,7 @@
 """Vectorised numpy kernels over the UTF-8 bytes of Arrow text columns.
 
-All of them work on a *slice*: the bytes of some whole documents side by side, with the
-offsets at which each document starts. A slice holds a few MB, or one longer document, so
+All of them work on a *slice*: the bytes of some whole documents, a line break after each,
+with the offsets at which each document starts. A slice holds a few MB, or one longer document, so
 memory follows the longest text and not the partition.
 """
 
@@ -47,12 +47,21 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def slices(
     column: pa.Array, limit: int = SLICE_BYTES
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first document, end document, bytes, offsets) of consecutive whole documents."""
+    """(first document, end document, bytes, offsets) of consecutive whole documents.
+
+    A line break follows each document, so that nothing found by looking at neighbouring
+    bytes reaches into the next one. It belongs to the document as its last byte.
+    """
     data, at = text_bytes(column)
     first, n = 0, len(at) - 1
     while first < n:
         end = max(first + 1, int(np.searchsorted(at, at[first] + limit, "right")) - 1)
-        yield first, end, data[at[first] : at[end]], at[first : end + 1] - at[first]
+        end = min(end, first + limit // 64 + 1)  # many empty texts
+        shifted = at[first : end + 1] - at[first] + np.arange(end - first + 1)
+        out = np.full(int(shifted[-1]), 10, np.uint8)
+        for i in range(end - first):
+            out[shifted[i] : shifted[i + 1] - 1] = data[at[first + i] : at[first + i + 1]]
+        yield first, end, out, shifted
         first = end
 
 
@@ -91,25 +100,15 @@ class Rolling:
         return mix(raw + np.uint64(width) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def runs(inside: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the maximal runs of True, cut at document borders."""
-    n = len(inside)
-    if not n:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    first = np.zeros(n + 1, bool)
-    first[at] = True
-    before = np.empty(n, bool)
-    before[0], before[1:] = False, inside[:-1]
-    starts = np.flatnonzero(inside & (~before | first[:n]))
-    after = np.empty(n, bool)
-    after[-1], after[:-1] = False, inside[1:]
-    ends = np.flatnonzero(inside & (~after | first[1:])) + 1
-    return starts, ends
-
-
-def spans_by_document(starts: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Index of the first run of each document, and the number of runs at the end."""
-    return np.searchsorted(starts, at)
+def runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of True."""
+    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
+    return edges[::2], edges[1::2]
+
+
+def per_document(positions: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many of the ascending positions lie in each document."""
+    return np.diff(np.searchsorted(positions, at))
 
 
 def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

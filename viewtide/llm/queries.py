@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from viewtide.llm import decontamination, mixing
+from viewtide.llm import decontamination, language, licenses, mixing, toxicity
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
+    "op5_toxicity": toxicity.query,
+    "op8_language": language.query,
     "op9_decontamination": decontamination.query,
+    "op10_licenses": licenses.query,
 }
 
 ORACLES = {
