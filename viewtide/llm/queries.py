@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
-from viewtide.llm import decontamination, language, licenses, mixing, toxicity
+from viewtide.llm import (
+    chat,
+    decontamination,
+    language,
+    licenses,
+    mixing,
+    near_duplicates,
+    neighbours,
+    toxicity,
+)
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
+    "op4_chat": chat.query,
     "op5_toxicity": toxicity.query,
+    "op6_neighbours": neighbours.query,
+    "op7_near_duplicates": near_duplicates.query,
     "op8_language": language.query,
     "op9_decontamination": decontamination.query,
     "op10_licenses": licenses.query,
@@ -14,5 +26,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_mix_sources": mixing.ORACLE,
+    "op4_chat": chat.ORACLE,
     "op9_decontamination": decontamination.ORACLE,
 }
