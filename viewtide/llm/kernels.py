@@ -84,8 +84,11 @@ class Rolling:
     """Hashes of any substrings of the bytes, each from two prefix sums."""
 
     def __init__(self, data: np.ndarray) -> None:
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_LETTERS[data] * _power("up", len(data)), out=self.sums[1:])
+        self._sum(_LETTERS[data])
+
+    def _sum(self, letters: np.ndarray) -> None:
+        self.sums = np.zeros(len(letters) + 1, np.uint64)
+        np.cumsum(letters * _power("up", len(letters)), out=self.sums[1:])
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         width = (ends - starts).astype(np.uint64)
@@ -100,6 +103,13 @@ class Rolling:
         return mix(raw + np.uint64(width) * np.uint64(0xD6E8FEB86659FD93))
 
 
+class CodeHash(Rolling):
+    """The same over code points."""
+
+    def __init__(self, codes: np.ndarray) -> None:
+        self._sum((codes.astype(np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
 def runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of True."""
     edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))

@@ -11,10 +11,12 @@ from viewtide.llm import (
     near_duplicates,
     neighbours,
     toxicity,
+    wavelet,
 )
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
+    "op3_token_files": wavelet.query,
     "op4_chat": chat.query,
     "op5_toxicity": toxicity.query,
     "op6_neighbours": neighbours.query,
