@@ -100,7 +100,7 @@ class Rolling:
         raw = (self.sums[width:] - self.sums[:-width]) * _power(
             "down", len(self.sums) - width
         )
-        return mix(raw + np.uint64(width) * np.uint64(0xD6E8FEB86659FD93))
+        return mix(raw + np.uint64(width * 0xD6E8FEB86659FD93 % 2**64))
 
 
 class CodeHash(Rolling):

@@ -10,12 +10,14 @@ from viewtide.llm import (
     mixing,
     near_duplicates,
     neighbours,
+    repeats,
     toxicity,
     wavelet,
 )
 
 QUERIES = {
     "op1_mix_sources": mixing.query,
+    "op2_repeats": repeats.query,
     "op3_token_files": wavelet.query,
     "op4_chat": chat.query,
     "op5_toxicity": toxicity.query,
