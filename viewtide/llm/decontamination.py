@@ -37,33 +37,33 @@ SIMILAR = 0.8
 
 def words(name: str = "text") -> Column:
     lower = F.lower(F.coalesce(F.col(name).cast("string"), F.lit("")))
-    return F.filter(F.split(lower, r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(lower, r"[^\p{L}\p{N}]+"), "")
 
 
-def _hash(mask: int, offsets: tuple[int, ...], at: Column) -> Column:
-    return F.xxhash64(F.lit(mask), *[F.get("words", at + o) for o in offsets])
-
+def _seeds(df: DataFrame, masks: list[tuple[int, ...]], *keep: str) -> DataFrame:
+    """A row (keep..., at, mask, seed) for every place and mask that fits into ``words``.
 
-def _masked(mask: int, offsets: tuple[int, ...]) -> Column:
-    """Hashes under one mask at every place where it fits into ``words``."""
-    starts = F.sequence(F.lit(0), F.size("words") - 1 - offsets[-1])
-    hashes = F.transform(starts, lambda at: _hash(mask, offsets, at))
-    return F.when(F.size("words") > offsets[-1], hashes).otherwise(
-        F.array().cast("array<bigint>")
+    The words' hashes stand beside themselves, moved by each offset in use, so a place's
+    words are one row and its seeds are hashed in generated code.
+    """
+    hashed = df.select(
+        *keep, F.transform("words", lambda w: F.xxhash64(w)).alias("_hash")
     )
-
-
-def _seeds(df: DataFrame, masks: list[tuple[int, ...]], *keep: str) -> DataFrame:
-    """A row (keep..., at, seed) for every place and mask, in one pass over ``words``."""
-    rows = df.select(
-        *keep, F.size("words").alias("_n"),
-        F.posexplode(F.concat(*[_masked(m, o) for m, o in enumerate(masks)])).alias("_i", "seed"),
+    moved = [
+        F.slice("_hash", o + 1, 2_000_000_000).alias(f"w{o}")
+        for o in sorted({o for offsets in masks for o in offsets})
+    ]
+    places = hashed.select(*keep, F.posexplode(F.arrays_zip(*moved)).alias("at", "_w"))
+    seeds = F.array(*[
+        F.when(
+            F.col(f"_w.w{offsets[-1]}").isNotNull(),
+            F.xxhash64(F.lit(mask), *[F.col(f"_w.w{o}") for o in offsets]),
+        )
+        for mask, offsets in enumerate(masks)
+    ])
+    return places.select(*keep, "at", F.posexplode(seeds).alias("mask", "seed")).where(
+        "seed IS NOT NULL"
     )
-    begin, places = F.lit(0), []
-    for offsets in masks:  # the masks' hashes stand side by side
-        places.append(F.when(F.col("_i") >= begin, F.col("_i") - begin))
-        begin = begin + F.greatest(F.col("_n") - offsets[-1], F.lit(0))
-    return rows.select(*keep, F.coalesce(*places[::-1]).alias("at"), "seed")
 
 
 def benchmark_seeds(items: DataFrame) -> tuple[DataFrame, list[tuple[int, ...]]]:
@@ -76,15 +76,14 @@ def benchmark_seeds(items: DataFrame) -> tuple[DataFrame, list[tuple[int, ...]]]
     short = worded.where(F.size("words") < SPAN).groupBy(F.size("words").alias("n")).count()
     lengths = sorted(r["n"] for r in short.collect())  # at most SPAN - LEAST_WORDS rows
     masks = [*MASKS, *[tuple(range(n)) for n in lengths]]
-    long = _seeds(worded.where(F.size("words") >= SPAN), list(MASKS), "item_id", "words")
-    seeds = long
-    for i, n in enumerate(lengths):
-        whole = worded.where(F.size("words") == n)
-        seeds = seeds.unionByName(whole.select(
-            "item_id", "words", F.lit(0).alias("at"),
-            _hash(len(MASKS) + i, tuple(range(n)), F.lit(0)).alias("seed"),
-        ))
-    return seeds.select("item_id", "words", F.col("at").alias("item_at"), "seed"), masks
+    whole = F.lit(-1)  # the mask of a short item: all its words
+    for mask, n in enumerate(lengths, len(MASKS)):
+        whole = F.when(F.size("words") == n, mask).otherwise(whole)
+    seeds = _seeds(worded.withColumn("_whole", whole), masks, "item_id", "words", "_whole")
+    wanted = F.when(F.col("_whole") < 0, F.col("mask") < len(MASKS)).otherwise(
+        (F.col("mask") == F.col("_whole")) & (F.col("at") == 0)
+    )
+    return seeds.where(wanted).select("item_id", "words", F.col("at").alias("item_at"), "seed"), masks
 
 
 def _document_key() -> list[Column]:
