@@ -102,17 +102,18 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     """
     seeds, masks = benchmark_seeds(items)
     seeds = written(seeds, "bench-seeds")
-    lookup_side = seeds.select("item_id", "item_at", "seed").distinct()
+    seeds = seeds.withColumn("_item", F.xxhash64("words"))
+    lookup_side = seeds.select("item_id", "_item", "item_at", "seed").distinct()
     if fits_broadcast(lookup_side):
         lookup_side = F.broadcast(lookup_side)
     # Items by content, so that alignments carry ids only.
-    texts = seeds.select("item_id", F.col("words").alias("item_words")).distinct()
+    texts = seeds.select("_item", F.col("words").alias("item_words")).distinct()
 
     source = only(docs, ["doc_id", "text"])
     worded = source.select(*_document_key(), words().alias("words"))
     hits = _seeds(worded, masks, "_id", "_text").join(lookup_side, "seed")
     alignments = written(
-        hits.groupBy("_id", "_text", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
+        hits.groupBy("_id", "_text", "item_id", "_item", (F.col("at") - F.col("item_at")).alias("shift"))
         .agg(F.count("*").alias("seeds")),
         "bench-alignments",
     )
@@ -128,7 +129,7 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
     if fits_broadcast(texts):
         texts = F.broadcast(texts)
-    pairs = alignments.join(texts, "item_id").join(suspected, ["_id", "_text"])
+    pairs = alignments.join(texts, "_item").join(suspected, ["_id", "_text"])
     equal = F.transform(
         F.sequence(F.lit(0), F.size("item_words") - 1),
         lambda j: F.coalesce(

@@ -2,22 +2,23 @@
 
 A document's set holds the hashes of its distinct word shingles; its sketch the
 ``SKETCH`` smallest of them. Sets that overlap by 80 % have most of their sketch values in
-common, in the same order, so runs of three neighbouring values agree in many places
-(with small sets in at least one place for certain: a fifth of the values cannot break up
-all runs). The inverted lists are therefore kept by runs of retained values: a list holds
-the documents that share a run, not everybody with one common shingle.
+common, in the same order, so runs of neighbouring values agree in many places. The
+inverted lists are therefore kept by runs of retained values: a list holds the documents
+that share a run, not everybody with one common shingle or passage. The runs are as long as
+a set allows: a fifth of the values cannot break up all runs of up to four of a set that is
+its own sketch, and all runs of five of a longer one only with a probability of 3e-7.
 
 1.  Equal sets are one class, represented by its smallest id; everything below works on
     representatives.
-2.  Each list links its members to its first member only. The pairs are filtered by the
-    similarity that the sketch of the union estimates, and verified on the full sets.
-    Verified links form components.
-3.  Lists whose members all lie in one component are finished: nothing in them can join
-    more. In the others, pairs across components are filtered and verified too, so a link
-    between two documents of a list is found whoever came first in it.
+2.  Each list links its members to one of them. The pairs are filtered by the similarity
+    that the sketch of the union estimates, and verified on the full sets. Verified links
+    form components. Lists that still span several components do so once more, around a
+    member of their largest component.
+3.  What is left, a member of one component of a list against the members of another, is
+    compared in blocks inside tasks: only verified links leave them. So a link between two
+    documents of a list is found whoever stood in the middle.
 
-A group of thousands of copies thus costs a star and not all its pairs, and lists are cut
-by run, so a passage or shingle that a third of all documents share makes many lists.
+A group of thousands of copies thus costs a star and not all its pairs.
 
 Defined results
     NULL texts and texts without words: empty set, linked with nothing, kept. Fewer words
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from viewtide.llm import kernels
@@ -40,14 +41,14 @@ from viewtide.llm.components import components
 from viewtide.llm.tables import only, table, written
 from viewtide.operators.lookup import fits_broadcast, lookup
 
-SKETCH = 64
-RUN = 3
-# Sets of up to this many shingles also list their runs of two (two sets of 4 and 5
-# shingles may share no run of three).
-SMALL = 6
+SKETCH = 96
+# Run length, and the sizes of the sets that list runs of that length. Two sets of which
+# one has at least 80 % of the other's size have a length in common.
+RUNS = ((2, 4, 6), (3, 6, 20), (4, 16, 120), (5, 96, None))
 SIMILAR = (80, 100)
-# The estimate has a standard error of 0.05 at a similarity of 0.8: four of them.
+# The estimate has a standard error of 0.04 at a similarity of 0.8: five of them.
 ESTIMATE = 0.6
+BLOCK_ROWS = 256
 
 
 def shingle_sets(
@@ -107,25 +108,24 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _runs(length: int):
-    n = F.size("sketch")
-    return F.when(
-        n >= length,
-        F.transform(
+def _runs() -> Column:
+    n, none = F.size("sketch"), F.array().cast("array<bigint>")
+
+    def of(length: int, least: int, most: int | None):
+        runs = F.transform(
             F.sequence(F.lit(0), n - length),
             lambda i: F.xxhash64(F.lit(length), *[F.get("sketch", i + j) for j in range(length)]),
-        ),
-    ).otherwise(F.array().cast("array<bigint>"))
+        )
+        fits = F.col("n_shingles") >= least
+        return F.when(fits if most is None else fits & (F.col("n_shingles") <= most), runs).otherwise(none)
+
+    return F.concat(*[of(*band) for band in RUNS])
 
 
 def inverted_lists(nodes: DataFrame) -> DataFrame:
     """run, node, pivot (the first member) of all lists with more than one member."""
-    runs = F.concat(
-        F.when(F.col("n_shingles") >= SMALL, _runs(RUN)).otherwise(F.array().cast("array<bigint>")),
-        F.when(F.col("n_shingles") <= SMALL, _runs(2)).otherwise(F.array().cast("array<bigint>")),
-    )
     # Sets of fewer than four shingles are similar to equal ones only.
-    rows = nodes.where("n_shingles >= 4").select("node", F.explode(runs).alias("run"))
+    rows = nodes.where("n_shingles >= 4").select("node", F.explode(_runs()).alias("run"))
     members = Window.partitionBy("run")
     return (
         rows.withColumns({
@@ -135,34 +135,31 @@ def inverted_lists(nodes: DataFrame) -> DataFrame:
     )
 
 
-def _verified_by(kind: str, check):
-    """A filter of rows (a, b, a value of each) that lets Arrow batches through ``check``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column("left"), batch.column("right")
-            keep = [check(x, y) for x, y in zip(left, right)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], ["a", "b"]
-            )
-
-    return run, f"a {kind}, b {kind}"
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Two full sets: by size, by the estimate from the sketch of the union, exactly."""
+    small, large = sorted((len(x), len(y)))
+    if SIMILAR[1] * small < SIMILAR[0] * large:
+        return False
+    if large > SKETCH:
+        one, two = x[:SKETCH], y[:SKETCH]
+        union = np.union1d(one, two)[:SKETCH]
+        both = np.intersect1d(one, two, assume_unique=True)
+        if np.searchsorted(both, union[-1], "right") < ESTIMATE * len(union):
+            return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return SIMILAR[1] * both >= SIMILAR[0] * (len(x) + len(y) - both)
 
 
-def _estimate(x: pa.Scalar, y: pa.Scalar) -> bool:
-    """The sketch of the union, made of both sketches, estimates the similarity."""
-    x = x.values.to_numpy().view(np.uint64)
-    y = y.values.to_numpy().view(np.uint64)
-    union = np.union1d(x, y)[:SKETCH]
-    both = np.intersect1d(x, y, assume_unique=True)
-    return np.isin(union, both, assume_unique=True).sum() >= ESTIMATE * len(union)
+def _set(value: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), np.uint64)
 
 
-def _exact(x: pa.Scalar, y: pa.Scalar) -> bool:
-    x = np.frombuffer(x.as_buffer(), np.uint64)
-    y = np.frombuffer(y.as_buffer(), np.uint64)
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return SIMILAR[1] * both >= SIMILAR[0] * (len(x) + len(y) - both)
+def _similar_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = [similar(_set(x), _set(y)) for x, y in zip(batch.column("left"), batch.column("right"))]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], ["a", "b"]
+        )
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -185,25 +182,89 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return chosen.mapInArrow(sets, f"node {kind}, shingles binary")
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets are similar."""
     kind = dict(pairs.dtypes)["a"]
-    small = nodes.select("node", "n_shingles", "sketch")
-    sided = (
-        pairs.join(small.toDF("b", "_nb", "right"), "b").join(small.toDF("a", "_na", "left"), "a")
-        .where(
-            (F.least("_na", "_nb") * SIMILAR[1] >= F.greatest("_na", "_nb") * SIMILAR[0])
-        )
+    joined = pairs.join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
+    return joined.select("a", "b", "left", "right").mapInArrow(
+        _similar_pairs, f"a {kind}, b {kind}"
+    ).distinct()
+
+
+def _open_lists(lists: DataFrame, links: DataFrame) -> DataFrame:
+    """The lists that span several components, with each member's component and its size."""
+    joined = components(links)
+    sizes = joined.groupBy("component").agg(F.count("*").alias("members"))
+    labelled = (
+        lists.select("run", "node").join(joined, "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
+        .join(sizes, "component", "left")
+        .withColumn("members", F.coalesce("members", F.lit(1)))
     )
-    run, schema = _verified_by(kind, _estimate)
-    likely = written(
-        sided.select("a", "b", "left", "right").mapInArrow(run, schema).distinct(), "near-likely"
+    spread = Window.partitionBy("run")
+    return written(
+        labelled.withColumns({
+            "_low": F.min("component").over(spread), "_high": F.max("component").over(spread),
+            "top": F.max(F.struct(
+                "members", "component", F.xxhash64("node", "run").alias("any"), "node"
+            )).over(spread),
+        }).where("_low <> _high")
+        .select("run", "node", "component", "members", "top"),
+        "near-open",
     )
-    ids = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    sets = written(full_sets(docs, written(ids, "near-ids"), width), "near-sets")
-    run, schema = _verified_by(kind, _exact)
-    joined = likely.join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
-    return joined.select("a", "b", "left", "right").mapInArrow(run, schema).distinct()
+
+
+def _across(open_lists: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members of different components of a list, compared in blocks.
+
+    The member of the smaller component asks; the whole other component answers, in blocks
+    of ``BLOCK_ROWS`` rows against blocks of ``BLOCK_ROWS`` askers.
+    """
+    kind = dict(open_lists.dtypes)["node"]
+    rank = F.struct("members", "component")
+    here = open_lists.select("run", "node", rank.alias("mine"))
+    there = open_lists.select("run", rank.alias("other")).distinct()
+    asks = written(
+        here.join(there, "run").where("mine < other")
+        .select(F.col("node").alias("a"), F.col("other.component").alias("component"),
+                F.col("other.members").alias("members")).distinct(),
+        "near-asks",
+    )
+    chunks = asks.groupBy("component", "members").agg(
+        F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("chunks")
+    ).withColumn("blocks", F.ceil(F.col("members") / BLOCK_ROWS).cast("int"))
+    place = lambda of, n: F.pmod(F.xxhash64(of), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    nodes = open_lists.select("node", "component").distinct()
+    asking = (
+        asks.join(chunks.drop("members"), "component")
+        .withColumn("chunk", place("a", "chunks")).withColumn("block", every("blocks"))
+        .select("component", "chunk", "block", F.col("a").alias("node"))
+        .join(sets, "node")
+    )
+    answering = (
+        nodes.join(chunks, "component")
+        .withColumn("block", place("node", "blocks")).withColumn("chunk", every("chunks"))
+        .select("component", "chunk", "block", "node").join(sets, "node")
+    )
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        ours = [_set(v) for v in left["shingles"]]
+        theirs = [_set(v) for v in right["shingles"]]
+        a, b = [], []
+        for i, x in enumerate(ours):
+            for j, y in enumerate(theirs):
+                if similar(x, y):  # one link joins the asker to the whole component
+                    a.append(left["node"][i].as_py()), b.append(right["node"][j].as_py())
+                    break
+        types = left.schema.field("node").type
+        return pa.table({"a": pa.array(a, types), "b": pa.array(b, types)})
+
+    keys = ["component", "chunk", "block"]
+    asking, answering = asking.toDF(*asking.columns), answering.toDF(*answering.columns)
+    return asking.groupBy(*keys).cogroup(answering.groupBy(*keys)).applyInArrow(
+        compare, f"a {kind}, b {kind}"
+    ).distinct()
 
 
 def find(docs: DataFrame, width: int = 5) -> DataFrame:
@@ -213,40 +274,26 @@ def find(docs: DataFrame, width: int = 5) -> DataFrame:
     classes = written(
         usable.groupBy("signature").agg(F.min("doc_id").alias("node")), "near-classes"
     )
-    nodes = written(
-        usable.join(
-            classes.withColumnRenamed("node", "doc_id"), ["signature", "doc_id"], "left_semi"
-        )
-        .select(F.col("doc_id").alias("node"), "signature", "n_shingles", "sketch")
-        .dropDuplicates(["signature"]),
-        "near-nodes",
+    chosen = classes.withColumnRenamed("node", "doc_id")
+    if fits_broadcast(chosen):
+        chosen = F.broadcast(chosen)
+    nodes = usable.join(chosen, ["signature", "doc_id"], "left_semi").select(
+        F.col("doc_id").alias("node"), "n_shingles", "sketch"
     )
     lists = written(inverted_lists(nodes), "near-lists")
-
-    star = lists.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    found = written(_links(star, nodes, docs, width), "near-links")
-    joined = components(found)
-
-    # Lists that still span several components, members in different ones only.
-    labelled = lists.join(joined, "node", "left").select(
-        "run", "node", F.coalesce("component", "node").alias("component")
-    )
-    spread = Window.partitionBy("run")
-    open_lists = written(
-        labelled.withColumns({
-            "_low": F.min("component").over(spread), "_high": F.max("component").over(spread),
-        }).where("_low <> _high").select("run", "node", "component"),
-        "near-open",
-    )
-    left = open_lists.toDF("run", "a", "_ca")
-    right = open_lists.toDF("run", "b", "_cb")
-    across = left.join(right, "run").where("_ca < _cb").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    ).distinct()
-    more = written(
-        _links(across.join(star, ["a", "b"], "left_anti"), nodes, docs, width), "near-more"
+    ids = written(lists.select("node").distinct(), "near-ids")
+    sets = written(full_sets(docs, ids, width), "near-sets")
+
+    star = lists.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    links = written(_links(star.distinct(), sets), "near-links")
+    again = _open_lists(lists, links)
+    star = again.where("component <> top.component").select(
+        F.col("top.node").alias("a"), F.col("node").alias("b")
     )
-    labels = components(found.unionByName(more))
+    links = written(links.unionByName(_links(star.distinct(), sets)), "near-links")
+    left_open = _open_lists(again, links)
+    across = _across(left_open, sets)
+    labels = components(written(links.unionByName(across), "near-links"))
 
     by_class = classes.join(labels, "node", "left").select(
         "signature", F.coalesce("component", "node").alias("component")
@@ -254,7 +301,9 @@ def find(docs: DataFrame, width: int = 5) -> DataFrame:
     rows = sketched.withColumn("signature", F.when(
         (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("signature")
     ))
-    placed = lookup(rows.select("doc_id", "n_shingles", "signature"), written(by_class, "near-labels"), "signature")
+    placed = lookup(
+        rows.select("doc_id", "n_shingles", "signature"), written(by_class, "near-labels"), "signature"
+    )
     component = F.coalesce("component", "doc_id")
     return placed.select(
         "doc_id", "n_shingles", component.alias("component_id"),
@@ -267,10 +316,27 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id."""
+    """One document of each group: the one with the smallest id, once if its row is
+    repeated."""
     dropped = written(
         find(docs).where("NOT kept").select(F.col("doc_id").alias("_id")).distinct(), "near-drop"
     )
     if fits_broadcast(dropped):
         dropped = F.broadcast(dropped)
-    return docs.join(dropped, F.col("doc_id") == F.col("_id"), "left_anti")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("_row"),
+        F.col("doc_id").alias("_id"),
+    )
+    kept = rows.join(dropped, "_id", "left_anti")
+    again = written(
+        docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL")
+        .select(F.col("doc_id").alias("_id")),
+        "near-again",
+    )
+    if again.isEmpty():
+        return kept.select("_row.*")
+    repeated = kept.join(again, "_id", "left_semi").withColumn("_text", F.col("_row.text"))
+    single = repeated.groupBy("_id", "_text").agg(F.first("_row").alias("_row"))
+    return kept.join(again, "_id", "left_anti").select("_row.*").unionByName(
+        single.select("_row.*")
+    )
