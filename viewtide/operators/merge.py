@@ -2,16 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-# A batch is small when it has at most this many rows and bytes of keys.
-SMALL_BATCH_ROWS = 1_000_000
-SMALL_BATCH_KEY_BYTES = 64 * 1024 * 1024
-# Up to this many distinct days prune the fact's partitions by a literal list.
-MOST_DAYS = 1_000
+from pyspark.sql import DataFrame
 
 
 def absent_rows(rows: DataFrame, existing: DataFrame, key: str) -> DataFrame:
@@ -22,27 +13,11 @@ def absent_rows(rows: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     return rows.join(existing.select(key), key, "left_anti")
 
 
-def is_small(rows: int, key_bytes: int) -> bool:
-    return rows <= SMALL_BATCH_ROWS and key_bytes <= SMALL_BATCH_KEY_BYTES
-
-
-def held_keys(existing: DataFrame, batch_keys: DataFrame, small: bool) -> DataFrame:
-    """The keys of ``existing`` that matter to a batch.
+def held_keys(existing: DataFrame, batch_keys: DataFrame) -> DataFrame:
+    """The keys of ``existing`` that a batch has too.
 
-    A small batch meets a long history: its keys are broadcast, the history is filtered to
-    them where it lies and is never shuffled. A large batch gets the history as it is.
+    The batch is counted (it is kept or written by then), so the engine sends its keys to
+    a long history when they are few and meets them by shuffle when they are many.
     """
     key = batch_keys.columns[0]
-    held = existing.select(key)
-    return held.join(F.broadcast(batch_keys), key, "left_semi") if small else held
-
-
-def on_days(rows: DataFrame, days: Collection[int]) -> DataFrame:
-    """The fact's partitions of the given days and of no day; all of them if too many.
-
-    A fact key contains its date, so no other day can hold the same key.
-    """
-    if len(days) > MOST_DAYS:
-        return rows
-    day: Column = F.col("date_id")
-    return rows.where(day.isin(sorted(days)) | day.isNull())
+    return existing.select(key).join(batch_keys, key, "left_semi")

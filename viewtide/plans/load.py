@@ -60,29 +60,29 @@ class Survey:
     """What one pass over a staged batch tells about it."""
 
     rows: int
-    small: bool
-    days: list[int]
+    days: list[int | None]
 
 
 def _survey(staged: DataFrame) -> Survey:
-    """Count the messages, their device ids' bytes and their days (bounded by the calendar)."""
+    """Count the messages and list the days of the logs, None for undated ones.
+
+    The days are bounded by the calendar.
+    """
     day = dates.date_key(F.col("time_stamp"))
     found = staged.agg(
         F.count("*").alias("n"),
-        F.coalesce(F.sum(F.octet_length("device_id")), F.lit(0)).alias("key_bytes"),
-        F.collect_set(day).alias("days"),
+        F.collect_set(F.when(F.col("accepted"), day)).alias("days"),
+        F.coalesce(F.bool_or(F.col("accepted") & day.isNull()), F.lit(False)).alias("undated"),
     ).first()
-    return Survey(found["n"], merge.is_small(found["n"], found["key_bytes"]), found["days"])
+    return Survey(found["n"], [*found["days"], *([None] if found["undated"] else [])])
 
 
-def _merge_dimension(
-    warehouse: Warehouse, table: str, logs: DataFrame, batch_id: int, small: bool
-) -> None:
+def _merge_dimension(warehouse: Warehouse, table: str, logs: DataFrame, batch_id: int) -> None:
     rows, key = dims.BUILDERS[table](logs), schemas.PRIMARY_KEYS[table]
     known = warehouse.before(table, batch_id)
     if table == "dim_customer":
         # The one dimension that grows with the traffic.
-        known = merge.held_keys(known, rows.select(key), small)
+        known = merge.held_keys(known, rows.select(key))
     warehouse.write_batch(table, merge.absent_rows(rows, known, key), batch_id)
 
 
@@ -94,7 +94,7 @@ def _merge_batch(
     logs = staged.where("accepted")
     jobs = [lambda: warehouse.write_batch("log_rejects", rejects, batch_id)]
     jobs += [
-        partial(_merge_dimension, warehouse, table, logs, batch_id, survey.small)
+        partial(_merge_dimension, warehouse, table, logs, batch_id)
         for table in dims.BUILDERS
     ]
     inherit = inheritable_thread_target(warehouse.spark)
@@ -102,8 +102,9 @@ def _merge_batch(
         for done in [pool.submit(inherit(job)) for job in jobs]:
             done.result()
     rows = facts.fact_rows(logs)
-    known = merge.on_days(warehouse.before("fact_product_views", batch_id), survey.days)
-    held = merge.held_keys(known, rows.select("fact_id"), survey.small)
+    # A fact key contains its date, so no other day can hold the same key.
+    known = warehouse.before("fact_product_views", batch_id, survey.days)
+    held = merge.held_keys(known, rows.select("fact_id"))
     new = merge.absent_rows(facts.first_per_fact(rows), held, "fact_id")
     warehouse.write_batch("fact_product_views", new, batch_id)
 

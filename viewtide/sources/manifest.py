@@ -1,0 +1,85 @@
+"""Which folders of a table are live: one small versioned file, read and written whole.
+
+A version is written beside its place and renamed into it, so a reader sees the old list
+or the new one, and of two writers of one version the second fails.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from dataclasses import asdict, dataclass, field
+
+from pyspark.sql import SparkSession
+
+KEPT_VERSIONS = 16
+#: Folder value of rows without a partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+@dataclass
+class Folder:
+    """Rows of the batches ``first`` to ``last``, without those in ``without``.
+
+    ``days`` are the partition values it has (None: the table has no partitions).
+    ``level`` says how often its rows were folded together.
+    """
+
+    name: str
+    first: int
+    last: int
+    level: int = 0
+    days: list[str] | None = None
+    without: list[int] = field(default_factory=list)
+
+
+class Manifest:
+    def __init__(self, spark: SparkSession, table_path: str):
+        self._jvm = spark._jvm
+        self._conf = spark._jsc.hadoopConfiguration()
+        self.root = f"{table_path}/_manifest"
+
+    def _path(self, path: str):
+        return self._jvm.org.apache.hadoop.fs.Path(path)
+
+    def _system(self, path: str):
+        return self._path(path).getFileSystem(self._conf)
+
+    def _versions(self) -> list[int]:
+        fs, root = self._system(self.root), self._path(self.root)
+        if not fs.exists(root):
+            return []
+        names = [status.getPath().getName() for status in fs.listStatus(root)]
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def read(self) -> tuple[int, list[Folder]]:
+        """Version and live folders; version 0 before the first write."""
+        versions = self._versions()
+        if not versions:
+            return 0, []
+        path = f"{self.root}/{versions[-1]}.json"
+        stream = self._system(path).open(self._path(path))
+        try:
+            text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return versions[-1], [Folder(**entry) for entry in json.loads(text)]
+
+    def write(self, after: int, folders: list[Folder]) -> None:
+        """Publish the list that follows version ``after``."""
+        fs = self._system(self.root)
+        draft = f"{self.root}/.draft-{uuid.uuid4().hex}"
+        out = fs.create(self._path(draft), True)
+        try:
+            out.write(json.dumps([asdict(f) for f in folders]).encode())
+        finally:
+            out.close()
+        if not fs.rename(self._path(draft), self._path(f"{self.root}/{after + 1}.json")):
+            raise RuntimeError(f"version {after + 1} of {self.root} was written by somebody else")
+        for version in self._versions()[:-KEPT_VERSIONS]:
+            fs.delete(self._path(f"{self.root}/{version}.json"), False)
+
+    def subfolders(self, path: str) -> list[str]:
+        """Names of the folders in one folder."""
+        fs = self._system(path)
+        return sorted(s.getPath().getName() for s in fs.listStatus(self._path(path)) if s.isDirectory())

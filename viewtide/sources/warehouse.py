@@ -1,19 +1,30 @@
-"""Star tables as parquet, one folder per load batch.
+"""Star tables as parquet folders under a manifest.
 
-Layout: ``<root>/<table>/batch_id=N/...``, the fact below that by ``date_id``. A batch
-writes only its own folder and replaces it whole, so a repeated batch leaves the table as
-it was. What a batch may skip is decided from the folders of earlier batches only.
+A batch writes a folder of its own, the fact's split by ``date_id``; the table's manifest
+then lists it in place of what the batch wrote before. So a repeated batch leaves the
+table as it was, and readers see a batch whole or not at all. What a batch may skip is
+decided from the rows of earlier batches only (``batch_id`` is stored with every row).
+
+Readers open the folders of the manifest, and of the fact only those of the days they ask
+for: nothing lists the history. As batches arrive, ``FOLD`` folders of a level are folded
+into one of the next, so a day's rows lie in a number of folders that grows with the
+logarithm of the number of batches. The newest batch is never folded, as it may be
+repeated; if an older one is, its rows in a fold are masked.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+from collections.abc import Collection, Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewtide import schemas
+from viewtide.sources.manifest import NO_VALUE, Folder, Manifest
 
-PARTITIONS = {"fact_product_views": ["date_id"]}
+PARTITIONS = {"fact_product_views": "date_id"}
+FOLD = 16
 
 
 class Warehouse:
@@ -24,47 +35,126 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def with_batches(self, table: str) -> DataFrame:
-        """All rows with their ``batch_id``; no rows before the first batch."""
+    def manifest(self, table: str) -> Manifest:
+        return Manifest(self.spark, self.path(table))
+
+    # -- reading -------------------------------------------------------------------------
+
+    def _paths(
+        self, table: str, folder: Folder, days: Collection[int | None] | None
+    ) -> list[str]:
+        base = f"{self.path(table)}/{folder.name}"
+        if folder.days is None:
+            return [base]
+        key = PARTITIONS[table]
+        wanted = None if days is None else {NO_VALUE if d is None else str(d) for d in days}
+        return [f"{base}/{key}={d}" for d in folder.days if wanted is None or d in wanted]
+
+    def paths(self, table: str, days: Collection[int | None] | None = None) -> list[str]:
+        """The folders that a read of the table, or of these days of the fact, opens."""
+        _, folders = self.manifest(table).read()
+        return [path for folder in folders for path in self._paths(table, folder, days)]
+
+    def with_batches(
+        self,
+        table: str,
+        days: Collection[int | None] | None = None,
+        before: int | None = None,
+        folders: Iterable[Folder] | None = None,
+    ) -> DataFrame:
+        """Rows with their ``batch_id``: of some days (None: undated), of earlier batches."""
         fields = {**schemas.TABLES[table], "batch_id": "bigint"}
-        try:
-            rows = self.spark.read.schema(schemas.ddl(fields)).parquet(self.path(table))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if folders is None:
+            folders = self.manifest(table).read()[1]
+        groups: dict[tuple[int, ...], list[str]] = {}
+        for folder in folders:
+            if before is None or folder.first < before:
+                found = self._paths(table, folder, days)
+                groups.setdefault(tuple(folder.without), []).extend(found)
+        frames = []
+        for without, paths in groups.items():
+            if not paths:
+                continue
+            reader = self.spark.read.schema(schemas.ddl(fields))
+            if table in PARTITIONS:
+                # The day is read from the folder's name.
+                reader = reader.option("basePath", self.path(table))
+            rows = reader.parquet(*paths)
+            frames.append(rows.where(~F.col("batch_id").isin(list(without))) if without else rows)
+        if not frames:
             nulls = ", ".join(f"CAST(NULL AS {kind}) AS `{name}`" for name, kind in fields.items())
             return self.spark.sql(f"SELECT {nulls} WHERE false")
+        rows = frames[0]
+        for more in frames[1:]:
+            rows = rows.unionByName(more)
+        if before is not None:
+            rows = rows.where(F.col("batch_id") < before)
         return rows.select(*fields)
 
-    def table(self, table: str) -> DataFrame:
-        return self.with_batches(table).drop("batch_id")
+    def table(self, table: str, days: Collection[int | None] | None = None) -> DataFrame:
+        return self.with_batches(table, days).drop("batch_id")
 
-    def before(self, table: str, batch_id: int) -> DataFrame:
+    def before(
+        self, table: str, batch_id: int, days: Collection[int | None] | None = None
+    ) -> DataFrame:
         """The table as earlier batches left it."""
-        return self.with_batches(table).where(F.col("batch_id") < batch_id).drop("batch_id")
+        return self.with_batches(table, days, batch_id).drop("batch_id")
+
+    # -- writing -------------------------------------------------------------------------
+
+    def _write(self, table: str, rows: DataFrame, first: int, last: int, level: int) -> Folder:
+        """Write rows (with ``batch_id``) as a new folder, not yet listed."""
+        fields = {**schemas.TABLES[table], "batch_id": "bigint"}
+        rows = rows.select(*[F.col(name).cast(kind).alias(name) for name, kind in fields.items()])
+        name, key = f"{'batch' if level == 0 else 'fold'}-{last}-{uuid.uuid4().hex}", PARTITIONS.get(table)
+        if key is not None:
+            name = f"part={name}"
+        path = f"{self.path(table)}/{name}"
+        if key is None:
+            rows.write.parquet(path)
+            return Folder(name, first, last, level)
+        # Few files per day, with large days split over several tasks.
+        rows.hint("rebalance", key).write.partitionBy(key).parquet(path)
+        found = self.manifest(table).subfolders(path)
+        days = [n.split("=", 1)[1] for n in found if n.startswith(f"{key}=")]
+        return Folder(name, first, last, level, days)
 
     def write_batch(self, table: str, rows: DataFrame, batch_id: int) -> None:
         """Write the rows as the whole content of one batch of the table."""
-        fields = schemas.TABLES[table]
-        partitions = PARTITIONS.get(table, [])
-        rows = rows.select(*[F.col(name).cast(kind).alias(name) for name, kind in fields.items()])
-        if partitions:
-            # Few files per partition value, with large values split over several tasks.
-            rows = rows.hint("rebalance", *partitions)
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if partitions:
-            writer = writer.partitionBy(*partitions)
-        writer.parquet(f"{self.path(table)}/batch_id={batch_id}")
-
-    def copy_compacted(self, root: str) -> Warehouse:
-        """A copy under another root with each table as one batch of few large files.
-
-        The copy takes the highest batch number, so later batches still follow it.
-        """
-        copy = Warehouse(self.spark, root)
+        written = self._write(table, rows.withColumn("batch_id", F.lit(batch_id)), batch_id, batch_id, 0)
+        manifest = self.manifest(table)
+        version, folders = manifest.read()
+        kept = []
+        for folder in folders:
+            if folder.first == folder.last == batch_id:
+                continue
+            if folder.first <= batch_id <= folder.last and batch_id not in folder.without:
+                folder.without.append(batch_id)
+            kept.append(folder)
+        manifest.write(version, [*kept, written])
+        self.fold(table)
+
+    def fold(self, table: str, least: int = FOLD) -> None:
+        """Fold the folders of each level that has ``least`` of them; not the newest batch."""
+        manifest = self.manifest(table)
+        version, folders = manifest.read()
+        newest = max((f.last for f in folders), default=-1)
+        for level in range(max((f.level for f in folders), default=0) + 1):
+            ready = [f for f in folders if f.level == level and f.last < newest]
+            if len(ready) < least:
+                continue
+            rows = self.with_batches(table, folders=ready)
+            if table not in PARTITIONS:
+                rows = rows.hint("rebalance")
+            first, last = min(f.first for f in ready), max(f.last for f in ready)
+            names = {f.name for f in ready}
+            folded = self._write(table, rows, first, last, level + 1)
+            # Batches of the range that lie elsewhere are not in the folded rows.
+            folders = [*[f for f in folders if f.name not in names], folded]
+            manifest.write(version, folders)
+            version += 1
+
+    def compact(self) -> None:
+        """Fold all but the newest batch of every table now."""
         for table in schemas.TABLES:
-            rows = self.with_batches(table)
-            last = rows.agg(F.max("batch_id").alias("last")).first()["last"]
-            if last is not None:
-                copy.write_batch(table, rows.drop("batch_id").hint("rebalance"), last)
-        return copy
+            self.fold(table, 2)
