@@ -25,8 +25,8 @@ def event_time(epoch: Column) -> Column:
 
 
 def event_instant(epoch: Column) -> Column:
-    """An epoch as an instant, the type watermarks need."""
-    return F.timestamp_micros(_micros(epoch))
+    """A dated epoch as an instant, the type watermarks need."""
+    return F.when(epoch != 0, F.timestamp_micros(_micros(epoch)))
 
 
 def date_key_of(day: Column) -> Column:
@@ -39,6 +39,11 @@ def view_date(epoch: Column) -> Column:
     return F.when(epoch != 0, F.to_date(event_time(epoch)))
 
 
+def dated_time(epoch: Column) -> Column:
+    """The clock reading of an epoch that has a date, NULL for the others."""
+    return F.when(epoch != 0, event_time(epoch))
+
+
 def date_key(epoch: Column) -> Column:
     return date_key_of(view_date(epoch))
 

@@ -1,6 +1,7 @@
 """Dimension rows of a set of logs: one row per key, the first seen.
 
-"First" is the smallest (event time, id), with the attributes as tie-break. Taking the
+"First" is the smallest (event time, id), with the attributes as tie-break; undated rows
+(no epoch or a zero one) come after all others. Taking the
 minimum of one struct combines on the map side, so a key with most of the rows reaches
 its reducer as one row per map task.
 """
@@ -26,7 +27,8 @@ def _typed(rows: DataFrame, table: str) -> DataFrame:
 
 
 def _first(rows: DataFrame, key: str, attributes: list[str]) -> DataFrame:
-    order = F.struct(dates.event_time(F.col("time_stamp")).alias("_at"), "id", *attributes)
+    at = dates.dated_time(F.col("time_stamp"))
+    order = F.struct(at.isNull().alias("_undated"), at.alias("_at"), "id", *attributes)
     first = rows.groupBy(key).agg(F.min(order).alias("_first"))
     return first.select(key, *[F.col(f"_first.{name}") for name in attributes])
 

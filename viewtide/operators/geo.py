@@ -9,9 +9,8 @@ from viewtide import schemas
 from viewtide.functions import keys, web
 from viewtide.operators import lookup
 
-# Range tables measured at up to this size are broadcast; filed by block they take about
-# twice as much.
-BROADCAST_BYTES = 512 * 1024 * 1024
+# A stream's rows meet ranges too big to broadcast in this many places per block.
+STREAM_SALTS = 16
 
 # Block sizes as powers of two: a /24 holds 2**8 addresses, a /16 holds 2**16.
 FINE_BITS = 8
@@ -46,14 +45,18 @@ class IpLocator:
     one block carries most of the traffic.
     """
 
-    def __init__(self, ranges: DataFrame, broadcast_bytes: int = BROADCAST_BYTES):
+    def __init__(self, ranges: DataFrame, broadcast_bytes: int = lookup.BROADCAST_BYTES):
         located = locations(ranges)
         short = (F.col("ip_to") - F.col("ip_from")) < (1 << FINE_BITS)
         self.fine = _blocks(located.where(short), FINE_BITS, "fine")
         self.wide = _blocks(located.where(~short), WIDE_BITS, "wide")
-        # A short range is filed twice at most; the others fill 65,536 blocks in all, and
-        # one more per range.
-        self.broadcasts = lookup.fits_broadcast(ranges, broadcast_bytes)
+        # Measured as filed, which is what would be sent: a short range is filed twice at
+        # most, the others fill 65,536 blocks in all and one more per range.
+        self.filed_bytes = sum(
+            lookup.measured_bytes(blocks.select(f"{tag}_block", f"{tag}_from", f"{tag}_to", f"{tag}_loc.*"))
+            for tag, blocks in (("fine", self.fine), ("wide", self.wide))
+        )
+        self.broadcasts = self.filed_bytes <= broadcast_bytes
         if self.broadcasts:
             self.fine, self.wide = F.broadcast(self.fine), F.broadcast(self.wide)
 
@@ -67,6 +70,12 @@ class IpLocator:
             inside = (F.shiftright("_ip", bits) == F.col(f"{tag}_block")) & F.col("_ip").between(
                 F.col(f"{tag}_from"), F.col(f"{tag}_to")
             )
+            if rows.isStreaming and not self.broadcasts:
+                blocks = blocks.withColumn(
+                    f"{tag}_salt", F.explode(F.sequence(F.lit(0), F.lit(STREAM_SALTS - 1)))
+                )
+                salt = F.pmod(F.xxhash64("id", "time_stamp"), F.lit(STREAM_SALTS))
+                inside = inside & (salt == F.col(f"{tag}_salt"))
             found = found.join(blocks, inside, "left")
         return found.select(*rows.columns, F.coalesce("fine_loc", "wide_loc").alias("loc_info"))
 
@@ -75,7 +84,7 @@ class IpLocator:
 
         With ranges too big to broadcast, each distinct address is looked up once and
         the answers are joined back; that reads ``logs`` more than once, so a stream joins
-        the ranges row by row instead.
+        the ranges row by row instead, each block's rows spread over ``STREAM_SALTS`` keys.
         """
         numbered = logs.withColumn("_ip", web.ipv4_number(F.col("ip")))
         if self.broadcasts or logs.isStreaming:

@@ -14,23 +14,29 @@ WITH numbers AS (SELECT *, (SELECT count(*) FROM pages) AS pages FROM events),
 base AS (
   SELECT cast(e.event_id AS varchar) AS id, '1.0' AS api_version, e.event_type AS collection,
     p.url AS current_url,
-    CASE WHEN e.event_id % 17 = 0 THEN NULL
+    CASE WHEN e.event_id % 19 = 0 THEN '' WHEN e.event_id % 17 = 0 THEN NULL
       ELSE concat('dev-', cast(e.user_id AS varchar)) END AS device_id,
     CASE WHEN e.event_id % 5 = 0 THEN '  ' ELSE cast(e.user_id AS varchar) END AS user_id_db,
     CASE e.event_id % 3 WHEN 0 THEN '1920x1080' WHEN 1 THEN '390x844' END AS resolution,
-    CASE WHEN e.event_id % 4 = 0 THEN ''
+    CASE WHEN e.event_id % 4 = 0 THEN '' WHEN e.event_id % 47 = 0 THEN concat(chr(9), ' ')
       ELSE concat('u', cast(e.user_id AS varchar), '@example.org') END AS email_address,
-    CASE WHEN e.event_id % 29 = 0 THEN NULL
+    CASE WHEN e.event_id % 59 = 0 THEN '300.1.1.1' WHEN e.event_id % 61 = 0 THEN '190.x.1.2'
+      WHEN e.event_id % 29 = 0 THEN NULL
       ELSE concat('10.', cast(e.user_id % 30 AS varchar), '.',
         cast(e.event_id % 256 AS varchar), '.1') END AS ip,
-    strftime(e.ts, '%Y-%m-%d %H:%M:%S') AS local_time,
+    CASE WHEN e.event_id % 53 = 0 THEN '28/05/2024'
+      ELSE strftime(e.ts, '%Y-%m-%d %H:%M:%S') END AS local_time,
     CASE WHEN e.event_id % 7 = 0 THEN NULL
       ELSE [{{'option_id': cast(e.event_id % 7 AS varchar), 'option_label': 'diamond'}}]
+        || CASE WHEN e.event_id % 8 = 0
+          THEN [{{'option_id': cast(e.event_id % 3 AS varchar), 'option_label': 'ruby'}}]
+          ELSE [] END
       END AS "option",
-    CASE WHEN e.event_id % 23 = 0 THEN NULL
+    CASE WHEN e.event_id % 31 = 0 THEN '' WHEN e.event_id % 23 = 0 THEN NULL
       ELSE regexp_extract(e.props, '([0-9]+)', 1) END AS product_id,
     r.url AS referrer_url, cast(e.user_id % 10 AS varchar) AS store_id,
-    CASE WHEN e.event_id % 13 = 0 THEN epoch_us(e.ts) // 1000000 * 1000
+    CASE WHEN e.event_id % 37 = 0 THEN 0 WHEN e.event_id % 41 = 0 THEN NULL
+      WHEN e.event_id % 13 = 0 THEN epoch_us(e.ts) // 1000000 * 1000
       ELSE epoch_us(e.ts) // 1000000 END AS time_stamp,
     CASE e.event_id % 6 {_AGENT} END AS user_agent,
     CASE WHEN e.ts < TIMESTAMP '{AS_OF}' THEN 0 ELSE 1 END AS part
@@ -82,13 +88,18 @@ fact AS (
     time_stamp, collection, current_url, referrer_url
   FROM hashed
   QUALIFY row_number() OVER (PARTITION BY fact_id ORDER BY time_stamp, log_id, part) = 1),
+fact_batches AS (
+  SELECT fact_id, product_id, store_id, location_id, customer_id, date_id, ip_address,
+    time_stamp, collection, current_url, referrer_url, least(part, 1) AS batch
+  FROM hashed
+  QUALIFY row_number() OVER (PARTITION BY fact_id ORDER BY least(part, 1), log_id, part) = 1),
 customers AS (
   SELECT coalesce(nullif(device_id, ''), '-1') AS customer_id, email_address, user_agent,
-    user_id_db, resolution, viewed, id, part
+    user_id_db, resolution, CASE WHEN time_stamp <> 0 THEN viewed END AS viewed, id, part
   FROM located
   WHERE coalesce(nullif(user_agent, ''), nullif(device_id, ''), nullif(email_address, ''),
     nullif(user_id_db, ''), nullif(resolution, '')) IS NOT NULL),
-dim_customer AS (
+customer_rows AS (
   SELECT customer_id,
     CASE WHEN regexp_matches(email_address, '\\S') THEN email_address
       ELSE 'Not Defined' END AS email_address,
@@ -98,9 +109,16 @@ dim_customer AS (
       ELSE 'Not Defined' END AS user_id_db,
     CASE WHEN regexp_matches(resolution, '\\S') THEN resolution
       ELSE 'Not Defined' END AS resolution,
-    part
-  FROM customers
-  QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY viewed, id, part) = 1),
+    viewed, id, part
+  FROM customers),
+dim_customer AS (
+  SELECT * EXCLUDE (viewed, id) FROM customer_rows
+  QUALIFY row_number() OVER (
+    PARTITION BY customer_id ORDER BY viewed NULLS LAST, id, part) = 1),
+customer_batches AS (
+  SELECT * EXCLUDE (viewed, id, part), least(part, 1) AS batch FROM customer_rows
+  QUALIFY row_number() OVER (
+    PARTITION BY customer_id ORDER BY least(part, 1), viewed NULLS LAST, id, part) = 1),
 dim_location AS (
   SELECT location_id, country_name, country_short, region_name, city_name
   FROM located WHERE location_id IS NOT NULL
@@ -130,8 +148,9 @@ offsets AS (
 _LOG = """id, api_version, collection, current_url, device_id, user_id_db, resolution,
   email_address, ip, {local_time} AS local_time, {option} product_id, referrer_url, store_id,
   time_stamp, user_agent"""
+_OPTION = 'cast(to_json("option") AS varchar) AS "option",'
 _LANDED = _LOG.format(
-    local_time="cast(local_time AS timestamp)", option='cast(to_json("option") AS varchar) AS "option",'
+    local_time="try_cast(local_time AS timestamp)", option=_OPTION
 )
 
 _RANKED = "SELECT {key}, count(*) AS views FROM {rows} GROUP BY {key} ORDER BY views DESC, {key}"
@@ -141,8 +160,29 @@ SELECT cast(h.range AS int) AS view_hour, coalesce(c.views, 0) AS views
 FROM range(24) h LEFT JOIN counts c ON c.view_hour = h.range
 WHERE EXISTS (SELECT 1 FROM counts)"""
 
-_FACT_BATCHES = f"""SELECT *, cast(CASE WHEN time_stamp < TIMESTAMP '{AS_OF}' THEN 0 ELSE 1 END
-  AS {{kind}}) AS batch_id FROM fact"""
+_FACT_BATCHES = "SELECT * EXCLUDE (batch), cast(batch AS {kind}) AS batch_id FROM fact_batches"
+
+# A message's text: fields in their order without NULL ones, compact.
+_FIELDS = [
+    "id", "api_version", "collection", "current_url", "device_id", "user_id_db", "resolution",
+    "email_address", "ip", "local_time", "option", "product_id", "referrer_url", "store_id",
+    "time_stamp", "user_agent",
+]
+
+
+def _json(epoch: str, email: str) -> str:
+    values = ", ".join(
+        f"""'{email if n == "email_address" else n}': {epoch if n == "time_stamp" else f'"{n}"'}"""
+        for n in _FIELDS
+    )
+    return f"cast(json_merge_patch('{{{{}}}}', to_json({{{{{values}}}}})) AS varchar)"
+
+
+_RELAYED = f"""SELECT CASE WHEN cast(id AS bigint) % 43 = 0
+    THEN {_json("cast(time_stamp AS varchar)", "email_address")}
+  WHEN cast(id AS bigint) % 3 = 1 THEN {_json("time_stamp", "email")}
+  ELSE {_json("time_stamp", "email_address")} END AS value
+FROM logs UNION ALL SELECT value FROM malformed""".replace("{{", "{").replace("}}", "}")
 
 _EARLY = {
     "product_id": "SELECT product_id FROM hashed WHERE part = 0",
@@ -175,15 +215,18 @@ _PRODUCT_REST = ", ".join(
 _SELECTS = {
     "parse_logs": "SELECT "
     + _LOG.format(
-        local_time="local_time",
-        option='"option"[1].option_id AS option_id, "option"[1].option_label AS option_label,',
+        local_time="local_time", option=_OPTION
     )
     + " FROM logs",
     "parse_rejects": r"""SELECT value FROM malformed
         WHERE NOT coalesce(json_valid(value) AND regexp_matches(value, '^\s*\{'), false)""",
     "raw_log_landing": f"SELECT {_LANDED} FROM logs",
-    "batch_row_counts": "SELECT cast(part AS bigint) AS batch_id, count(*) AS row_count "
-    "FROM logs GROUP BY part",
+    "batch_row_counts": f"""SELECT cast(part AS bigint) AS batch_id,
+        cast(count(*) AS bigint) AS row_count, cast(sum(bad) AS bigint) AS reject_count
+        FROM (SELECT part, 0 AS bad FROM logs
+          UNION ALL SELECT CASE WHEN ts < TIMESTAMP '{AS_OF}' THEN 0 ELSE 1 END, 1
+          FROM events WHERE event_id % {MALFORMED_EVERY} = 0)
+        GROUP BY part""",
     "geo_enrich": "SELECT id, ip, location_id, country_name, country_short, region_name, "
     "city_name FROM located",
     "dim_product": f"SELECT DISTINCT product_id, {_PRODUCT_REST} FROM hashed "
@@ -193,7 +236,8 @@ _SELECTS = {
     "dim_location": "SELECT * FROM dim_location",
     "dim_customer": "SELECT * EXCLUDE (part) FROM dim_customer",
     "dim_date": "SELECT * FROM dim_date",
-    "dim_increment": "SELECT * EXCLUDE (part), cast(part AS int) AS batch_id FROM dim_customer",
+    "dim_increment": "SELECT * EXCLUDE (batch), cast(batch AS int) AS batch_id "
+    "FROM customer_batches",
     "fact_product_views": "SELECT * FROM fact",
     "fact_via_dim_joins": "SELECT * FROM fact",
     "fact_increment": _FACT_BATCHES.format(kind="int"),
@@ -213,7 +257,7 @@ _SELECTS = {
     + " LIMIT 10",
     "report_hourly_traffic": _HOURS.format(where=""),
     "report_user_agents": _RANKED.format(
-        key="user_agent", rows="today JOIN dim_customer USING (customer_id)"
+        key="user_agent", rows="today JOIN customer_batches USING (customer_id)"
     ),
     "report_top_referrers": _RANKED.format(key="referrer_url", rows="today") + " LIMIT 5",
     "report_stores_by_country": _RANKED.format(
@@ -222,28 +266,35 @@ _SELECTS = {
     ),
     "report_product_hourly": _HOURS.format(where=f"WHERE product_id = '{PRODUCT}'"),
     "report_browser_os_hourly": f"""SELECT view_hour, {_BROWSER} AS browser, {_SYSTEM} AS os,
-        count(*) AS views FROM today JOIN dim_customer c USING (customer_id)
+        count(*) AS views FROM today JOIN customer_batches c USING (customer_id)
         GROUP BY 1, 2, 3 ORDER BY 1, 2, 3""",
     "domain_log_type_counts": """SELECT
         regexp_extract(current_url, '^[a-z]+://([^/?#:]+)', 1) AS host, collection,
         count(*) AS views FROM logs GROUP BY 1, 2""",
-    "star_sql": "SELECT country_name, store_id, count(*) AS views "
-    "FROM today JOIN dim_location USING (location_id) GROUP BY country_name, store_id",
+    "star_sql": """, busy AS (
+        SELECT store_id, cast(hour(time_stamp) AS int) AS at_hour, customer_id, count(*) AS seen
+        FROM fact WHERE date_id BETWEEN 20240115 AND 20240117 AND customer_id IS NOT NULL
+        GROUP BY ALL)
+        SELECT concat('Store ', store_id) AS store_name, at_hour, count(*) AS customers,
+          max(seen) AS most_views
+        FROM busy WHERE store_id IS NOT NULL GROUP BY ALL""",
     "stream_fact": _FACT_BATCHES.format(kind="bigint"),
     "stream_raw": f"SELECT {_LANDED}, cast(part AS bigint) AS batch_id FROM logs",
+    "star_compacted_replay": _FACT_BATCHES.format(kind="bigint"),
+    "stream_undated": "SELECT id, device_id, product_id, time_stamp FROM logs "
+    "WHERE coalesce(time_stamp, 0) = 0",
     "stream_replay_idempotent": _FACT_BATCHES.format(kind="bigint"),
     "stream_hourly_traffic": "SELECT date_trunc('hour', viewed) AS hour_start, count(*) AS views "
-    "FROM numbered GROUP BY 1",
-    "stream_dedup_watermark": "SELECT DISTINCT fact_id, date_id, time_stamp FROM hashed",
-    "topic_relay": """SELECT id, device_id, product_id, user_agent, time_stamp,
-        true AS accepted, cast(NULL AS varchar) AS rejected FROM logs
-        UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, false, value FROM malformed""",
+    "FROM numbered WHERE time_stamp <> 0 GROUP BY 1",
+    "stream_dedup_watermark": "SELECT * FROM fact WHERE date_id IS NOT NULL",
+    "topic_relay": _RELAYED,
     "consumer_lag": "SELECT topic, cast(sum(end_offset - coalesce(committed_offset, 0)) "
     "AS bigint) AS total_lag FROM offsets GROUP BY topic",
     "pipeline_freshness": """SELECT date_id, cast(hour(time_stamp) AS int) AS view_hour,
         count(*) AS views, max(time_stamp) AS last_view,
         date_diff('second', max(time_stamp), TIMESTAMP '2024-03-01 00:00:00') AS gap_seconds
-        FROM fact WHERE date_id IS NOT NULL GROUP BY 1, 2""",
+        FROM (SELECT date_id, CASE WHEN date_id IS NOT NULL THEN time_stamp END AS time_stamp
+          FROM fact) GROUP BY 1, 2""",
     "missing_partitions": """SELECT t.topic, t.partition
         FROM (SELECT DISTINCT topic, cast(unnest(range(6)) AS int) AS partition FROM offsets) t
         WHERE NOT EXISTS (SELECT 1 FROM offsets o

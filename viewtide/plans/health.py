@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,13 +48,16 @@ def missing_partitions(expected: DataFrame, observed: DataFrame) -> DataFrame:
 
 
 def pipeline_freshness(fact: DataFrame, as_of: str) -> DataFrame:
-    """Per hour of the fact: its volume, its last view and the seconds since then."""
-    last = F.max("time_stamp")
+    """Per hour of the fact: its volume, its last view and the seconds since then.
+
+    Views without a date (no epoch, a zero one, or one outside the years 1 to 9999) are in
+    no report; they are counted here, in one row without an hour.
+    """
+    at = F.when(F.col("date_id").isNotNull(), F.col("time_stamp"))
+    last = F.max(at)
     gap = F.timestamp_diff("SECOND", last, F.lit(as_of).cast("timestamp_ntz"))
-    return (
-        fact.where(F.col("date_id").isNotNull())
-        .groupBy("date_id", F.hour("time_stamp").alias("view_hour"))
-        .agg(F.count("*").alias("views"), last.alias("last_view"), gap.alias("gap_seconds"))
+    return fact.groupBy("date_id", F.hour(at).alias("view_hour")).agg(
+        F.count("*").alias("views"), last.alias("last_view"), gap.alias("gap_seconds")
     )
 
 
@@ -62,6 +67,26 @@ def message_counts() -> list[Column]:
     return [F.count(F.lit(1)).alias("row_count"), F.count_if(rejected).alias("reject_count")]
 
 
-def batch_row_counts(rows: DataFrame) -> DataFrame:
-    """Rows per load batch of a table with ``batch_id``."""
-    return rows.groupBy("batch_id").agg(F.count("*").alias("row_count"))
+def batch_row_counts(counts: DataFrame) -> DataFrame:
+    """Messages and rejects of each landed batch, as the landing counted them."""
+    return counts.groupBy("batch_id").agg(
+        F.sum("row_count").alias("row_count"), F.sum("reject_count").alias("reject_count")
+    )
+
+
+def lag_of_query(query) -> list[dict]:
+    """Topics, partitions and offsets that a running stream last reported, one entry each.
+
+    ``offsets_from_json`` takes ``end_offsets`` and ``committed_offsets`` of the entries.
+    """
+    progress = query.lastProgress
+    if progress is None:
+        return []
+    return [
+        {"end_offsets": _text(source["latestOffset"]), "committed_offsets": _text(source["endOffset"])}
+        for source in (s if isinstance(s, dict) else json.loads(s.json) for s in progress["sources"])
+    ]
+
+
+def _text(offsets) -> str | None:
+    return offsets if offsets is None or isinstance(offsets, str) else json.dumps(offsets)

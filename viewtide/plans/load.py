@@ -132,7 +132,12 @@ def load_micro_batch(
     warehouse: Warehouse, messages: DataFrame, locator: IpLocator, batch_id: int
 ) -> int:
     """Load a micro-batch; returns its number of messages. An empty one is skipped."""
-    with _persisted(_locate(parse.parse_messages(messages), locator)) as staged:
+    with ExitStack() as kept:
+        parsed = parse.parse_messages(messages)
+        if not locator.broadcasts:
+            # The addresses are then read more than once.
+            parsed = kept.enter_context(_persisted(parsed))
+        staged = kept.enter_context(_persisted(_locate(parsed, locator)))
         survey = _survey(staged)
         if survey.rows:
             _merge_batch(warehouse, staged, batch_id, survey)
@@ -142,8 +147,14 @@ def load_micro_batch(
 def land_micro_batch(warehouse: Warehouse, messages: DataFrame, batch_id: int) -> int:
     """Land a micro-batch flat, without star tables; returns its number of messages."""
     with _persisted(parse.parse_messages(messages)) as parsed:
-        rows = parsed.count()
+        counts = parsed.agg(
+            F.count("*").alias("row_count"),
+            F.count_if(~F.col("accepted")).alias("reject_count"),
+        ).first()
+        rows = counts["row_count"]
         if rows:
+            counted = warehouse.spark.createDataFrame([counts], "row_count long, reject_count long")
+            warehouse.write_batch("landed_counts", counted, batch_id)
             logs = parsed.where("accepted").select(*schemas.LOG_FIELDS)
             warehouse.write_batch("user_log_raw", parse.raw_log_landing(logs), batch_id)
             rejects = parsed.where(~F.col("accepted")).select("value")

@@ -10,11 +10,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewtide import schemas
-from viewtide.functions import dates, web
+from viewtide.functions import web
 from viewtide.sources.warehouse import Warehouse
 
 Day = dt.date | str | None
@@ -29,17 +29,20 @@ def query(
     return warehouse.spark.sql(sql, args=dict(params or {}))
 
 
-def _day(as_of: Day) -> Column:
-    return F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
+def _day(warehouse: Warehouse, as_of: Day) -> dt.date:
+    if as_of is None:
+        return warehouse.spark.range(1).select(F.current_date()).first()[0]
+    return as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(as_of)
 
 
 def views_of_day(warehouse: Warehouse, as_of: Day = None) -> DataFrame:
-    """Fact rows of one day that is in the date dimension."""
-    day = _day(as_of)
-    views = warehouse.table("fact_product_views").where(F.col("date_id") == dates.date_key_of(day))
+    """Fact rows of one day that is in the date dimension; only its folders are opened."""
+    day = _day(warehouse, as_of)
+    key = day.year * 10_000 + day.month * 100 + day.day
+    views = warehouse.table("fact_product_views", [key]).where(F.col("date_id") == key)
     # date_id is the dimension's primary key: this side has one row at most.
     known = warehouse.table("dim_date").where(
-        (F.col("full_date") == day) & (F.col("date_id") == dates.date_key_of(day))
+        (F.col("full_date") == F.lit(day)) & (F.col("date_id") == key)
     )
     return views.join(F.broadcast(known.select("date_id")), "date_id", "left_semi")
 
@@ -62,14 +65,13 @@ def _through(counts: DataFrame, dimension: DataFrame, key: str, *labels: str) ->
 def _by_hour(views: DataFrame) -> DataFrame:
     """Views for each of the 24 hours, zeros filled in; no rows when there are no views."""
     counts = _count(views.select(F.hour("time_stamp").alias("view_hour")), "view_hour")
-    hours = counts.sparkSession.range(24).select(F.col("id").cast("int").alias("view_hour"))
     # Grouped by hour of day, the counts have 24 rows at most.
-    filled = hours.join(F.broadcast(counts), "view_hour", "left")
-    seen = F.count("views").over(Window.partitionBy(F.lit(0)))
-    filled = filled.withColumn("_seen", seen).where("_seen > 0")
-    return filled.select(
-        "view_hour", F.coalesce("views", F.lit(0).cast("bigint")).alias("views")
-    ).orderBy("view_hour")
+    found = counts.agg(F.map_from_entries(F.collect_list(F.struct("view_hour", "views"))).alias("_of"))
+    hours = found.where(F.size("_of") > 0).select(
+        "_of", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("view_hour")
+    )
+    views = F.coalesce(F.try_element_at("_of", F.col("view_hour")), F.lit(0).cast("bigint"))
+    return hours.select("view_hour", views.alias("views")).orderBy("view_hour")
 
 
 def top_products(warehouse: Warehouse, as_of: Day = None, limit: int = 10) -> DataFrame:

@@ -12,7 +12,7 @@ from viewtide import schemas
 from viewtide.operators import dims, facts, merge, parse
 from viewtide.operators.geo import IpLocator
 from viewtide.plans import health, load, reports
-from viewtide.session import new_scratch
+from viewtide.session import new_scratch, stateful_session
 from viewtide.sources import clickstream
 from viewtide.sources.messages import read_message_stream, read_messages
 from viewtide.sources.warehouse import Warehouse
@@ -22,12 +22,15 @@ AS_OF = "2024-01-15"
 COUNTRY = "NATION_3"
 PRODUCT = "42"
 AT_ONCE = {"availableNow": True}
+# Hourly counts are few: one row per hour and map task reaches the state.
+HOURLY_STATE = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 _topics: dict[tuple[str, str], str] = {}
 _loaded: dict[tuple[str, str], Warehouse] = {}
+_landed: dict[tuple[str, str], Warehouse] = {}
 _preparing = threading.RLock()
 
 
@@ -78,12 +81,8 @@ def load_star(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def parse_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    option = F.get("option", F.lit(0))
-    return _logs(spark, sf_dir).select(
-        *[name for name in schemas.LOG_FIELDS if name != "option"],
-        option["option_id"].alias("option_id"),
-        option["option_label"].alias("option_label"),
-    )
+    """All fields; the product options, which may be several, as JSON text."""
+    return _logs(spark, sf_dir).withColumn("option", F.to_json("option"))
 
 
 def parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,16 +195,18 @@ def domain_log_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SQL text over the star tables with a bound parameter."""
+    """SQL text over the star tables with bound parameters: customers per store and hour."""
     return reports.query(
         load_star(spark, sf_dir),
-        """SELECT l.country_name, f.store_id, COUNT(*) AS views
-        FROM fact_product_views f
-        JOIN dim_location l ON f.location_id = l.location_id
-        JOIN dim_date d ON f.date_id = d.date_id
-        WHERE d.full_date = CAST(:as_of AS DATE)
-        GROUP BY l.country_name, f.store_id""",
-        {"as_of": AS_OF},
+        """WITH busy AS (
+          SELECT store_id, hour(time_stamp) AS at_hour, customer_id, count(*) AS seen
+          FROM fact_product_views
+          WHERE date_id BETWEEN :from_day AND :to_day AND customer_id IS NOT NULL
+          GROUP BY ALL)
+        SELECT store_name, at_hour, count(*) AS customers, max(seen) AS most_views
+        FROM busy JOIN dim_store USING (store_id)
+        GROUP BY store_name, at_hour""",
+        {"from_day": 20240115, "to_day": 20240117},
     )
 
 
@@ -233,67 +234,105 @@ def stream_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.with_batches("fact_product_views")
 
 
-def _raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    warehouse = Warehouse(spark, new_scratch(spark, "raw"))
-    checkpoint = new_scratch(spark, "checkpoint")
-    _stream_parts(
-        spark, sf_dir, lambda stream: jobs.start_raw(stream, warehouse, checkpoint, AT_ONCE)
-    )
-    return warehouse.with_batches("user_log_raw")
+def _raw_landing(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """All messages landed by a stream, once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _preparing:
+        if key not in _landed:
+            warehouse = Warehouse(spark, new_scratch(spark, "raw"))
+            checkpoint = new_scratch(spark, "checkpoint")
+            _stream_parts(
+                spark, sf_dir, lambda stream: jobs.start_raw(stream, warehouse, checkpoint, AT_ONCE)
+            )
+            _landed[key] = warehouse
+        return _landed[key]
 
 
 def stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _raw_landing(spark, sf_dir)
+    return _raw_landing(spark, sf_dir).with_batches("user_log_raw")
 
 
 def batch_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return health.batch_row_counts(_raw_landing(spark, sf_dir))
+    return health.batch_row_counts(_raw_landing(spark, sf_dir).with_batches("landed_counts"))
+
+
+def _forget_last_commit(spark: SparkSession, checkpoint: str) -> None:
+    """Leave a stream's checkpoint as if it had died before its last batch was committed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    commits = [s.getPath() for s in fs.listStatus(path) if s.getPath().getName().isdigit()]
+    fs.delete(max(commits, key=lambda p: int(p.getName())), False)
 
 
 def stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch, an overlapping one, and the overlapping one once more."""
+    """The star stream, dying after each of its batches and repeating it when it restarts."""
+    warehouse = Warehouse(spark, new_scratch(spark, "star"))
+    locator, checkpoint = _locator(spark, sf_dir), new_scratch(spark, "checkpoint")
+
+    def start(stream: DataFrame):
+        query = jobs.start_star(stream, warehouse, locator, checkpoint, AT_ONCE)
+        query.awaitTermination()
+        _forget_last_commit(spark, checkpoint)
+        return jobs.start_star(stream, warehouse, locator, checkpoint, AT_ONCE)
+
+    _stream_parts(spark, sf_dir, start)
+    return warehouse.with_batches("fact_product_views")
+
+
+def star_compacted_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load a batch and an overlapping one, compact, repeat the last, load all once more."""
     warehouse = Warehouse(spark, new_scratch(spark, "star"))
     locator = _locator(spark, sf_dir)
-    load.load_micro_batch(warehouse, _messages(spark, sf_dir, "early"), locator, 0)
-    for _ in range(2):
-        load.load_micro_batch(warehouse, _messages(spark, sf_dir), locator, 1)
+    early, late = (_messages(spark, sf_dir, part) for part in ("early", "late"))
+    for batch_id, batch in enumerate((early, late)):
+        load.load_table_batch(warehouse, batch, locator, batch_id)
+    warehouse.fold("fact_product_views", 1)
+    load.load_table_batch(warehouse, late, locator, 1)
+    load.load_table_batch(warehouse, _messages(spark, sf_dir), locator, 2)
+    warehouse.compact()
     return warehouse.with_batches("fact_product_views")
 
 
 def stream_hourly_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, checkpoint = new_scratch(spark, "hourly"), new_scratch(spark, "checkpoint")
     _stream_parts(
-        spark,
+        stateful_session(spark, HOURLY_STATE),
         sf_dir,
         lambda stream: jobs.start_hourly_traffic(stream, target, checkpoint, AT_ONCE),
     )
-    return spark.read.parquet(target)
+    return jobs.read_version(spark, target)
 
 
 def stream_dedup_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The delay exceeds the span of the data, so no copy can come too late."""
+    """A delay far shorter than the data: the replayed views are repeated to state that has
+    forgotten most of them, and are late by then."""
     target, checkpoint = new_scratch(spark, "unique"), new_scratch(spark, "checkpoint")
-    locator, slots = _locator(spark, sf_dir), spark.sparkContext.defaultParallelism
+    own = stateful_session(spark, spark.sparkContext.defaultParallelism)
+    locator = _locator(own, sf_dir)
     _stream_parts(
-        spark,
+        own,
         sf_dir,
-        lambda stream: jobs.start_dedup(
-            stream, locator, target, checkpoint, "3650 days", AT_ONCE, state_partitions=slots
-        ),
+        lambda stream: jobs.start_dedup(stream, locator, target, checkpoint, "1 day", AT_ONCE),
     )
     return spark.read.parquet(target)
 
 
+def stream_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The logs that the de-duplication cannot place in time."""
+    target, checkpoint = new_scratch(spark, "undated"), new_scratch(spark, "checkpoint")
+    _stream_parts(
+        spark, sf_dir, lambda stream: jobs.start_undated(stream, target, checkpoint, AT_ONCE)
+    )
+    return spark.read.parquet(target).select("id", "device_id", "product_id", "time_stamp")
+
+
 def topic_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The relayed messages, text for text."""
     target, checkpoint = new_scratch(spark, "relay"), new_scratch(spark, "checkpoint")
     _stream_parts(
         spark, sf_dir, lambda stream: jobs.start_relay(stream, target, checkpoint, AT_ONCE)
     )
-    relayed = parse.parse_messages(read_messages(spark, target))
-    return relayed.select(
-        "id", "device_id", "product_id", "user_agent", "time_stamp", "accepted",
-        F.when(~F.col("accepted"), F.col("value")).alias("rejected"),
-    )
+    return read_messages(spark, target)
 
 
 # -- health ----------------------------------------------------------------------------
@@ -323,8 +362,8 @@ QUERIES: dict[str, Query] = {
         report_top_products, report_top_countries, report_hourly_traffic,
         report_user_agents, report_top_referrers, report_stores_by_country,
         report_product_hourly, report_browser_os_hourly, domain_log_type_counts, star_sql,
-        stream_fact, stream_raw, stream_replay_idempotent, stream_hourly_traffic,
-        stream_dedup_watermark, topic_relay,
+        stream_fact, stream_raw, stream_replay_idempotent, star_compacted_replay,
+        stream_hourly_traffic, stream_dedup_watermark, stream_undated, topic_relay,
         consumer_lag, pipeline_freshness, missing_partitions,
     )
 }

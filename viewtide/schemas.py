@@ -106,6 +106,7 @@ TABLES: dict[str, dict[str, str]] = {
     "user_log_raw": {**LOG_FIELDS, "local_time": "timestamp_ntz", "option": "string"},
     "log_rejects": {"value": "string"},
     "user_log_raw_rejects": {"value": "string"},
+    "landed_counts": {"row_count": "bigint", "reject_count": "bigint"},
 }
 
 PRIMARY_KEYS = {

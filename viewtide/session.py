@@ -29,6 +29,19 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+def stateful_session(spark: SparkSession, partitions: int) -> SparkSession:
+    """A session of its own for a stateful stream, with its number of state partitions.
+
+    The number holds for the life of the checkpoint; other sessions keep theirs.
+    """
+    own = spark.newSession()
+    for key, value in DEFAULTS.items():
+        if key.startswith("spark.sql."):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return own
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 

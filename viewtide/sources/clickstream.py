@@ -1,7 +1,9 @@
 """Clickstream messages and IP ranges derived from the given test tables.
 
 Every event becomes one log record; its page and referrer come from the whole pages
-table. Some records come twice (replays) and some lines are malformed.
+table. Some records come twice (replays) and some lines are malformed. Odd values are
+spread over the records: epochs that are zero, missing or text, empty and blank texts,
+addresses that are none, bad local times, two options, and the other name of the e-mail.
 """
 
 from __future__ import annotations
@@ -13,8 +15,8 @@ from viewtide import schemas
 
 # User agents by event number modulo 6; the sixth is blank.
 USER_AGENTS = [
-    "Mozilla/5.0 (iPhone; CPU iPhone OS 13_4_1 like Mac OS X) AppleWebKit/605.1.15 "
-    "(KHTML, like Gecko) Version/13.1 Mobile/15E148 Safari/604.1",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS 16_2 like Mac OS X) AppleWebKit/605.1.15 "
+    "(KHTML, like Gecko) Version/16.2 Mobile/15E148 Safari/604.1",
     "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 "
     "(KHTML, like Gecko) Chrome/120.0.0.0 Safari/537.36",
     "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 "
@@ -74,35 +76,60 @@ def _records(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
     for number, value in enumerate(USER_AGENTS[1:], start=1):
         agent = agent.when(event % 6 == number, value)
     seconds = _epoch(F.col("ts"))
-    option = F.array(
-        F.struct(text(event % 7).alias("option_id"), F.lit("diamond").alias("option_label"))
+    choice = lambda of, label: F.struct(
+        text(of).alias("option_id"), F.lit(label).alias("option_label")
     )
+    option = F.when(
+        every(8), F.array(choice(event % 7, "diamond"), choice(event % 3, "ruby"))
+    ).otherwise(F.array(choice(event % 7, "diamond")))
     fields = {
         "id": text(event),
         "api_version": F.lit("1.0"),
         "collection": F.col("event_type"),
         "current_url": F.col("current_url"),
-        "device_id": F.when(~every(17), F.concat(F.lit("dev-"), text(user))),
+        "device_id": F.when(every(19), "").when(~every(17), F.concat(F.lit("dev-"), text(user))),
         "user_id_db": F.when(every(5), "  ").otherwise(text(user)),
         "resolution": F.when(every(3), "1920x1080").when(event % 3 == 1, "390x844"),
-        "email_address": F.when(every(4), "").otherwise(
+        "email_address": F.when(every(4), "").when(every(47), "\t ").otherwise(
             F.concat(F.lit("u"), text(user), F.lit("@example.org"))
         ),
-        "ip": F.when(
+        "ip": F.when(every(59), "300.1.1.1").when(every(61), "190.x.1.2").when(
             ~every(29),
             F.concat(F.lit("10."), text(user % 30), F.lit("."), text(event % 256), F.lit(".1")),
         ),
-        "local_time": F.substring(text(F.col("ts")), 1, 19),
+        "local_time": F.when(every(53), "28/05/2024").otherwise(F.substring(text(F.col("ts")), 1, 19)),
         "option": F.when(~every(7), option),
-        "product_id": F.when(~every(23), F.regexp_extract("props", "([0-9]+)", 1)),
+        "product_id": F.when(every(31), "").when(~every(23), F.regexp_extract("props", "([0-9]+)", 1)),
         "referrer_url": F.col("referrer_url"),
         "store_id": text(user % 10),
-        "time_stamp": F.when(every(13), seconds * 1_000).otherwise(seconds),
+        "time_stamp": F.when(every(37), 0).when(~every(41), F.when(
+            every(13), seconds * 1_000
+        ).otherwise(seconds)),
         "user_agent": agent,
     }
     return pages_seen.select(*[c.alias(n) for n, c in fields.items()])
 
 
+def _line() -> Column:
+    """A record as JSON: some epochs as text, some e-mails under their other name."""
+
+    def fields(text_epoch: bool, other_name: bool) -> Column:
+        epoch = F.col("time_stamp").cast("string").alias("time_stamp")
+        email = F.col("email_address").alias("email")
+        return F.to_json(F.struct(*[
+            epoch if name == "time_stamp" and text_epoch
+            else email if name == "email_address" and other_name else F.col(name)
+            for name in schemas.LOG_FIELDS
+        ]))
+
+    number = F.col("id").cast("bigint")
+    return (
+        F.when(number % 43 == 0, fields(True, False))
+        .when(number % 3 == 1, fields(False, True))
+        .otherwise(fields(False, False))
+    )
+
+
 def _malformed(events: DataFrame) -> DataFrame:
     """Broken lines beside the good ones: cut off, plain text, an array, empty, null."""
     event = F.col("event_id")
@@ -122,7 +149,7 @@ def messages(spark: SparkSession, sf_dir: str, part: str, split_at: str) -> Data
     """JSON text messages of one of ``PARTS``, with the malformed lines of that part."""
     events = _events(spark, sf_dir, part, split_at)
     records = _records(spark, sf_dir, events)
-    lines = records.select(F.to_json(F.struct(*schemas.LOG_FIELDS)).alias("value"))
+    lines = records.select(_line().alias("value"))
     return lines if part == "replay" else lines.unionByName(_malformed(events))
 
 

@@ -6,8 +6,8 @@ at ``first_batch``, so a stream can follow earlier loads of the same tables.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
+import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from viewtide.functions import dates
 from viewtide.operators import facts, parse
 from viewtide.operators.geo import IpLocator
 from viewtide.plans import health, load
+from viewtide.sources.manifest import Folder, Manifest
 from viewtide.sources.messages import KafkaTopic
 from viewtide.sources.warehouse import Warehouse
 
@@ -26,33 +27,10 @@ STAR_TRIGGER: Trigger = {"processingTime": "15 seconds"}
 RAW_TRIGGER: Trigger = {"processingTime": "10 seconds"}
 
 
-# Hourly counts are few: one row per hour and map task reaches the state.
-HOURLY_STATE_PARTITIONS = 8
-
-
 def _start(writer: DataStreamWriter, checkpoint: str, trigger: Trigger) -> StreamingQuery:
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-@contextmanager
-def _state_partitions(spark: SparkSession, number: int | None) -> Iterator[None]:
-    """Shuffle partitions for a query started inside.
-
-    A stateful query takes the session's number when it first starts and keeps it for the
-    life of its checkpoint.
-    """
-    if number is None:
-        yield
-        return
-    setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(number))
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
 def start_star(
     messages: DataFrame,
     warehouse: Warehouse,
@@ -91,7 +69,9 @@ def start_relay(
     """Pass the messages on unchanged to a topic or to a folder of text files.
 
     Offsets are committed by the checkpoint once a batch is written. The progress of the
-    query reports ``row_count`` and ``reject_count`` per batch under ``messages``.
+    query reports ``row_count`` and ``reject_count`` per batch under ``messages``. A folder
+    gets one line per message, so a message must not hold line breaks there; a topic takes
+    any bytes.
     """
     passed = messages.select("value").observe("messages", *health.message_counts())
     if isinstance(target, KafkaTopic):
@@ -102,18 +82,17 @@ def start_relay(
 
 
 def start_hourly_traffic(
-    messages: DataFrame,
-    target: str,
-    checkpoint: str,
-    trigger: Trigger,
-    state_partitions: int | None = HOURLY_STATE_PARTITIONS,
+    messages: DataFrame, target: str, checkpoint: str, trigger: Trigger
 ) -> StreamingQuery:
     """Logs received per hour of their event time, over the whole history.
 
-    The state is one row per hour, so it needs no watermark and late logs still count.
+    The state is one row per hour, so it needs no watermark and late logs still count. Each
+    batch writes a version of its own; ``read_version`` reads the newest whole one. State
+    is kept in as many partitions as the session of ``messages`` shuffles to when the
+    query first starts: see ``session.stateful_session``.
     """
     logs = parse.parse_logs(messages).select(
-        dates.event_time(F.col("time_stamp")).alias("viewed_at")
+        dates.dated_time(F.col("time_stamp")).alias("viewed_at")
     )
     counts = (
         logs.where(F.col("viewed_at").isNotNull())
@@ -123,11 +102,23 @@ def start_hourly_traffic(
     )
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
+        publish_version(batch, target, batch_id)
+
+    return _start(counts.writeStream.outputMode("complete").foreachBatch(publish), checkpoint, trigger)
 
-    writer = counts.writeStream.outputMode("complete").foreachBatch(publish)
-    with _state_partitions(messages.sparkSession, state_partitions):
-        return _start(writer, checkpoint, trigger)
+
+def publish_version(rows: DataFrame, target: str, version: int) -> None:
+    """Write a version of a small table and list it as the live one."""
+    name = f"version-{version}-{uuid.uuid4().hex}"
+    rows.write.parquet(f"{target}/{name}")
+    manifest = Manifest(rows.sparkSession, target)
+    manifest.write(manifest.read()[0], [Folder(name, version, version)])
+
+
+def read_version(spark: SparkSession, target: str) -> DataFrame:
+    """The version that was published last."""
+    folder = Manifest(spark, target).read()[1][-1]
+    return spark.read.parquet(f"{target}/{folder.name}")
 
 
 def start_dedup(
@@ -137,13 +128,27 @@ def start_dedup(
     checkpoint: str,
     delay: str,
     trigger: Trigger,
-    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Fact keys once each, with state bounded to ``delay`` of event time."""
+    """Dated fact rows once each, with state bounded to ``delay`` of event time.
+
+    A copy that comes more than ``delay`` behind the newest view is dropped as late, like
+    any view as old. Undated logs have no event time to forget them by; they are left out
+    here and go to ``start_undated``.
+    """
     logs = parse.parse_logs(messages)
     timed = logs.withColumn("_instant", dates.event_instant(F.col("time_stamp")))
-    rows = facts.fact_rows(locator.enrich(timed.withWatermark("_instant", delay)), "_instant")
-    unique = rows.dropDuplicatesWithinWatermark(["fact_id"])
-    writer = unique.select("fact_id", "date_id", "time_stamp").writeStream.outputMode("append").format("parquet").option("path", target)
-    with _state_partitions(messages.sparkSession, state_partitions):
-        return _start(writer, checkpoint, trigger)
+    dated = timed.where(F.col("_instant").isNotNull()).withWatermark("_instant", delay)
+    rows = facts.fact_rows(locator.enrich(dated), "_instant")
+    unique = rows.dropDuplicatesWithinWatermark(["fact_id"]).select(*facts.FACT_COLUMNS)
+    writer = unique.writeStream.outputMode("append").format("parquet").option("path", target)
+    return _start(writer, checkpoint, trigger)
+
+
+def start_undated(
+    messages: DataFrame, target: str, checkpoint: str, trigger: Trigger
+) -> StreamingQuery:
+    """The logs that ``start_dedup`` leaves out, as they came, for a batch to settle."""
+    logs = parse.parse_logs(messages)
+    undated = logs.where(dates.dated_time(F.col("time_stamp")).isNull())
+    writer = undated.writeStream.outputMode("append").format("parquet").option("path", target)
+    return _start(writer, checkpoint, trigger)
