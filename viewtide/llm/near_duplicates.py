@@ -10,15 +10,16 @@ its own sketch, and all runs of five of a longer one only with a probability of
 
 1.  Equal sets are one class, represented by its smallest id; everything below works on
     representatives.
-2.  Each list links its members to one of them. The pairs are filtered by the similarity
-    that the sketch of the union estimates, and verified on the full sets. Verified links
-    form components. Lists that still span several components do so once more, around a
-    member of their largest component.
-3.  What is left, a member of one component of a list against the members of another, is
-    compared in blocks inside tasks: only verified links leave them. So a link between two
-    documents of a list is found whoever stood in the middle.
+2.  Each list links its members to its first one, the pivot. The pairs are filtered by the
+    similarity that the sketch of the union estimates, and verified on the full sets.
+    Verified links form components.
+3.  Two members of a list have its pivot in common. So all members of a pivot's lists are
+    compared with each other, in blocks inside tasks, as far as they lie in different
+    components; only links that join two components leave a task. A link between two
+    documents of a list is found whoever its pivot was.
 
-A group of thousands of copies thus costs a star and not all its pairs.
+A group of thousands of copies thus costs a star and not all its pairs; members that do not
+reach the pivot travel once for each ``BLOCK_ROWS`` others of their group.
 
 Defined results
     NULL texts and texts without words: empty set, linked with nothing, kept. Fewer words
@@ -49,6 +50,7 @@ SIMILAR = (80, 100)
 # The estimate has a standard error of 0.04 at a similarity of 0.8: five of them.
 ESTIMATE = 0.6
 BLOCK_ROWS = 256
+VALUES_AT_ONCE = 16_384
 
 
 def shingle_sets(
@@ -191,81 +193,91 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _open_lists(lists: DataFrame, links: DataFrame) -> DataFrame:
-    """The lists that span several components, with each member's component and its size."""
-    joined = components(links)
-    sizes = joined.groupBy("component").agg(F.count("*").alias("members"))
-    labelled = (
-        lists.select("run", "node").join(joined, "node", "left")
-        .withColumn("component", F.coalesce("component", "node"))
-        .join(sizes, "component", "left")
-        .withColumn("members", F.coalesce("members", F.lit(1)))
+def intersections(ours: list[np.ndarray], theirs: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of one list with all of the other."""
+    both = np.concatenate([*ours, *theirs])
+    owner = np.repeat(np.arange(len(ours) + len(theirs)), [len(s) for s in (*ours, *theirs)])
+    order = np.argsort(both, kind="stable")
+    both, owner = both[order], owner[order]
+    head = np.concatenate([[True], both[1:] != both[:-1]]) if len(both) else np.zeros(0, bool)
+    value = np.cumsum(head) - 1
+    shared = np.bincount(value)[value] > 1 if len(both) else head
+    value, owner = np.unique(value[shared], return_inverse=True)[1], owner[shared]
+    out = np.zeros((len(ours), len(theirs)), np.float32)
+    for low in range(0, int(value.max(initial=-1)) + 1, VALUES_AT_ONCE):
+        here = (value >= low) & (value < low + VALUES_AT_ONCE)
+        marks = np.zeros((len(ours) + len(theirs), VALUES_AT_ONCE), np.float32)
+        marks[owner[here], value[here] - low] = 1
+        out += marks[: len(ours)] @ marks[len(ours) :].T
+    return out.astype(np.int64)
+
+
+def joining_links(
+    ours: list[np.ndarray], theirs: list[np.ndarray], mine: list, other: list
+) -> list[tuple[int, int]]:
+    """Pairs of similar sets, only those that join components (``mine``, ``other``) which
+    the pairs before them have not joined."""
+    sizes = np.array([len(s) for s in ours]), np.array([len(s) for s in theirs])
+    both = intersections(ours, theirs)
+    union = sizes[0][:, None] + sizes[1][None] - both
+    parent: dict = {}
+
+    def root(c):
+        while parent.get(c, c) != c:
+            c = parent[c]
+        return c
+
+    links = []
+    for i, j in np.argwhere(SIMILAR[1] * both >= SIMILAR[0] * union).tolist():
+        a, b = root(mine[i]), root(other[j])
+        if a != b:
+            parent[b] = a
+            links.append((i, j))
+    return links
+
+
+def _compare(group: pa.Table) -> pa.Table:
+    """Links between the rows of two blocks of a pivot's group, or inside of one."""
+    sets = [_set(v) for v in group["shingles"]]
+    nodes, components_ = group["node"].to_pylist(), group["component"].to_pylist()
+    one, two = group["low"][0].as_py(), group["high"][0].as_py()
+    left = [i for i, b in enumerate(group["block"].to_pylist()) if b == one]
+    right = left if one == two else sorted(set(range(len(sets))) - set(left))
+    links = joining_links(
+        [sets[i] for i in left], [sets[i] for i in right],
+        [components_[i] for i in left], [components_[i] for i in right],
     )
-    spread = Window.partitionBy("run")
-    return written(
-        labelled.withColumns({
-            "_low": F.min("component").over(spread), "_high": F.max("component").over(spread),
-            "top": F.max(F.struct(
-                "members", "component", F.xxhash64("node", "run").alias("any"), "node"
-            )).over(spread),
-        }).where("_low <> _high")
-        .select("run", "node", "component", "members", "top"),
-        "near-open",
+    kind = group.schema.field("node").type
+    return pa.table({
+        "a": pa.array([nodes[left[i]] for i, _ in links], kind),
+        "b": pa.array([nodes[right[j]] for _, j in links], kind),
+    })
+
+
+def _across(groups: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members of one group (pivot, node) that ``links`` do not yet join."""
+    kind = dict(groups.dtypes)["node"]
+    members = groups.join(components(links), "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
     )
-
-
-def _across(open_lists: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between members of different components of a list, compared in blocks.
-
-    The member of the smaller component asks; the whole other component answers, in blocks
-    of ``BLOCK_ROWS`` rows against blocks of ``BLOCK_ROWS`` askers.
-    """
-    kind = dict(open_lists.dtypes)["node"]
-    rank = F.struct("members", "component")
-    here = open_lists.select("run", "node", rank.alias("mine"))
-    there = open_lists.select("run", rank.alias("other")).distinct()
-    asks = written(
-        here.join(there, "run").where("mine < other")
-        .select(F.col("node").alias("a"), F.col("other.component").alias("component"),
-                F.col("other.members").alias("members")).distinct(),
-        "near-asks",
-    )
-    chunks = asks.groupBy("component", "members").agg(
-        F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("chunks")
-    ).withColumn("blocks", F.ceil(F.col("members") / BLOCK_ROWS).cast("int"))
-    place = lambda of, n: F.pmod(F.xxhash64(of), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    nodes = open_lists.select("node", "component").distinct()
-    asking = (
-        asks.join(chunks.drop("members"), "component")
-        .withColumn("chunk", place("a", "chunks")).withColumn("block", every("blocks"))
-        .select("component", "chunk", "block", F.col("a").alias("node"))
-        .join(sets, "node")
+    # A group is done if all its members but the pivot lie in one component.
+    spans = members.groupBy("pivot").agg(
+        F.min("component").alias("_low"), F.max("component").alias("_high"),
+        F.count("*").alias("n"),
+    ).where("_low <> _high").withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    placed = (
+        members.join(spans.select("pivot", "blocks"), "pivot").withColumn("block", block)
+        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "pivot", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"),
+            "block", "node", "component",
+        )
     )
-    answering = (
-        nodes.join(chunks, "component")
-        .withColumn("block", place("node", "blocks")).withColumn("chunk", every("chunks"))
-        .select("component", "chunk", "block", "node").join(sets, "node")
+    return placed.join(sets, "node").groupBy("pivot", "low", "high").applyInArrow(
+        _compare, f"a {kind}, b {kind}"
     )
 
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        ours = [_set(v) for v in left["shingles"]]
-        theirs = [_set(v) for v in right["shingles"]]
-        a, b = [], []
-        for i, x in enumerate(ours):
-            for j, y in enumerate(theirs):
-                if similar(x, y):  # one link joins the asker to the whole component
-                    a.append(left["node"][i].as_py()), b.append(right["node"][j].as_py())
-                    break
-        types = left.schema.field("node").type
-        return pa.table({"a": pa.array(a, types), "b": pa.array(b, types)})
-
-    keys = ["component", "chunk", "block"]
-    asking, answering = asking.toDF(*asking.columns), answering.toDF(*answering.columns)
-    return asking.groupBy(*keys).cogroup(answering.groupBy(*keys)).applyInArrow(
-        compare, f"a {kind}, b {kind}"
-    ).distinct()
-
 
 def find(docs: DataFrame, width: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
@@ -284,15 +296,9 @@ def find(docs: DataFrame, width: int = 5) -> DataFrame:
     ids = written(lists.select("node").distinct(), "near-ids")
     sets = written(full_sets(docs, ids, width), "near-sets")
 
-    star = lists.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    links = written(_links(star.distinct(), sets), "near-links")
-    again = _open_lists(lists, links)
-    star = again.where("component <> top.component").select(
-        F.col("top.node").alias("a"), F.col("node").alias("b")
-    )
-    links = written(links.unionByName(_links(star.distinct(), sets)), "near-links")
-    left_open = _open_lists(again, links)
-    across = _across(left_open, sets)
+    groups = written(lists.where("node <> pivot").select("pivot", "node").distinct(), "near-groups")
+    links = written(_links(groups.toDF("a", "b"), sets), "near-links")
+    across = _across(groups, links, sets)
     labels = components(written(links.unionByName(across), "near-links"))
 
     by_class = classes.join(labels, "node", "left").select(
