@@ -283,20 +283,31 @@ def test_join_form_leaves_unknown_keys_null(spark, logs_of):
 # -- merge -----------------------------------------------------------------------------
 
 
-def test_small_batches():
-    assert merge.is_small(3, 100)
-    assert not merge.is_small(10**9, 100) and not merge.is_small(3, 10**9)
-
-
-@pytest.mark.parametrize("small", [True, False])
-def test_absent_rows(spark, small):
+def test_absent_rows(spark):
     new = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, v int")
     old = spark.createDataFrame([("b", 9), ("z", 9)], "k string, v int")
-    held = merge.held_keys(old, new.select("k"), small)
+    held = merge.held_keys(old, new.select("k"))
+    assert rows(held) == [("b",)]
     assert rows(merge.absent_rows(new, held, "k")) == [("a", 1), ("c", 3)]
 
 
-def test_on_days(spark):
-    frame = spark.createDataFrame([(1,), (2,), (None,)], "date_id int")
-    assert rows(merge.on_days(frame, [1, 5])) == [(1,), (None,)]
-    assert merge.on_days(frame, range(merge.MOST_DAYS + 1)).count() == 3
+def test_undated_rows_come_last(logs_of):
+    logs = logs_of(
+        {"id": "1", "device_id": "d", "user_agent": "untimed"},
+        {"id": "2", "device_id": "d", "time_stamp": 0, "user_agent": "zero"},
+        {"id": "3", "device_id": "d", "time_stamp": T0, "user_agent": "timed"},
+        {"id": "4", "device_id": "e", "time_stamp": 0, "user_agent": "zero"},
+        {"id": "5", "device_id": "e", "user_agent": "untimed"},
+    )
+    got = {r["customer_id"]: r["user_agent"] for r in dims.dim_customer(logs).collect()}
+    assert got == {"d": "timed", "e": "zero"}
+
+
+def test_ranges_are_measured_as_filed(spark):
+    """What is sent, with its hashes and a row per block, not the ranges as given."""
+    table = spark.createDataFrame(
+        [(n * 200, n * 200 + 199, "Land", "LA", "Region", "City") for n in range(2000)], schemas.IP_RANGES)
+    locator = geo.IpLocator(table)
+    assert locator.filed_bytes > 2 * lookup.measured_bytes(table)
+    assert not geo.IpLocator(table, broadcast_bytes=locator.filed_bytes - 1).broadcasts
+    assert geo.IpLocator(table, broadcast_bytes=locator.filed_bytes).broadcasts

@@ -65,8 +65,3 @@ def read_message_stream(
         return stream.load().select("value")
     return spark.readStream.options(**options).text(source)
 
-
-def read_topic(spark: SparkSession, topic: KafkaTopic) -> DataFrame:
-    """Everything a topic holds now, as a batch."""
-    options = topic.read_options(starting_offsets="earliest")
-    return spark.read.format("kafka").options(**options).load().select("value")
