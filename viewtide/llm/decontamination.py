@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewtide.llm.tables import only, table, written
+from viewtide.llm.tables import SENT_BYTES, only, sent, table, written
 from viewtide.operators.lookup import fits_broadcast
 
 # Offsets of the words that a mask looks at. The first avoids one residue of 5 and the
@@ -104,8 +104,7 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     seeds = written(seeds, "bench-seeds")
     seeds = seeds.withColumn("_item", F.xxhash64("words"))
     lookup_side = seeds.select("item_id", "_item", "item_at", "seed").distinct()
-    if fits_broadcast(lookup_side):
-        lookup_side = F.broadcast(lookup_side)
+    lookup_side = sent(lookup_side)
     # Items by content, so that alignments carry ids only.
     texts = seeds.select("_item", F.col("words").alias("item_words")).distinct()
 
@@ -118,8 +117,7 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
         "bench-alignments",
     )
     suspects = alignments.select("_id", "_text").distinct()
-    if fits_broadcast(suspects):
-        suspects = F.broadcast(suspects)
+    suspects = sent(suspects)
     suspected = written(
         source.select("doc_id", "text", *_document_key())
         .join(suspects, ["_id", "_text"], "left_semi")
@@ -127,7 +125,10 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
         .select("_id", "_text", "doc_id", words().alias("words")),
         "bench-suspects",
     )
-    if fits_broadcast(texts):
+    # The measure sees text, not arrays of it.
+    as_text = texts.select("_item", F.array_join("item_words", "").alias("t"))
+    words_more = 24 * (texts.agg(F.sum(F.size("item_words"))).first()[0] or 0)
+    if fits_broadcast(as_text, SENT_BYTES - words_more):
         texts = F.broadcast(texts)
     pairs = alignments.join(texts, "_item").join(suspected, ["_id", "_text"])
     equal = F.transform(
@@ -175,8 +176,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``docs`` without those that overlap a benchmark item."""
     found = overlaps(docs, table(spark, sf_dir, "benchmark")).select("_id", "_text").distinct()
     found = written(found, "bench-found")
-    if fits_broadcast(found):
-        found = F.broadcast(found)
+    found = sent(found)
     names = [F.col(f"`{n}`") for n in docs.columns]
     rows = docs.select(F.struct(*names).alias("_row"), *_document_key())
     return rows.join(found, ["_id", "_text"], "left_anti").select("_row.*")

@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 
 from viewtide.llm import kernels
 from viewtide.llm.components import components
-from viewtide.llm.tables import only, table, written
-from viewtide.operators.lookup import fits_broadcast, lookup
+from viewtide.llm.tables import only, sent, table, written
+from viewtide.operators.lookup import lookup
 
 SKETCH = 96
 # Run length, and the sizes of the sets that list runs of that length. Two sets of which
@@ -175,8 +175,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                     pa.array([s.tobytes() for s in shingle_sets(data, at, width)], pa.binary()),
                 ], ["node", "shingles"])
 
-    if fits_broadcast(ids):
-        ids = F.broadcast(ids)
+    ids = sent(ids)
     chosen = only(docs, ["doc_id", "text"]).withColumnRenamed("doc_id", "node").join(
         ids, "node", "left_semi"
     )
@@ -287,8 +286,7 @@ def find(docs: DataFrame, width: int = 5) -> DataFrame:
         usable.groupBy("signature").agg(F.min("doc_id").alias("node")), "near-classes"
     )
     chosen = classes.withColumnRenamed("node", "doc_id")
-    if fits_broadcast(chosen):
-        chosen = F.broadcast(chosen)
+    chosen = sent(chosen)
     nodes = usable.join(chosen, ["signature", "doc_id"], "left_semi").select(
         F.col("doc_id").alias("node"), "n_shingles", "sketch"
     )
@@ -327,8 +325,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     dropped = written(
         find(docs).where("NOT kept").select(F.col("doc_id").alias("_id")).distinct(), "near-drop"
     )
-    if fits_broadcast(dropped):
-        dropped = F.broadcast(dropped)
+    dropped = sent(dropped)
     rows = docs.select(
         F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("_row"),
         F.col("doc_id").alias("_id"),

@@ -44,8 +44,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewtide.llm import kernels
-from viewtide.llm.tables import only, table, written
-from viewtide.operators.lookup import fits_broadcast
+from viewtide.llm.tables import only, sent, table, written
 
 LENGTH = 200
 PIECE = 32
@@ -253,8 +252,7 @@ def repeated_contexts(docs: DataFrame, every: DataFrame) -> DataFrame:
         F.collect_list(F.struct("anchor", "whole", "place", "begin", "strings")).alias("wanted")
     )
     wanted = written(wanted, "repeat-wanted")
-    if fits_broadcast(wanted.select("text_key")) and n < 4_000_000:
-        wanted = F.broadcast(wanted)
+    wanted = sent(wanted, 40 * n)  # its arrays hold n spots
     cut = (
         _keyed(docs).join(wanted, ["text_key", "id_key"]).select("text", "wanted")
         .mapInArrow(_cut_out, "anchor long, whole long, place int, bytes binary")
@@ -309,8 +307,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     every = written(_keyed(docs).select("text", "text_key", "id_key").mapInArrow(
         _all_contexts, _CONTEXT), "repeat-contexts")
     repeats = written(repeated_contexts(docs, every), "repeat-found")
-    if fits_broadcast(repeats):
-        repeats = F.broadcast(repeats)
+    repeats = sent(repeats)
     end = F.coalesce(
         F.col("begin") + F.col("high"),
         F.col("begin") + F.col("strings") * F.col("copies") + (LENGTH - 1),
@@ -323,8 +320,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     spans = written(repeated_spans(docs), "repeat-spans")
-    if fits_broadcast(spans):
-        spans = F.broadcast(spans)
+    spans = sent(spans)
     kind = dict(docs.dtypes)["doc_id"]
     joined = _keyed(docs).join(spans, "text_key", "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewtide.operators.lookup import fits_broadcast
 from viewtide.session import new_scratch
 
 # The characters that separate words wherever a contract says [^\x20\x09-\x0D]+.
@@ -25,6 +26,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# A table is sent to every executor only if its rows measure at most this many bytes; as a
+# hash table they take two to three times as much. Beyond it, joins shuffle.
+SENT_BYTES = 96 * 1024 * 1024
+
+
+def sent(df: DataFrame, more_bytes: int = 0) -> DataFrame:
+    """``df`` marked for broadcast if it measures small enough, else as it is.
+
+    ``more_bytes`` are what the measure cannot see (arrays).
+    """
+    small = fits_broadcast(df, SENT_BYTES - more_bytes)
+    return F.broadcast(df) if small else df
+
+
 def only(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """The named columns in this order; a missing one is NULL text."""
     have = set(df.columns)
