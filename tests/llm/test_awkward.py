@@ -55,6 +55,12 @@ def test_repeats(awkward, no_documents):
     assert repeats.remove_repeats(no_documents).count() == 0
 
 
+def test_crowded_anchors_give_the_same(awkward, monkeypatch):
+    want = sorted(map(str, repeats.remove_repeats(awkward).collect()))
+    monkeypatch.setattr(repeats, "MOST_CONTEXTS", 1)
+    assert sorted(map(str, repeats.remove_repeats(awkward).collect())) == want
+
+
 def random_texts(seed):
     rng = np.random.default_rng(seed)
     pool = [bytes(rng.integers(97, 99 + seed % 3, 400, np.uint8)) for _ in range(3)]

@@ -20,6 +20,9 @@ equal:
     interleave is stably parted by them: one refinement, without looking at a suffix. Where
     neighbours of the merged order stop matching is carried along, so each column shows
     the intervals of rows that share the ``LENGTH`` bytes before it: the repeats.
+    An anchor with more contexts than ``MOST_CONTEXTS`` (a passage that very many texts put
+    between words of their own) would be too much for one task. Its strings are counted by
+    hash instead, combined before they are shuffled: the same intervals, found by key.
 5.  What was found for a context goes back to its occurrences, and each document is cut.
 
 Only step 1 and the cutting read all texts. Texts travel for one occurrence of each
@@ -52,6 +55,8 @@ REACH = LENGTH - PIECE  # an anchor's column
 COLUMNS = REACH + LENGTH
 SHARD_ROWS = 2_048
 TASK_ROWS = 8_192
+# An anchor with more contexts than a task should hold has its strings counted one by one.
+MOST_CONTEXTS = 100_000
 # Never part of UTF-8: fills the columns that a context does not have.
 _FILL = 0xFF
 _FAR = np.int32(1 << 30)
@@ -232,6 +237,33 @@ def _compare(group: pa.Table) -> pa.Table:
     })
 
 
+def _strings_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for every string of the contexts: where it starts in its context, its hash."""
+    for batch in batches:
+        for first, end, data, at in kernels.slices(batch.column("bytes")):
+            strings = np.maximum(np.diff(at) - LENGTH, 0)
+            begin = kernels.gather(at[:-1], strings)
+            owner = first + np.repeat(np.arange(end - first), strings)
+            hashes = kernels.Rolling(data).of(begin, begin + LENGTH)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("anchor").take(pa.array(owner)),
+                batch.column("whole").take(pa.array(owner)),
+                pa.array((begin - at[owner - first]).astype(np.int32)),
+                pa.array(hashes.view(np.int64)),
+            ], ["anchor", "whole", "low", "string"])
+
+
+def _count_strings(cut: DataFrame) -> DataFrame:
+    """What ``_compare`` finds, by counting each string of each context."""
+    every = written(cut.select("anchor", "whole", "bytes").mapInArrow(
+        _strings_of, "anchor long, whole long, low int, string long"), "repeat-strings")
+    twice = every.groupBy("anchor", "string").agg(F.count("*").alias("n")).where("n > 1")
+    # All strings of a context share its anchor, so those between two repeats are covered.
+    return every.join(twice, ["anchor", "string"]).groupBy("anchor", "whole").agg(
+        F.min("low").alias("low"), (F.max("low") + LENGTH).alias("high")
+    )
+
+
 def repeated_contexts(docs: DataFrame, every: DataFrame) -> DataFrame:
     """anchor, whole, low and high (bytes covered) of the contexts with repeats; high is
     NULL where the whole context is one."""
@@ -246,26 +278,34 @@ def repeated_contexts(docs: DataFrame, every: DataFrame) -> DataFrame:
     whole = known.where("times > 1").select(
         "anchor", "whole", F.lit(0).alias("low"), F.lit(None).cast("int").alias("high")
     )
-    compared = known.where("kinds > 1")
-    n = compared.count()
-    wanted = compared.select("spot.*", "anchor", "whole").groupBy("text_key", "id_key").agg(
-        F.collect_list(F.struct("anchor", "whole", "place", "begin", "strings")).alias("wanted")
-    )
-    wanted = written(wanted, "repeat-wanted")
-    wanted = sent(wanted, 40 * n)  # its arrays hold n spots
-    cut = (
-        _keyed(docs).join(wanted, ["text_key", "id_key"]).select("text", "wanted")
-        .mapInArrow(_cut_out, "anchor long, whole long, place int, bytes binary")
+    compared, crowded = (
+        known.where("kinds > 1").where(F.col("kinds") <= MOST_CONTEXTS),
+        known.where(F.col("kinds") > MOST_CONTEXTS),
     )
-    buckets = max(1, -(-n // TASK_ROWS))
+    buckets = max(1, -(-compared.count() // TASK_ROWS))
     found = (
-        cut.withColumn("bucket", F.pmod("anchor", F.lit(buckets)))
+        _bytes_of(docs, compared).withColumn("bucket", F.pmod("anchor", F.lit(buckets)))
         .groupBy("bucket").applyInArrow(_compare, "anchor long, whole long, low int, high int")
     )
+    if not crowded.isEmpty():
+        found = found.unionByName(_count_strings(_bytes_of(docs, crowded)))
     once = known.where("times = 1").select("anchor", "whole")
     return whole.unionByName(found.join(once, ["anchor", "whole"], "left_semi"))
 
 
+def _bytes_of(docs: DataFrame, contexts_: DataFrame) -> DataFrame:
+    """anchor, whole, place and bytes of the contexts, each cut from its one spot."""
+    wanted = contexts_.select("spot.*", "anchor", "whole").groupBy("text_key", "id_key").agg(
+        F.collect_list(F.struct("anchor", "whole", "place", "begin", "strings")).alias("wanted")
+    )
+    wanted = written(wanted, "repeat-wanted")
+    n = wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0
+    wanted = sent(wanted, 40 * n)  # its arrays hold n spots
+    return _keyed(docs).join(wanted, ["text_key", "id_key"]).select("text", "wanted").mapInArrow(
+        _cut_out, "anchor long, whole long, place int, bytes binary"
+    )
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What stays of each text, as its digest."""
     for batch in batches:

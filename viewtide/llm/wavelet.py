@@ -16,7 +16,7 @@ Spark can write.
 
 Defined results
     NULL and empty texts have only their end id. Documents go in ascending doc_id, NULL
-    first, rows that repeat an id by text. Empty tables: no files, no rows. Extra columns
+    first, rows that repeat an id by a hash of their text. Empty tables: no files, no rows. Extra columns
     are not read.
 """
 
@@ -202,8 +202,10 @@ def write_files(docs: DataFrame, tokenizer: str, end: int = 0) -> DataFrame:
         if documents:
             yield close()
 
-    rows = only(docs, ["doc_id", "text"]).repartitionByRange(F.col("doc_id").asc_nulls_first())
-    return rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text").mapInArrow(
+    # The text's hash lets the ranges part rows that share an id, such as NULL.
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
+    rows = only(docs, ["doc_id", "text"]).repartitionByRange(*order[:2])
+    return rows.sortWithinPartitions(*order).mapInArrow(
         encode, "part int, file int, start long, n_ids long, content binary"
     )
 
