@@ -113,11 +113,14 @@ class Index:
         hit, entry = hit[use], entry[use]
         count = self.first[entry + 1] - self.first[entry]
         posting = kernels.gather(self.first[entry], count)
-        start = np.repeat(hit, count) - self.offset[posting]
-        votes = np.stack([self.template[posting], start, np.repeat(entry, count)], 1)
-        votes = np.unique(votes, axis=0)
-        spots, agree = np.unique(votes[:, :2], axis=0, return_counts=True)
-        return spots[agree >= AGREE]
+        # Template, start and word of a vote as one number; starts may lie before the slice.
+        reach = max(map(len, self.templates))
+        places_ = len(hashes) + reach
+        start = np.repeat(hit, count) - self.offset[posting] + reach
+        votes = np.unique((self.template[posting] * places_ + start) * size + np.repeat(entry, count))
+        spots, agree = np.unique(votes // size, return_counts=True)
+        spots = spots[agree >= AGREE]
+        return np.stack([spots // places_, spots % places_ - reach], 1)
 
     def verified(
         self, hashes: np.ndarray, document: np.ndarray
@@ -127,11 +130,11 @@ class Index:
         for t in np.unique(spots[:, 0]):
             stands = places(hashes, document, self.keys[t])
             text = self.templates[t]
-            for start in spots[spots[:, 0] == t, 1]:
-                near = np.searchsorted(stands, [start - 2, start + len(text)])
-                if near[0] == near[1]:
-                    continue
-                owner = document[stands[near[0]]]
+            starts = spots[spots[:, 0] == t, 1]
+            near = np.searchsorted(stands, starts - 2)
+            has = near < np.searchsorted(stands, starts + len(text))
+            for start, key in zip(starts[has], near[has]):
+                owner = document[stands[key]]
                 at = start + np.arange(len(text))
                 inside = (at >= 0) & (at < len(hashes))
                 at = np.clip(at, 0, len(hashes) - 1)

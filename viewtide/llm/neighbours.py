@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from viewtide.llm.tables import only, table, written
 
 K = 5
-FACTOR = 0.45
+FACTOR = 0.25
 SHARD_ROWS = 65_536
 LEAST_SHARD_ROWS = 2_048
 BLOCK_ROWS = 1_024
