@@ -49,7 +49,9 @@ RUNS = ((2, 4, 6), (3, 6, 20), (4, 16, 120), (5, 96, None))
 SIMILAR = (80, 100)
 # The estimate has a standard error of 0.04 at a similarity of 0.8: five of them.
 ESTIMATE = 0.6
+# A block has about so many documents and shingles, whichever is reached first.
 BLOCK_ROWS = 256
+BLOCK_SHINGLES = 250_000
 VALUES_AT_ONCE = 16_384
 
 
@@ -165,27 +167,29 @@ def _similar_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """node and shingle set of the documents whose ids are in ``ids`` (node)."""
+    """node, shingle set and its size of the documents whose ids are in ``ids`` (node)."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, at in kernels.slices(batch.column("text")):
+                found = [s.tobytes() for s in shingle_sets(data, at, width)]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("node")[first:end],
-                    pa.array([s.tobytes() for s in shingle_sets(data, at, width)], pa.binary()),
-                ], ["node", "shingles"])
+                    batch.column("node")[first:end], pa.array(found, pa.binary()),
+                    pa.array([len(s) // 8 for s in found], pa.int64()),
+                ], ["node", "shingles", "n_shingles"])
 
     ids = sent(ids)
     chosen = only(docs, ["doc_id", "text"]).withColumnRenamed("doc_id", "node").join(
         ids, "node", "left_semi"
     )
     kind = dict(docs.dtypes)["doc_id"]
-    return chosen.mapInArrow(sets, f"node {kind}, shingles binary")
+    return chosen.mapInArrow(sets, f"node {kind}, shingles binary, n_shingles long")
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets are similar."""
     kind = dict(pairs.dtypes)["a"]
+    sets = sets.select("node", "shingles")
     joined = pairs.join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
     return joined.select("a", "b", "left", "right").mapInArrow(
         _similar_pairs, f"a {kind}, b {kind}"
@@ -256,14 +260,18 @@ def _compare(group: pa.Table) -> pa.Table:
 def _across(groups: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between members of one group (pivot, node) that ``links`` do not yet join."""
     kind = dict(groups.dtypes)["node"]
-    members = groups.join(components(links), "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
+    members = (
+        groups.join(sets.select("node", "n_shingles"), "node")
+        .join(components(links), "node", "left")
+        .withColumn("component", F.coalesce("component", "node"))
     )
     # A group is done if all its members but the pivot lie in one component.
     spans = members.groupBy("pivot").agg(
         F.min("component").alias("_low"), F.max("component").alias("_high"),
-        F.count("*").alias("n"),
-    ).where("_low <> _high").withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
+        F.greatest(
+            F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
+        ).cast("int").alias("blocks"),
+    ).where("_low <> _high")
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = (
         members.join(spans.select("pivot", "blocks"), "pivot").withColumn("block", block)
@@ -273,7 +281,7 @@ def _across(groups: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
             "block", "node", "component",
         )
     )
-    return placed.join(sets, "node").groupBy("pivot", "low", "high").applyInArrow(
+    return placed.join(sets.select("node", "shingles"), "node").groupBy("pivot", "low", "high").applyInArrow(
         _compare, f"a {kind}, b {kind}"
     )
 
