@@ -343,6 +343,24 @@ def test_no_python_and_no_nested_loops(spark, sf_dir, name):
         assert bad not in text
 
 
+def test_plans_inside_a_micro_batch(messages_of, warehouse, locator, monkeypatch):
+    """What a stream's batches run, which their returned tables no longer show."""
+    plans, write = [], Warehouse._write
+
+    def recorded(self, table, rows, *rest):
+        plans.append(plan(rows))
+        return write(self, table, rows, *rest)
+
+    monkeypatch.setattr(Warehouse, "_write", recorded)
+    for number in range(2):
+        load.load_micro_batch(warehouse, messages_of(view(number), view(5)), locator, number)
+        load.land_micro_batch(warehouse, messages_of(view(number), "broken"), number)
+    assert len(plans) >= 2 * (len(dims.BUILDERS) + 5)
+    for text in plans:
+        for bad in ("BatchEvalPython", "ArrowEvalPython", "NestedLoopJoin", "CartesianProduct"):
+            assert bad not in text
+
+
 @pytest.mark.parametrize("name", [n for n in registry.QUERIES if n.startswith("report_")])
 def test_reports_prune_the_fact(spark, sf_dir, name):
     text = plan(registry.QUERIES[name](spark, sf_dir))
