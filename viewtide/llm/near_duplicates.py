@@ -351,3 +351,29 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept.join(again, "_id", "left_anti").select("_row.*").unionByName(
         single.select("_row.*")
     )
+
+
+ORACLE = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+    ELSE list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) END AS s
+  FROM worded),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b
+    ON a.g = b.g AND a.doc_id <> b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+SELECT s.doc_id, len(any_value(s.s))::BIGINT AS n_shingles, min(r.other) AS component_id,
+       s.doc_id = min(r.other) AS kept
+FROM sets s JOIN reached r USING (doc_id) GROUP BY s.doc_id
+"""
