@@ -30,6 +30,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_mix_sources": mixing.ORACLE,
+    "op2_repeats": repeats.ORACLE,
     "op4_chat": chat.ORACLE,
     "op7_near_duplicates": near_duplicates.ORACLE,
     "op9_decontamination": decontamination.ORACLE,

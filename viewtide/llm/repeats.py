@@ -370,3 +370,34 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+ORACLE = r"""
+WITH coded AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n
+  FROM documents),
+places AS (
+  SELECT doc_id, i, md5_number(substr(h, (2 * i + 1)::BIGINT, 400)) AS s
+  FROM (SELECT doc_id, h, unnest(range(n - 199)) AS i FROM coded WHERE n >= 200)),
+twice AS (SELECT s FROM places GROUP BY s HAVING count(*) > 1),
+hits AS (
+  SELECT doc_id, i, i > coalesce(lag(i) OVER w + 200, -1) AS new
+  FROM places SEMI JOIN twice USING (s) WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+islands AS (
+  SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS nr FROM hits),
+spans AS (SELECT doc_id, min(i) AS low, max(i) + 200 AS high FROM islands GROUP BY doc_id, nr),
+gaps AS (
+  SELECT s.doc_id, s.low,
+         substr(h, (2 * coalesce(lag(high) OVER w, 0) + 1)::BIGINT,
+                (2 * (low - coalesce(lag(high) OVER w, 0)))::BIGINT) AS kept
+  FROM spans s JOIN coded USING (doc_id) WINDOW w AS (PARTITION BY s.doc_id ORDER BY s.low)),
+cut AS (
+  SELECT doc_id, string_agg(kept, '' ORDER BY low) AS kept FROM gaps GROUP BY doc_id),
+total AS (
+  SELECT doc_id, sum(high - low) AS removed, count(*) AS n_spans, max(high) AS stop
+  FROM spans GROUP BY doc_id)
+SELECT c.doc_id, c.n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, (2 * coalesce(stop, 0) + 1)::BIGINT))) AS kept_sha256
+FROM coded c LEFT JOIN cut USING (doc_id) LEFT JOIN total USING (doc_id)
+"""
