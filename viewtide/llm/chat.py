@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewtide.llm import kernels
 from viewtide.llm.tables import only, table, written
 
 PART = 256
@@ -197,7 +198,7 @@ def digests(formatted: DataFrame) -> DataFrame:
     )
     kind = dict(formatted.dtypes)["conv_id"]
     return back.repartition("conv_id").sortWithinPartitions("conv_id", "part").mapInArrow(
-        _digests,
+        kernels.lean(_digests),
         f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, "
         "loss_sha256 string, formatted_chars long",
     )

@@ -7,12 +7,20 @@ memory follows the longest text and not the partition.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2_000_000
+RELEASE_EVERY = 8
+
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+    _libc.malloc_trim
+except (OSError, AttributeError):  # another C library: nothing to give back by hand
+    _libc = None
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
@@ -30,6 +38,43 @@ ALNUM[0x30:0x3A] = ALNUM[0x41:0x5B] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
+def _release() -> None:
+    """Give freed memory back to the system."""
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
+def lean(run: Callable) -> Callable:
+    """``run`` over Arrow batches in a worker that stays small.
+
+    Workers serve many tasks; what allocators keep of one task's arrays would lie beside
+    the executor's heap for all later ones.
+    """
+
+    def runner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
+        for n, batch in enumerate(run(batches), 1):
+            yield batch
+            if n % RELEASE_EVERY == 0:
+                _release()
+        _release()
+
+    return runner
+
+
+def lean_group(run: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
+    """The same for a function of one group."""
+
+    def runner(group: pa.Table) -> pa.Table:
+        pa.set_memory_pool(pa.system_memory_pool())
+        out = run(group)
+        if group.nbytes > SLICE_BYTES:
+            _release()
+        return out
+
+    return runner
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a text column; NULL counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -146,7 +146,7 @@ def train(docs: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> Model | No
     """A model from a bounded sample of the documents under ``learn``; None without any."""
     known = only(docs, ["doc_id", "text", "lang"])
     sample = training_sample(known, learn, rows).where("text IS NOT NULL").select("text", "lang")
-    got = sorted(map(tuple, sample.mapInArrow(_sparse, "lang string, places binary, amounts binary").collect()))
+    got = sorted(map(tuple, sample.mapInArrow(kernels.lean(_sparse), "lang string, places binary, amounts binary").collect()))
     if not got:
         return None
     languages = sorted({r[0] for r in got})
@@ -188,7 +188,7 @@ def identify(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
 
     source = docs.select(*names, F.col("text").cast("string").alias("_text"))
     return source.mapInArrow(
-        score, ", ".join([*fields, "lang_pred string, score double, ambiguous boolean"])
+        kernels.lean(score), ", ".join([*fields, "lang_pred string, score double, ambiguous boolean"])
     )
 
 

@@ -108,7 +108,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
     kind = dict(docs.dtypes)["doc_id"]
     return only(docs, ["doc_id", "text"]).mapInArrow(
-        sketch, f"doc_id {kind}, n_shingles long, signature binary, sketch array<long>"
+        kernels.lean(sketch), f"doc_id {kind}, n_shingles long, signature binary, sketch array<long>"
     )
 
 
@@ -183,7 +183,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
         ids, "node", "left_semi"
     )
     kind = dict(docs.dtypes)["doc_id"]
-    return chosen.mapInArrow(sets, f"node {kind}, shingles binary, n_shingles long")
+    return chosen.mapInArrow(kernels.lean(sets), f"node {kind}, shingles binary, n_shingles long")
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -192,7 +192,7 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     sets = sets.select("node", "shingles")
     joined = pairs.join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
     return joined.select("a", "b", "left", "right").mapInArrow(
-        _similar_pairs, f"a {kind}, b {kind}"
+        kernels.lean(_similar_pairs), f"a {kind}, b {kind}"
     ).distinct()
 
 
@@ -282,7 +282,7 @@ def _across(groups: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
         )
     )
     return placed.join(sets.select("node", "shingles"), "node").groupBy("pivot", "low", "high").applyInArrow(
-        _compare, f"a {kind}, b {kind}"
+        kernels.lean_group(_compare), f"a {kind}, b {kind}"
     )
 
 

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewtide.llm import kernels
 from viewtide.llm.tables import only, table, written
 
 K = 5
@@ -203,7 +204,7 @@ def build_index(vectors: DataFrame, shards: int, k: int = K) -> DataFrame:
         })
 
     dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
-    return dealt.groupBy("shard", "dims").applyInArrow(grow, "shard long, dims int, tree binary")
+    return dealt.groupBy("shard", "dims").applyInArrow(kernels.lean_group(grow), "shard long, dims int, tree binary")
 
 
 def search_index(
@@ -233,7 +234,7 @@ def search_index(
                     [pa.array(x) for x in got], ["query_id", "vec_id", "score"]
                 )
 
-    found = pairs.mapInArrow(find, "query_id long, vec_id long, score double")
+    found = pairs.mapInArrow(kernels.lean(find), "query_id long, vec_id long, score double")
     # At most k rows a query and shard come together here.
     ranked = found.distinct().groupBy("query_id").agg(
         F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id"))), 1, k).alias("top")

@@ -256,7 +256,7 @@ def _strings_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _count_strings(cut: DataFrame) -> DataFrame:
     """What ``_compare`` finds, by counting each string of each context."""
     every = written(cut.select("anchor", "whole", "bytes").mapInArrow(
-        _strings_of, "anchor long, whole long, low int, string long"), "repeat-strings")
+        kernels.lean(_strings_of), "anchor long, whole long, low int, string long"), "repeat-strings")
     twice = every.groupBy("anchor", "string").agg(F.count("*").alias("n")).where("n > 1")
     # All strings of a context share its anchor, so those between two repeats are covered.
     return every.join(twice, ["anchor", "string"]).groupBy("anchor", "whole").agg(
@@ -285,7 +285,7 @@ def repeated_contexts(docs: DataFrame, every: DataFrame) -> DataFrame:
     buckets = max(1, -(-compared.count() // TASK_ROWS))
     found = (
         _bytes_of(docs, compared).withColumn("bucket", F.pmod("anchor", F.lit(buckets)))
-        .groupBy("bucket").applyInArrow(_compare, "anchor long, whole long, low int, high int")
+        .groupBy("bucket").applyInArrow(kernels.lean_group(_compare), "anchor long, whole long, low int, high int")
     )
     if not crowded.isEmpty():
         found = found.unionByName(_count_strings(_bytes_of(docs, crowded)))
@@ -302,7 +302,7 @@ def _bytes_of(docs: DataFrame, contexts_: DataFrame) -> DataFrame:
     n = wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0
     wanted = sent(wanted, 40 * n)  # its arrays hold n spots
     return _keyed(docs).join(wanted, ["text_key", "id_key"]).select("text", "wanted").mapInArrow(
-        _cut_out, "anchor long, whole long, place int, bytes binary"
+        kernels.lean(_cut_out), "anchor long, whole long, place int, bytes binary"
     )
 
 
@@ -345,7 +345,7 @@ def _union(group: pa.Table) -> pa.Table:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """text_key and spans (int32 pairs: first byte, end) of the texts with repeats."""
     every = written(_keyed(docs).select("text", "text_key", "id_key").mapInArrow(
-        _all_contexts, _CONTEXT), "repeat-contexts")
+        kernels.lean(_all_contexts), _CONTEXT), "repeat-contexts")
     repeats = written(repeated_contexts(docs, every), "repeat-found")
     repeats = sent(repeats)
     end = F.coalesce(
@@ -355,7 +355,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     placed = every.join(repeats, ["anchor", "whole"]).select(
         "text_key", (F.col("begin") + F.col("low")).alias("low"), end.alias("high")
     ).distinct()
-    return placed.groupBy("text_key").applyInArrow(_union, "text_key long, spans binary")
+    return placed.groupBy("text_key").applyInArrow(kernels.lean_group(_union), "text_key long, spans binary")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -364,7 +364,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     joined = _keyed(docs).join(spans, "text_key", "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(
-        _cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+        kernels.lean(_cut), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
 

@@ -34,7 +34,9 @@ FEATURE_BITS = 20
 GRAMS = (4, 6)  # widths in bytes of the sequences inside words
 SAMPLE_ROWS = 12_000
 SELECTED = 4_000
-LEAST_DOCUMENTS = 4
+# A selected feature occurs in at least 2 % of the toxic documents of the sample, within
+# these bounds: in a small one, four is often chance.
+LEAST_DOCUMENTS = (4, 6)
 STEPS = 400
 SPARSITY = 2e-5
 
@@ -184,13 +186,14 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Model | None:
         .join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("int")),
         "toxic-sample",
     )
-    counted = sample.mapInArrow(_document_frequencies, "feature long, toxic long, other long")
+    counted = sample.mapInArrow(kernels.lean(_document_frequencies), "feature long, toxic long, other long")
     summed = counted.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     # Smoothed log-ratio of the rates, times the toxic documents that show it.
     rate = {k: max(1.0, n * share[k]) for k, n in sizes.items()}
     lean = F.log(((F.col("toxic") + 0.5) / rate[1]) / ((F.col("other") + 0.5) / rate[0]))
+    least = min(max(LEAST_DOCUMENTS[0], round(rate[1] / 50)), LEAST_DOCUMENTS[1])
     top = (
-        summed.where(F.col("toxic") >= LEAST_DOCUMENTS).withColumn("lean", lean)
+        summed.where(F.col("toxic") >= least).withColumn("lean", lean)
         .where("lean > 1").orderBy(F.desc(F.col("lean") * F.col("toxic")), "feature")
         .limit(SELECTED)
     )
@@ -200,7 +203,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Model | None:
         return Model(weights, -14.0)
     weights[kept] = 1
     rows = sorted(map(tuple, sample.mapInArrow(
-        _bags(weights), "toxic int, spoken long, pairs binary").collect()))
+        kernels.lean(_bags(weights)), "toxic int, spoken long, pairs binary").collect()))
     piece_document, pair_piece, pair_feature, pieces = [], [], [], 0
     for i, (_, _, packed) in enumerate(rows):
         pairs = np.frombuffer(packed, np.int64)
@@ -232,7 +235,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                 )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return only(docs, ["doc_id", "text"]).mapInArrow(scored, f"doc_id {kind}, score double")
+    return only(docs, ["doc_id", "text"]).mapInArrow(kernels.lean(scored), f"doc_id {kind}, score double")
 
 
 def locate(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
@@ -257,7 +260,7 @@ def locate(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
 
     kind = dict(docs.dtypes)["doc_id"]
     return only(docs, ["doc_id", "text"]).mapInArrow(
-        found, f"doc_id {kind}, begin long, stop long, sentence string, score double"
+        kernels.lean(found), f"doc_id {kind}, begin long, stop long, sentence string, score double"
     )
 
 

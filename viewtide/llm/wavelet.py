@@ -33,6 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewtide.llm import kernels
 from viewtide.llm.tables import only, table, written
 from viewtide.llm.tokens import encoder
 
@@ -206,7 +207,7 @@ def write_files(docs: DataFrame, tokenizer: str, end: int = 0) -> DataFrame:
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
     rows = only(docs, ["doc_id", "text"]).repartitionByRange(*order[:2])
     return rows.sortWithinPartitions(*order).mapInArrow(
-        encode, "part int, file int, start long, n_ids long, content binary"
+        kernels.lean(encode), "part int, file int, start long, n_ids long, content binary"
     )
 
 
@@ -239,7 +240,7 @@ def read_documents(files: DataFrame) -> DataFrame:
                 ], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return files.select("part", "start", "content").mapInArrow(
-        decode, "doc_id long, start long, n_tokens long, ids_crc32 long"
+        kernels.lean(decode), "doc_id long, start long, n_tokens long, ids_crc32 long"
     )
 
 
