@@ -54,9 +54,9 @@ def pack(ids: np.ndarray, documents: list[int | None], counts: np.ndarray) -> by
     ]
     for plane in range(planes - 1, -1, -1):
         ones = (rest >> rest.dtype.type(plane)) & rest.dtype.type(1) != 0
-        zeros = rest[~ones]
+        zeros = np.compress(~ones, rest)
         body += [struct.pack("<Q", len(zeros)), np.packbits(ones, bitorder="little").tobytes()]
-        rest = np.concatenate([zeros, rest[ones]])
+        rest = np.concatenate([zeros, np.compress(ones, rest)])
     head = MAGIC + struct.pack("<QQQ", len(documents), len(ids), planes)
     return head + zstandard.ZstdCompressor(level=1).compress(b"".join(body))
 
@@ -157,8 +157,8 @@ class WaveletMatrix:
         for plane in range(self.planes - 1, -1, -1):
             ones, zeros = self._bits(plane), self.zeros[plane]
             here = np.empty(self.size, kind)
-            here[~ones] = below[:zeros]
-            here[ones] = below[zeros:] | kind(1 << (self.planes - 1 - plane))
+            here[np.flatnonzero(~ones)] = below[:zeros]
+            here[np.flatnonzero(ones)] = below[zeros:] | kind(1 << (self.planes - 1 - plane))
             below = here
         return below.astype(np.uint32)
 
