@@ -307,3 +307,21 @@ def test_pieces_do_not_need_the_library_twice():
     ids, counts = coder.encode(texts)
     cut = np.split(ids, np.cumsum(counts)[:-1])
     assert [c.tolist() for c in cut] == [[*plain.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+
+
+def test_stages_keep_the_columns(spark, awkward, no_documents, tmp_path):
+    """Mixing and decontamination as stages: whole rows, whatever their columns are called."""
+    passage = next(r["text"] for r in awkward.where("doc_id = 12").collect())
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = decontamination.stage(spark, awkward, str(tmp_path))
+    assert left.schema == awkward.schema
+    assert left.count() == awkward.count() - 3  # both rows of 11, which has the passage, and 12
+    mixed = mixing.stage(spark, awkward, "")
+    assert mixed.schema == awkward.schema
+    times = by_id(mixing.mix_sources(awkward), "times")
+    want = {d: sum(t for t, in rows) for d, rows in times.items()}
+    got = {r["doc_id"]: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
+    assert got == {d: n for d, n in want.items() if n}
+    assert mixing.stage(spark, no_documents, "").count() == 0
+    assert decontamination.stage(spark, no_documents, str(tmp_path)).count() == 0
