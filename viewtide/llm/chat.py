@@ -196,7 +196,7 @@ def digests(formatted: DataFrame) -> DataFrame:
     )
     kind = dict(formatted.dtypes)["conv_id"]
     return back.repartition("conv_id").sortWithinPartitions("conv_id", "part").mapInArrow(
-        kernels.lean(_digests),
+        kernels.lean(_digests, whole=True),
         f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, "
         "loss_sha256 string, formatted_chars long",
     )

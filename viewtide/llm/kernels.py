@@ -1,7 +1,7 @@
 """Vectorised numpy kernels over the UTF-8 bytes of Arrow text columns.
 
 All of them work on a *slice*: the bytes of some whole documents, a line break after each,
-with the offsets at which each document starts. A slice holds a few MB, or one longer document, so
+with the offsets at which each document starts. A slice holds a MB, or one longer document, so
 memory follows the longest text and not the partition.
 """
 
@@ -13,8 +13,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2_000_000
-RELEASE_EVERY = 8
+SLICE_BYTES = 1_000_000
+RELEASE_EVERY = 16
 
 try:
     _libc = ctypes.CDLL("libc.so.6")
@@ -44,24 +44,37 @@ def _release() -> None:
         _libc.malloc_trim(0)
 
 
-def lean(run: Callable) -> Callable:
+def lean(run: Callable, whole: bool = False) -> Callable:
     """``run`` over Arrow batches in a worker that stays small.
 
     Workers serve many tasks; what allocators keep of one task's arrays would lie beside
-    the executor's heap for all later ones.
+    the executor's heap for all later ones. A batch is let go before the next one is read;
+    with ``whole``, ``run`` gets all of them at once and sees to that itself.
     """
 
     def runner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.set_memory_pool(pa.system_memory_pool())
-        for n, batch in enumerate(run(batches), 1):
-            yield batch
-            if n % RELEASE_EVERY == 0:
-                _release()
+        n = 0
+        for some in [batches] if whole else _one_by_one(batches):
+            for out in run(some):
+                yield out
+                n += 1
+                if n % RELEASE_EVERY == 0:
+                    _release()
+            del some
         _release()
 
     return runner
 
 
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[Iterator[pa.RecordBatch]]:
+    for batch in batches:
+        one = iter([batch])
+        del batch
+        yield one
+        del one
+
+
 def lean_group(run: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.Table]:
     """The same for a function of one group."""
 

@@ -160,7 +160,7 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
             [pa.array([-1, *range(size)]), pa.array([n, *total.tolist()])], ["word", "documents"]
         )
 
-    counted = only(docs, ["text"]).mapInArrow(kernels.lean(count), "word long, documents long")
+    counted = only(docs, ["text"]).mapInArrow(kernels.lean(count, whole=True), "word long, documents long")
     rows = {r["word"]: r["n"] for r in counted.groupBy("word").agg(F.sum("documents").alias("n")).collect()}
     total = rows.pop(-1, 0)
     size = len(Index().vocabulary)

@@ -234,7 +234,7 @@ def search_index(
                     [pa.array(x) for x in got], ["query_id", "vec_id", "score"]
                 )
 
-    found = pairs.mapInArrow(kernels.lean(find), "query_id long, vec_id long, score double")
+    found = pairs.mapInArrow(kernels.lean(find, whole=True), "query_id long, vec_id long, score double")
     # At most k rows a query and shard come together here.
     ranked = found.distinct().groupBy("query_id").agg(
         F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id"))), 1, k).alias("top")

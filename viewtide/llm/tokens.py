@@ -137,7 +137,7 @@ class Encoder:
     def reset(self) -> None:
         self.known = PieceTable()
         self.flat = np.array([self.end], np.uint32)
-        self.first, self.count = np.array([0]), np.array([1])
+        self.first, self.count = np.array([0], np.int32), np.array([1], np.int32)
 
     def learn(self, pieces: list[str], hashes: np.ndarray) -> None:
         # Pieces that begin with a space stay apart when they stand in one text, and the
@@ -168,8 +168,8 @@ class Encoder:
         at = len(self.flat) + np.cumsum(counts) - counts
         self.known.add(hashes[order], np.arange(len(self.first), len(self.first) + len(order)))
         self.flat = np.concatenate([self.flat, new])
-        self.first = np.concatenate([self.first, at])
-        self.count = np.concatenate([self.count, counts])
+        self.first = np.concatenate([self.first, at.astype(np.int32)])
+        self.count = np.concatenate([self.count, counts.astype(np.int32)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and how many each text has (with its end)."""
@@ -192,7 +192,7 @@ class Encoder:
             which = missing[first]
             self.learn([joined[a:b] for a, b in zip(starts[which].tolist(), stops[which].tolist())], new)
             entry[missing] = self.known.find(hashes[missing])
-        counts = self.count[entry]
+        counts = self.count[entry].astype(np.int64)
         ids = self.flat[gather(self.first[entry], counts)]
         total = np.cumsum(counts)[last]
         return ids, np.diff(total, prepend=0)

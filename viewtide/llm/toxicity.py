@@ -186,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Model | None:
         .join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("int")),
         "toxic-sample",
     )
-    counted = sample.mapInArrow(kernels.lean(_document_frequencies), "feature long, toxic long, other long")
+    counted = sample.mapInArrow(kernels.lean(_document_frequencies, whole=True), "feature long, toxic long, other long")
     summed = counted.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     # Smoothed log-ratio of the rates, times the toxic documents that show it.
     rate = {k: max(1.0, n * share[k]) for k, n in sizes.items()}

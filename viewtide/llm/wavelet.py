@@ -39,7 +39,7 @@ from viewtide.llm.tokens import encoder
 
 MAGIC = b"WVM1"
 SHARD_IDS = 1_000_000
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 300_000
 BLOCK = 512
 
 
@@ -200,6 +200,7 @@ def write_files(docs: DataFrame, tokenizer: str, end: int = 0) -> DataFrame:
                 first += len(some)
                 if sum(map(len, ids)) >= SHARD_IDS:
                     yield close()
+            del batch, texts  # before the next one is read
         if documents:
             yield close()
 
@@ -207,7 +208,7 @@ def write_files(docs: DataFrame, tokenizer: str, end: int = 0) -> DataFrame:
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
     rows = only(docs, ["doc_id", "text"]).repartitionByRange(*order[:2])
     return rows.sortWithinPartitions(*order).mapInArrow(
-        kernels.lean(encode), "part int, file int, start long, n_ids long, content binary"
+        kernels.lean(encode, whole=True), "part int, file int, start long, n_ids long, content binary"
     )
 
 
