@@ -295,6 +295,39 @@ def test_licenses(awkward, no_documents):
     assert licenses.scan(no_documents).count() == 0
 
 
+def test_licenses_against_all_templates_at_all_phrases(spark):
+    """Files that bundle many notices, beside every template laid at every beginning."""
+    rng = np.random.default_rng(5)
+    notices = [text for _, _, text in licenses.TEMPLATES]
+    filler = sorted({w for text in notices for w in text.split()}) + ["usual", "words", "here"]
+    texts = [" and then ".join(notices), " ".join(reversed(notices)), *notices]
+    for n in range(1, 18):
+        parts = []
+        for i in rng.permutation(len(notices))[:n]:
+            kept = [w if rng.random() < 0.9 else "other" for w in notices[i].split()]
+            parts += [" ".join(kept), " ".join(rng.choice(filler, 12))]
+        texts.append(" ".join(parts))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = by_id(licenses.scan(docs), "labels", "score")
+    for d, said in enumerate(texts):
+        words, labels, best = said.split(), set(), 0.0
+        for phrase, label in licenses.BASE.items():
+            if f" {phrase} " in f" {said} ":
+                labels.add(label)
+                best = max(best, 0.5)
+        for label, key, notice in licenses.TEMPLATES:
+            key, text = key.split(), notice.split()
+            for k in range(len(words) - len(key) + 1):
+                if words[k : k + len(key)] != key:
+                    continue
+                labels.add(label)
+                for start in range(k - len(text) + 1, k + licenses.BEFORE + 1):
+                    same = [w for j, w in enumerate(text) if 0 <= start + j < len(words) and words[start + j] == w]
+                    if len(set(same)) >= licenses.AGREE:
+                        best = max(best, len(same) / len(text))
+        assert got[d] == [(",".join(sorted(labels)), pytest.approx(best))]
+
+
 def test_pieces_do_not_need_the_library_twice():
     from viewtide.llm.tokens import Encoder
     from tokenizers import Tokenizer

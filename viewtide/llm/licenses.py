@@ -1,10 +1,11 @@
 """License scans with a positional rare-token index.
 
-The index holds, for each word of the license templates, where in which template it
-stands. A file is looked up by its rarest license words only (highest IDF, counted over
-all documents): each posting says where the template would have to begin, and places on
-which several words agree are candidates. A candidate counts when a mandatory key phrase of
-its template stands within it; the share of the template's words found in their places is
+The index holds, for each template, the rarest word of its mandatory key phrase (highest
+IDF, counted over all documents) and where in the phrase it stands. Each place of that word
+in a file says where the phrase would have to begin, and the phrase is compared there, so
+no place of a key phrase escapes, however many notices a file holds. Around each of them
+every beginning is tried that leaves the phrase within the template: a candidate is one at
+which several words agree, and the share of the template's words found in their places is
 its score. Four phrases are also labelled wherever they stand, with or without a template.
 
 Defined results
@@ -53,9 +54,12 @@ TEMPLATES = (
     ("cc0", "cc0 1 0", "to the extent possible under law the author has waived all copyright under cc0 1 0 universal"),
     ("unlicense", "free and unencumbered software", "this is free and unencumbered software released into the public domain"),
 )
-# A file is looked up by this many of its license words, the rarest first.
-RAREST = 16
+# A candidate has this many different words of its template in their places.
 AGREE = 2
+# A key phrase may stand so many words before a template's beginning.
+BEFORE = 2
+# Words compared at a time.
+COMPARED = 4_000_000
 
 
 def words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,19 +82,16 @@ def places(hashes: np.ndarray, document: np.ndarray, phrase: np.ndarray) -> np.n
 
 
 class Index:
-    """Postings of the template words; ``idf`` by word of the vocabulary."""
+    """Key phrases by their rarest word; ``idf`` by word of the vocabulary."""
 
     def __init__(self, idf: np.ndarray | None = None) -> None:
         self.templates = [_hashes(text) for _, _, text in TEMPLATES]
         self.keys = [_hashes(key) for _, key, _ in TEMPLATES]
         self.vocabulary = np.unique(np.concatenate(self.templates))
-        entries = sorted(
-            (int(np.searchsorted(self.vocabulary, h)), t, i)
-            for t, hashes in enumerate(self.templates) for i, h in enumerate(hashes)
-        )
-        word, self.template, self.offset = (np.array(x) for x in zip(*entries))
-        self.first = np.searchsorted(word, np.arange(len(self.vocabulary) + 1))
         self.idf = np.zeros(len(self.vocabulary)) if idf is None else idf
+        self.rarest = [
+            int(np.argmax(self.idf[np.searchsorted(self.vocabulary, key)])) for key in self.keys
+        ]
 
     def known(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Indexes of the words that are in the vocabulary, and where in it."""
@@ -98,48 +99,50 @@ class Index:
         hit = np.flatnonzero(self.vocabulary[at] == hashes)
         return hit, at[hit]
 
-    def candidates(self, hashes: np.ndarray, document: np.ndarray) -> np.ndarray:
-        """(template, word index at which it would begin) on which rare words agree."""
+    def phrases(self, hashes: np.ndarray, document: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(template, word indexes at which its key phrase stands), if there are any."""
         hit, entry = self.known(hashes)
-        if not len(hit):
-            return np.zeros((0, 2), np.int64)
-        size = len(self.vocabulary)
-        pairs = np.unique(document[hit] * size + entry)
-        owner, word = pairs // size, pairs % size
-        order = np.lexsort((word, -self.idf[word], owner))
-        begin = np.searchsorted(owner[order], owner[order])
-        rare = np.sort(pairs[order[np.arange(len(order)) - begin < RAREST]])
-        use = np.isin(document[hit] * size + entry, rare)
-        hit, entry = hit[use], entry[use]
-        count = self.first[entry + 1] - self.first[entry]
-        posting = kernels.gather(self.first[entry], count)
-        # Template, start and word of a vote as one number; starts may lie before the slice.
-        reach = max(map(len, self.templates))
-        places_ = len(hashes) + reach
-        start = np.repeat(hit, count) - self.offset[posting] + reach
-        votes = np.unique((self.template[posting] * places_ + start) * size + np.repeat(entry, count))
-        spots, agree = np.unique(votes // size, return_counts=True)
-        spots = spots[agree >= AGREE]
-        return np.stack([spots // places_, spots % places_ - reach], 1)
+        order = np.argsort(entry, kind="stable")
+        first = np.searchsorted(entry[order], np.arange(len(self.vocabulary) + 1))
+        for t, (key, rarest) in enumerate(zip(self.keys, self.rarest)):
+            word = int(np.searchsorted(self.vocabulary, key[rarest]))
+            found = hit[order[first[word] : first[word + 1]]] - rarest
+            found = found[(found >= 0) & (found + len(key) <= len(hashes))]
+            for i in range(len(key)):
+                found = found[hashes[found + i] == key[i]]
+            found = found[document[found] == document[found + len(key) - 1]]
+            if len(found):
+                yield t, found
 
     def verified(
         self, hashes: np.ndarray, document: np.ndarray
     ) -> Iterator[tuple[int, int, float]]:
-        """(document, template, share of its words in place) of the templates that stand."""
-        spots = self.candidates(hashes, document)
-        for t in np.unique(spots[:, 0]):
-            stands = places(hashes, document, self.keys[t])
+        """(document, template, largest share of its words in place) of the templates that
+        stand."""
+        for t, stands in self.phrases(hashes, document):
             text = self.templates[t]
-            starts = spots[spots[:, 0] == t, 1]
-            near = np.searchsorted(stands, starts - 2)
-            has = near < np.searchsorted(stands, starts + len(text))
-            for start, key in zip(starts[has], near[has]):
-                owner = document[stands[key]]
-                at = start + np.arange(len(text))
+            # Each beginning once for a document, however many phrases lie around it.
+            reach = np.arange(1 - len(text), BEFORE + 1)
+            size = len(hashes) + len(text) + BEFORE
+            spots = None
+            for some in np.array_split(stands, 1 + len(stands) * len(reach) // COMPARED):
+                start = (some[:, None] + reach).ravel() + len(text)
+                new = np.unique(np.repeat(document[some], len(reach)) * size + start)
+                spots = new if spots is None else np.union1d(spots, new)
+            # The columns of equal words side by side, to count different ones.
+            order = np.argsort(text, kind="stable")
+            cut = np.flatnonzero(np.diff(text[order], prepend=text[order][0] - np.uint64(1)))
+            best = np.zeros(int(document[-1]) + 1)
+            for some in np.array_split(spots, 1 + len(spots) * len(text) // COMPARED):
+                owner, start = some // size, some % size - len(text)
+                at = start[:, None] + np.arange(len(text))[order]
                 inside = (at >= 0) & (at < len(hashes))
                 at = np.clip(at, 0, len(hashes) - 1)
-                same = inside & (document[at] == owner) & (hashes[at] == text)
-                yield int(owner), int(t), float(same.mean())
+                same = inside & (document[at] == owner[:, None]) & (hashes[at] == text[order])
+                agree = np.logical_or.reduceat(same, cut, axis=1).sum(1) >= AGREE
+                np.maximum.at(best, owner[agree], same[agree].sum(1) / len(text))
+            for d in np.flatnonzero(best).tolist():
+                yield d, t, float(best[d])
 
 
 def document_frequencies(docs: DataFrame) -> np.ndarray:
