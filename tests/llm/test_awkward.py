@@ -1,6 +1,8 @@
 """NULLs, empty and very long texts, ties, repeated rows, empty tables, clashing columns."""
 
 import hashlib
+import itertools
+import random
 
 import numpy as np
 import pytest
@@ -285,6 +287,62 @@ def test_decontamination_tolerates_replaced_words(spark, every):
     assert [r["doc_id"] for r in decontamination.contaminated(docs, items).collect()] == [1]
 
 
+def patterns(n):
+    """All ways to replace as many of n words as an overlap allows."""
+    return list(itertools.combinations(range(n), n - -(-4 * n // 5)))
+
+
+def test_decontamination_masks_fit_beside_all_replaced_words():
+    assert sorted(decontamination.MASKS) == list(range(decontamination.LEAST_WORDS, decontamination.WINDOW + 1))
+    for n, masks in decontamination.MASKS.items():
+        laid = [{s + o for o in m} for m in masks for s in range(n - m[-1])]
+        assert all(any(not seen & set(p) for seen in laid) for p in patterns(n))
+
+
+def test_decontamination_finds_all_overlaps_at_the_limit(spark):
+    docs, items, want = [], [(0, " ".join(f"long{i}" for i in range(24)))], set()
+    for n in range(5, 16):
+        items.append((n, " ".join(f"n{n}w{i}" for i in range(n))))
+        for whole, at in ((items[-1], 0), *([(items[0], 4)] if n == 15 else [])):
+            for p in patterns(n):
+                quote = [f"z{i}" if i in p else w for i, w in enumerate(whole[1].split()[at : at + n])]
+                want.add((len(docs), whole[0]))
+                docs.append((len(docs), " ".join(["before", "it", *quote, "behind", "it"])))
+    # One word more replaced is no overlap.
+    docs.append((len(docs), "n15w0 n15w1 n15w2 n15w3 n15w4 n15w5 n15w6 n15w7 n15w8 n15w9 n15w10 z z z z"))
+    found = decontamination.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(4),
+        spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == want
+
+
+def test_decontamination_against_all_alignments(spark):
+    """Few different words, so that overlaps repeat, touch and hang over the ends."""
+    rng = random.Random(3)
+    items = [(n, [f"w{rng.randrange(6)}" for _ in range(n)]) for n in range(5, 22)]
+    docs = []
+    for d in range(80):
+        said = [f"w{rng.randrange(6)}" for _ in range(rng.randrange(25))]
+        quote = rng.choice(items)[1][rng.randrange(4):]
+        docs.append((d, said + [f"w{rng.randrange(6)}" if rng.random() < 0.2 else w for w in quote]))
+    want = set()
+    for (d, said), (i, item) in itertools.product(docs, items):
+        size, best = min(len(item), 15), None
+        for shift in range(1 - len(item), len(said)):
+            equal = [0 <= shift + j < len(said) and said[shift + j] == w for j, w in enumerate(item)]
+            for s in range(len(item) - size + 1):
+                n = sum(equal[s : s + size])
+                if 5 * n >= 4 * size:
+                    best = max(best or (0, 0), (n, -(shift + s)))
+        if best:
+            want.add((d, i, -best[1], best[0]))
+    found = decontamination.contaminated(
+        spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["at_word"], r["equal_words"]) for r in found} == want
+    assert len(want) > 40
+
+
 def test_licenses(awkward, no_documents):
     got = by_id(licenses.scan(awkward), "n_words", "n_base", "first_word", "last_word",
                 "base_labels", "labels", "score")

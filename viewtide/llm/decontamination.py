@@ -1,7 +1,8 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 A seed looks at some of the words in a short window and ignores the others, so it still
-hits where an ignored word was replaced. The masks are fixed. Hashes of every window of
+hits where an ignored word was replaced. The masks are fixed for each length of item, and
+they are enough: whichever words of an overlap differ, a mask fits beside them. Hashes of every window of
 every document meet those of the benchmark items in one join; a hit fixes how document and
 item lie against each other, and along that alignment the words themselves are compared:
 an overlap counts when a window of ``WINDOW`` words (the whole item, if shorter) has at
@@ -13,7 +14,7 @@ travels is a row for each alignment.
 
 Defined results
     NULL or empty texts have no words and no overlaps. Items of fewer than five words are
-    not looked for; an item shorter than the masks is looked for as it stands.
+    not looked for.
     Repeated items each give rows; repeated documents each give rows (one for each doc_id
     and text). Empty tables: no rows. Extra columns are not read; NULL ids stay NULL.
 """
@@ -26,10 +27,22 @@ from pyspark.sql import functions as F
 from viewtide.llm.tables import SENT_BYTES, only, sent, table, written
 from viewtide.operators.lookup import fits_broadcast
 
-# Offsets of the words that a mask looks at. The first avoids one residue of 5 and the
-# second one of 6 and of 7, so replacing every fifth, sixth or seventh word escapes none.
-MASKS = ((0, 1, 2, 5, 6, 8), (0, 1, 2, 3, 4, 6))
-SPAN = 9
+# Offsets of the words that a mask looks at, by the number of words of the item, or of the
+# window of a longer one. Found by search and proven by enumeration in the tests: of each
+# way to replace as many words as SIMILAR allows, a mask laid somewhere meets none.
+MASKS = {
+    5: ((0, 1, 2, 3), (0, 2, 3, 4), (0, 1, 3, 4), (0, 1, 2, 4)),
+    6: ((0, 1, 2, 3), (0, 1, 3, 4)),
+    7: ((0, 1, 2, 3, 4), (0, 1, 3, 4, 5), (0, 1, 2, 3, 5)),
+    8: ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 5, 6), (0, 1, 2, 3, 5, 6)),
+    9: ((0, 1, 2, 3, 5, 6), (0, 1, 3, 4, 5, 6)),
+    10: ((0, 1, 2, 4, 5), (0, 1, 3, 5, 6), (0, 1, 2, 5, 6)),
+    11: ((0, 1, 2, 3, 5, 6), (0, 1, 5, 6, 7, 8), (0, 1, 3, 4, 8, 9)),
+    12: ((0, 1, 2, 4, 6, 7), (0, 1, 3, 5, 6, 7), (0, 1, 2, 5, 8, 9)),
+    13: ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8)),
+    14: ((0, 1, 2, 4, 7, 8), (0, 1, 3, 6, 7, 8)),
+    15: ((0, 1, 2, 3, 5, 6), (0, 1, 3, 4, 5, 6), (0, 1, 2, 4, 9, 10)),
+}
 LEAST_WORDS = 5
 WINDOW = 15
 SIMILAR = 0.8
@@ -67,22 +80,21 @@ def _seeds(df: DataFrame, masks: list[tuple[int, ...]], *keep: str) -> DataFrame
 
 
 def benchmark_seeds(items: DataFrame) -> tuple[DataFrame, list[tuple[int, ...]]]:
-    """Seeds of all items, and the masks in use: short items add one for their length."""
+    """Seeds of all items, and the masks in use: those of the lengths that occur."""
     worded = written(
         only(items, ["item_id", "text"]).select("item_id", words().alias("words"))
         .where(F.size("words") >= LEAST_WORDS),
         "bench-words",
     )
-    short = worded.where(F.size("words") < SPAN).groupBy(F.size("words").alias("n")).count()
-    lengths = sorted(r["n"] for r in short.collect())  # at most SPAN - LEAST_WORDS rows
-    masks = [*MASKS, *[tuple(range(n)) for n in lengths]]
-    whole = F.lit(-1)  # the mask of a short item: all its words
-    for mask, n in enumerate(lengths, len(MASKS)):
-        whole = F.when(F.size("words") == n, mask).otherwise(whole)
-    seeds = _seeds(worded.withColumn("_whole", whole), masks, "item_id", "words", "_whole")
-    wanted = F.when(F.col("_whole") < 0, F.col("mask") < len(MASKS)).otherwise(
-        (F.col("mask") == F.col("_whole")) & (F.col("at") == 0)
-    )
+    length = F.least(F.size("words"), F.lit(WINDOW))
+    # At most a row for each entry of MASKS.
+    lengths = [r["n"] for r in worded.groupBy(length.alias("n")).count().collect()]
+    masks = sorted({m for n in lengths for m in MASKS[n]}) or [MASKS[WINDOW][0]]
+    seeds = _seeds(worded.withColumn("_length", length), masks, "item_id", "words", "_length")
+    wanted = F.lit(False)
+    for n in lengths:
+        own = [masks.index(m) for m in MASKS[n]]
+        wanted = wanted | ((F.col("_length") == n) & F.col("mask").isin(own))
     return seeds.where(wanted).select("item_id", "words", F.col("at").alias("item_at"), "seed"), masks
 
 
