@@ -400,6 +400,30 @@ def test_pieces_do_not_need_the_library_twice():
     assert [c.tolist() for c in cut] == [[*plain.encode(t, add_special_tokens=False).ids, 0] for t in texts]
 
 
+def test_more_pieces_in_one_text_than_the_table_has_slots(monkeypatch):
+    from viewtide.llm import tokens
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(tokens, "TABLE_BITS", 6)
+    probes, slots = [], tokens.PieceTable._slots
+
+    def counted(self, hashes, probe):
+        probes.append(probe)
+        assert probe <= 1000, "no free slot is left"
+        return slots(self, hashes, probe)
+
+    monkeypatch.setattr(tokens.PieceTable, "_slots", counted)
+    path = wavelet.tokenizer_path()
+    plain, coder = Tokenizer.from_file(path), tokens.Encoder(path)
+    plain.encode_special_tokens = True
+    texts = ["a b a", " ".join(f"{i * 7919:x}" for i in range(3000)), "", "a b a"]
+    for said in (texts, texts[:1], texts[::-1]):
+        ids, counts = coder.encode(said)
+        cut = np.split(ids, np.cumsum(counts)[:-1])
+        assert [c.tolist() for c in cut] == [[*plain.encode(t, add_special_tokens=False).ids, 0] for t in said]
+    assert probes
+
+
 def test_stages_keep_the_columns(spark, awkward, no_documents, tmp_path):
     """Mixing and decontamination as stages: whole rows, whatever their columns are called."""
     passage = next(r["text"] for r in awkward.where("doc_id = 12").collect())

@@ -18,7 +18,7 @@ import numpy as np
 from viewtide.llm.kernels import CodeHash, gather
 
 SPACE, BLANK, LETTER, NUMBER, OTHER, END, UNSURE = range(7)
-TABLE_BITS = 20  # pieces remembered at most, in slots twice as many
+TABLE_BITS = 20  # pieces remembered from call to call, in slots twice as many
 CACHED_IDS = 8_000_000
 JOINED = 256
 
@@ -83,15 +83,20 @@ def piece_starts(codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 class PieceTable:
     """Numbers of known pieces by their 64-bit hash: an open hash table in two arrays, so
-    that millions of pieces are looked up in a few array operations."""
+    that millions of pieces are looked up in a few array operations. It doubles before more
+    than half of its slots are taken, as one long text may have any number of pieces."""
 
     def __init__(self) -> None:
-        self.keys = np.zeros(2 << TABLE_BITS, np.uint64)
-        self.numbers = np.zeros(2 << TABLE_BITS, np.int32)
+        self._empty(TABLE_BITS)
+
+    def _empty(self, bits: int) -> None:
+        self.bits, self.used = bits, 0
+        self.keys = np.zeros(2 << bits, np.uint64)
+        self.numbers = np.zeros(2 << bits, np.int32)
 
     def _slots(self, hashes: np.ndarray, probe: int) -> np.ndarray:
-        start = (hashes >> np.uint64(63 - TABLE_BITS)).astype(np.int64)
-        return (start + probe) & ((2 << TABLE_BITS) - 1)
+        start = (hashes >> np.uint64(63 - self.bits)).astype(np.int64)
+        return (start + probe) & ((2 << self.bits) - 1)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The number of each, -1 if it is not known."""
@@ -112,6 +117,12 @@ class PieceTable:
 
     def add(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
         """Distinct new hashes."""
+        if self.used + len(hashes) > 1 << self.bits:
+            taken = np.flatnonzero(self.keys)
+            keys, known = self.keys[taken], self.numbers[taken]
+            self._empty((self.used + len(hashes) - 1).bit_length())
+            self.add(keys, known)
+        self.used += len(hashes)
         left, probe = np.arange(len(hashes)), 0
         while len(left):
             slot = self._slots(hashes[left], probe)
