@@ -5,12 +5,15 @@ from __future__ import annotations
 from viewtide.llm import (
     chat,
     decontamination,
+    hard_negatives,
     language,
     licenses,
     mixing,
     near_duplicates,
     neighbours,
+    prefix_trie,
     repeats,
+    simhash,
     toxicity,
     wavelet,
 )
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_language": language.query,
     "op9_decontamination": decontamination.query,
     "op10_licenses": licenses.query,
+    "op11_prefix_trie": prefix_trie.query,
+    "op12_hard_negatives": hard_negatives.query,
+    "op13_simhash": simhash.query,
 }
 
 ORACLES = {
@@ -34,4 +40,6 @@ ORACLES = {
     "op4_chat": chat.ORACLE,
     "op7_near_duplicates": near_duplicates.ORACLE,
     "op9_decontamination": decontamination.ORACLE,
+    "op11_prefix_trie": prefix_trie.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
