@@ -29,9 +29,11 @@ CLASHING = "_row string, _id string, _key string, node long, size string, place
 @pytest.fixture(scope="session")
 def awkward(spark):
     rows = [(*r, None if r[1] is None else len(r[1]), "r", "i", "k", 5, "s", 1, 2, 3) for r in AWKWARD]
-    return spark.createDataFrame(
+    frame = spark.createDataFrame(
         rows, f"doc_id long, text string, lang string, source string, n_chars long, {CLASHING}"
     ).repartition(3).cache()
+    yield frame
+    frame.unpersist(True)
 
 
 @pytest.fixture(scope="session")
@@ -50,5 +52,8 @@ def benchmark(spark):
 
 @pytest.fixture(scope="session")
 def tables(spark, sf_dir):
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet").cache()
-            for n in ("documents", "labels", "benchmark", "embeddings")}
+    names = ("documents", "labels", "benchmark", "embeddings")
+    frames = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet").cache() for n in names}
+    yield frames
+    for frame in frames.values():
+        frame.unpersist(True)

@@ -229,7 +229,7 @@ def test_near_duplicates(spark, awkward, no_documents):
 @pytest.mark.parametrize("width", [1, 2, 5])
 def test_near_duplicates_against_all_pairs(spark, width):
     """Small sets, where one shingle decides, and a group that no single star covers."""
-    from test_queries import brute_components
+    from test_corpus_queries import brute_components
 
     rng = np.random.default_rng(width)
     docs = {i: " ".join(f"w{x}" for x in rng.integers(0, 9, rng.integers(0, 9))) for i in range(150)}

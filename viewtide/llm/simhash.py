@@ -170,16 +170,19 @@ def _compare(radius: int):
             for name in ("ours", "theirs"):
                 lists = batch.column(name)
                 flat = lists.values.to_numpy(zero_copy_only=False)
-                sides.append((flat, lists.offsets.to_numpy()))
+                # Bits are counted of numbers without a sign.
+                sides.append((flat.view(np.uint64), lists.offsets.to_numpy()))
             same, a, b = batch.column("same").to_pylist(), [], []
             (x, xs), (y, ys) = sides
             for k, alike in enumerate(same):
                 ours = x[xs[k] : xs[k + 1]]
                 theirs = ours if alike else y[ys[k] : ys[k + 1]]
                 for i, j in joining_links(ours, theirs, radius):
-                    a.append(int(ours[i]))
-                    b.append(int(theirs[j]))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                    a.append(ours[i])
+                    b.append(theirs[j])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (a, b)], ["a", "b"]
+            )
 
     return run
 
