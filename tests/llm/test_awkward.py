@@ -392,12 +392,13 @@ def test_pieces_do_not_need_the_library_twice():
 
     path = wavelet.tokenizer_path()
     plain, coder = Tokenizer.from_file(path), Encoder(path)
-    plain.encode_special_tokens = True
     texts = ["it's  we'll\n\n'tis ''s 'S", "", " ", "\n", "a b ̀x", "x\x1cy", "\U0001f600 中12½",
-             "<|endoftext|> tail  ", "'re'm", "٣'t", "tabs\t\t end\t"]
+             "<|endoftext|> tail  ", "'re'm", "٣'t", "tabs\t\t end\t", "a <|endoftext|> b",
+             " <|endoftext|>", "<|endoftext|><|endoftext|> a b", "<|endoftext| >", " lead <|endoftext|>"]
     ids, counts = coder.encode(texts)
     cut = np.split(ids, np.cumsum(counts)[:-1])
     assert [c.tolist() for c in cut] == [[*plain.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    assert plain.token_to_id("<|endoftext|>") in ids
 
 
 def test_more_pieces_in_one_text_than_the_table_has_slots(monkeypatch):
@@ -415,7 +416,6 @@ def test_more_pieces_in_one_text_than_the_table_has_slots(monkeypatch):
     monkeypatch.setattr(tokens.PieceTable, "_slots", counted)
     path = wavelet.tokenizer_path()
     plain, coder = Tokenizer.from_file(path), tokens.Encoder(path)
-    plain.encode_special_tokens = True
     texts = ["a b a", " ".join(f"{i * 7919:x}" for i in range(3000)), "", "a b a"]
     for said in (texts, texts[:1], texts[::-1]):
         ids, counts = coder.encode(said)

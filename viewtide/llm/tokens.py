@@ -4,13 +4,16 @@ A byte-level BPE first cuts a text into pieces (words with the space before them
 punctuation, white space) and never merges across them. Pieces repeat far more than texts
 do, so the cuts are found for many texts at once and the library is asked only for pieces
 not seen before in this worker. Texts with characters whose class differs between versions
-of Unicode go to the library whole. The ids are those of encoding each text by itself.
+of Unicode and texts that hold an added token of the vocabulary (``<|endoftext|>``) go to the
+library whole. The ids are those of encoding each text by itself.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
+from collections.abc import Sequence
 from itertools import chain
 
 import numpy as np
@@ -42,9 +45,9 @@ def _classes() -> np.ndarray:
 _table: np.ndarray | None = None
 
 
-def piece_starts(codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def piece_starts(codes: np.ndarray, ends: np.ndarray, whole: Sequence[int] = ()) -> np.ndarray:
     """Where the pieces of the texts start; ``ends`` are the places after each text, which
-    become pieces of their own."""
+    become pieces of their own. The texts numbered in ``whole`` are one piece each."""
     global _table
     if _table is None:
         _table = _classes()
@@ -72,9 +75,10 @@ def piece_starts(codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
             starts[at + 1] = False
             rest = at + width
             starts[rest[kind[rest] == LETTER]] = True
-    if (kind == UNSURE).any():
+    unsure = np.unique(np.searchsorted(ends, np.flatnonzero(kind == UNSURE)))
+    if len(unsure) or len(whole):
         first = np.concatenate([[0], ends[:-1] + 1])
-        for i in np.unique(np.searchsorted(ends, np.flatnonzero(kind == UNSURE))):
+        for i in {*unsure.tolist(), *whole}:
             starts[first[i] : ends[i]] = False
             starts[first[i]] = True
     starts[ends] = True
@@ -141,7 +145,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Looked for in every text; an empty class matches nowhere.
+        self.added = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))) or r"[^\s\S]")
         self.end = end
         self.reset()
 
@@ -153,7 +159,10 @@ class Encoder:
     def learn(self, pieces: list[str], hashes: np.ndarray) -> None:
         # Pieces that begin with a space stay apart when they stand in one text, and the
         # library says which piece an id is of; that costs it half of many short texts.
-        spaced = [i for i, p in enumerate(pieces) if len(p) > 1 and p[0] == " " and not p[1].isspace()]
+        spaced = [
+            i for i, p in enumerate(pieces)
+            if len(p) > 1 and p[0] == " " and not p[1].isspace() and not self.added.search(p)
+        ]
         groups = [spaced[i : i + JOINED] for i in range(0, len(spaced), JOINED)]
         alone = sorted(set(range(len(pieces))) - set(spaced))
         order, ids, counts = [], [], []
@@ -189,7 +198,8 @@ class Encoder:
         joined = "\n".join(texts) + "\n"
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         ends = np.cumsum([len(t) + 1 for t in texts]) - 1
-        starts = piece_starts(codes, ends)
+        whole = [i for i, t in enumerate(texts) if self.added.search(t)]
+        starts = piece_starts(codes, ends, whole)
         stops = np.append(starts[1:], len(codes))
         hashes = np.maximum(CodeHash(codes).of(starts, stops), np.uint64(1))
         if len(self.first) + len(starts) > 1 << TABLE_BITS or len(self.flat) > CACHED_IDS:
