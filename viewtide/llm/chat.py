@@ -10,10 +10,11 @@ and roles a look-alike of a control string gets a backslash behind its first cha
 one that already has backslashes there gets one more; reading back takes one away. No other
 character changes. The loss mask lists the code point ranges of the assistant's texts.
 
-A conversation is formatted in parts of ``PART`` consecutive turn numbers, so that a
-conversation of any length is many rows of bounded size; the parts one after another are
-the whole. A block that runs over a part's border is left open there, and its header is
-repeated behind the border.
+A conversation is formatted in parts: ``PART`` consecutive turn numbers, and no more than
+``PART`` rows of them, as any number of rows may have one turn number, or none, or one
+conv_id. So a conversation of any length is many rows of bounded size; the parts, numbered
+from 0, are the whole one after another. A block that runs over a part's border is left open
+there, and its header is repeated behind the border.
 
 Defined results
     NULL role and NULL text count as empty; NULL turn comes first; turns with equal numbers
@@ -28,11 +29,13 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewtide.llm import kernels
+from viewtide.llm.positions import running
 from viewtide.llm.tables import only, table, written
+from viewtide.operators.lookup import lookup
 
 PART = 256
 LOSS_ROLE = "assistant"
@@ -75,28 +78,42 @@ def _pieces() -> Column:
     return F.transform(F.sequence(F.lit(0), n - 1), piece)
 
 
-def format_conversations(rows: DataFrame) -> DataFrame:
-    """conv_id, part, formatted, loss (array of begin and length in code points)."""
+def _key(*columns: str) -> Column:
+    """One text for the columns, NULL apart from any value."""
+    return F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns])
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """The rows as conv_id, block, sub, turn, role, text: ``block`` is a range of turn
+    numbers, ``sub`` the place in it of a row beyond the first ``PART``."""
     plain = only(rows, ["conv_id", "turn", "role", "text"]).select(
-        "conv_id",
-        F.floor(F.col("turn") / PART).cast("bigint").alias("part"),
-        F.struct(
-            "turn",
-            F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-            F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-        ).alias("_turn"),
-    )
-    parts = plain.groupBy("conv_id", "part").agg(
-        F.sort_array(F.collect_list("_turn")).alias("turns")
+        "conv_id", F.floor(F.col("turn") / PART).cast("bigint").alias("block"), "turn",
+        F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    ).withColumn("_block", _key("conv_id", "block"))
+    crowded = written(
+        plain.groupBy("_block").agg(F.count("*").alias("n")).where(F.col("n") > PART)
+        .select("_block", F.lit(True).alias("_crowded")),
+        "chat-crowded",
     )
-    # The roles across the border: one small row per part, and only long conversations
-    # have a second one.
-    roles = parts.select(
-        "conv_id", "part", "turns",
-        F.get("turns", F.lit(0))["role"].alias("_first"),
-        F.element_at("turns", -1)["role"].alias("_last"),
+    named = ["conv_id", "block", "turn", "role", "text"]
+    usual = F.lit(0).cast("bigint").alias("sub")
+    if crowded.isEmpty():
+        return plain.select(*named, usual)
+    told = lookup(plain, crowded, "_block")
+    dealt = running(told.where("_crowded"), ["_block"], [F.col("turn").asc_nulls_first(), "role", "text"])
+    sub = F.floor(F.col("_at") / PART).cast("bigint").alias("sub")
+    return told.where("_crowded IS NULL").select(*named, usual).unionByName(dealt.select(*named, sub))
+
+
+def format_conversations(rows: DataFrame) -> DataFrame:
+    """conv_id, part, formatted, loss (array of begin and length in code points)."""
+    placed = _placed(rows).withColumn("_piece", _key("conv_id", "block", "sub"))
+    turn = F.struct("turn", "role", "text")
+    parts = placed.groupBy("_piece").agg(
+        F.first("conv_id").alias("conv_id"), F.sort_array(F.collect_list(turn)).alias("turns")
     )
-    beside = _neighbours(roles)
+    beside = parts.join(_borders(placed), "_piece")
     merged = beside.withColumn("_pieces", _pieces())
     formatted = F.array_join(
         F.transform("_pieces", lambda p: F.concat(p["start"], p["text"], p["end"])), ""
@@ -119,12 +136,24 @@ def format_conversations(rows: DataFrame) -> DataFrame:
     return merged.select("conv_id", "part", formatted.alias("formatted"), spans.alias("loss"))
 
 
-def _neighbours(parts: DataFrame) -> DataFrame:
-    """``parts`` with the last role before and the first role after each."""
-    order = Window.partitionBy("conv_id").orderBy("part")
-    return parts.withColumns({
-        "_before": F.lag("_last").over(order), "_after": F.lead("_first").over(order),
-    })
+def _borders(placed: DataFrame) -> DataFrame:
+    """For every part its number in the conversation, the last role before it and the first
+    one after it; texts are not read for that."""
+    ends = placed.groupBy("_piece").agg(
+        F.first("conv_id").alias("conv_id"), F.first("block").alias("block"), F.first("sub").alias("sub"),
+        F.min(F.struct("turn", "role")).alias("low"), F.max(F.struct("turn", "role")).alias("high"),
+    ).select("_piece", _key("conv_id").alias("_conv"), "block", "sub",
+             F.col("low.role").alias("first"), F.col("high.role").alias("last"))
+    numbered = written(
+        running(ends, ["_conv"], [F.col("block").asc_nulls_first(), "sub"]).withColumnRenamed("_at", "part"),
+        "chat-parts",
+    )
+    before = numbered.select("_conv", (F.col("part") + 1).alias("part"), F.col("last").alias("_before"))
+    after = numbered.select("_conv", (F.col("part") - 1).alias("part"), F.col("first").alias("_after"))
+    here = numbered.select("_piece", "_conv", "part")
+    return here.join(before, ["_conv", "part"], "left").join(after, ["_conv", "part"], "left").select(
+        "_piece", "part", "_before", "_after"
+    )
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -218,7 +247,8 @@ WITH rows AS (
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
 parts AS (
-  SELECT *, floor(turn / 256) AS part,
+  SELECT *, (floor(turn / 256), (row_number() OVER (
+           PARTITION BY conv_id, floor(turn / 256) ORDER BY turn NULLS FIRST, role, text) - 1) // 256) AS part,
          regexp_replace(role, '([<\[])(\\*/?(?:s>|INST\]|SEP\]))', '\1\\\2', 'g') AS erole,
          regexp_replace(text, '([<\[])(\\*/?(?:s>|INST\]|SEP\]))', '\1\\\2', 'g') AS etext FROM rows),
 sides AS (
