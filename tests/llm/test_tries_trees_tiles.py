@@ -301,3 +301,49 @@ def test_simhash_query(spark, sf_dir, tables):
     assert len(got) == len(docs)
     for (doc, _), value, low in zip(docs, prints, brute_groups(prints, 2)):
         assert got[doc]["fingerprint"] == f"{value:016x}" and got[doc]["component_id"] == docs[low][0]
+
+
+# -- hot groups in chat and mixing -----------------------------------------------------------
+
+
+def test_chat_parts_are_bounded_by_rows(spark, monkeypatch):
+    """Many rows without a turn and a conversation, and many of one turn, in parts of four."""
+    from viewtide.llm import chat
+
+    monkeypatch.setattr(chat, "PART", 4)
+    rng = random.Random(1)
+    rows = [(None, None, rng.choice(["user", "assistant"]), f"t{i % 23}") for i in range(60)]
+    rows += [(5, 2, "user", f"same {i % 3}") for i in range(30)] + [(5, i, "assistant", "x") for i in (0, 1, 3, 9)]
+    rows += [(6, i, "user", f"{i}") for i in range(11)] + [(None, 7, "user", "late")]
+    rows += [(None, None, None, None)] * 9
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    formatted = chat.format_conversations(frame)
+    sizes = [len(r["turns"]) for r in chat.read_back(formatted).collect()]
+    assert max(sizes) <= 4 and sum(sizes) == len(rows)
+    got = {r["conv_id"]: r for r in chat.digests(formatted).collect()}
+    for conv in (None, 5, 6):
+        own = sorted(((r[1] is not None, r[1] or 0, r[2] or "", r[3] or "") for r in rows if r[0] == conv))
+        said = "".join(f"{role}\n{text}\n" for _, _, role, text in own)
+        loss = "".join(text for _, _, role, text in own if role == "assistant")
+        assert got[conv]["n_turns"] == len(own) and got[conv]["loss_chars"] == len(loss)
+        assert got[conv]["turns_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+        assert got[conv]["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("text", ["three words here", None])
+def test_mixing_a_source_under_one_id(spark, text):
+    """Nine tenths of a source have one id, or all rows are copies: its target is still met."""
+    from viewtide.llm import mixing
+
+    rng = random.Random(2)
+    rows = [(None if i % 10 else i, text or " ".join("w" * rng.randrange(1, 30)), "a") for i in range(1000)]
+    rows += [(7000 + i, "one two three four five", f"s{i % 4}") for i in range(4000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken, target, largest = defaultdict(int), {}, defaultdict(int)
+    for r in mixing.mix_sources(frame).collect():
+        taken[r["source"]] += r["size"] * r["times"]
+        target[r["source"]] = r["target"]
+        largest[r["source"]] = max(largest[r["source"]], r["size"])
+    assert len(target) == 5
+    for source, want in target.items():
+        assert abs(taken[source] - want) <= largest[source]

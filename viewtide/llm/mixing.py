@@ -4,7 +4,8 @@ Every document has a fixed place on a 60-bit hash line. What a source contribute
 prefix of that line, so a larger budget takes all that a smaller one took, and a rerun
 takes the same. The prefix ends at a threshold found without sorting: sizes are summed by
 source and hash bucket, the bucket in which the budget runs out is found from the sums,
-and only that bucket is split into finer ones, until it holds one hash value.
+and only that bucket is split into finer ones, until it holds one hash value. Rows at that
+value are copies of one document; they are numbered, and the first of them are taken.
 
 Only DataFrame functions run. Texts are read once; what follows works on four narrow
 columns written to the shared folder.
@@ -12,7 +13,8 @@ columns written to the shared folder.
 Defined results
     NULL text, empty text or blanks only: size 0, taken 0.
     NULL source: a source of its own, after all others. NULL doc_id: an id like any other.
-    Rows with equal doc_id and source share a place on the line and so one decision each.
+    The place follows from id and text. Rows equal in both share it, and if the budget runs out
+    among them, as many are taken as bring their source nearest to its target.
     A source whose documents have no words: target 0. Empty table: no rows.
     Extra columns are not read.
 """
@@ -24,6 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewtide.llm.positions import running
 from viewtide.llm.tables import WORD, only, table, written
 from viewtide.operators.lookup import lookup
 
@@ -34,12 +37,18 @@ SHARE = (3, 2)  # the mix has 3/2 of all words
 REPEATS = 2  # no source and no document counts more than twice
 
 
-def place(name: str = "doc_id") -> Column:
+def place() -> Column:
     """A document's fixed place on the hash line, 0 to 2^60 - 1."""
-    digits = F.substring(F.md5(F.coalesce(F.col(name).cast("string"), F.lit(""))), 1, 15)
+    said = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in ("doc_id", "text")]
+    digits = F.substring(F.md5(F.concat(said[0], F.lit(":"), F.md5(said[1]))), 1, 15)
     return F.conv(digits, 16, 10).cast("bigint")
 
 
+def words() -> Column:
+    """The size of a document."""
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
+
+
 def _bucket(level: int) -> Column:
     """The hash down to this level: a bucket of the next level lies in one of this one."""
     return F.shiftright("place", LEVEL_BITS * (LEVELS - 1 - level))
@@ -100,8 +109,8 @@ def source_targets(
 
 
 def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
-    """For each source: whole copies of every document, and the hash below which one more
-    copy is taken (NULL: of none).
+    """For each source: whole copies of every document, the hash below which one more copy
+    is taken, and the words of it that are still wanted at that hash (``rest``).
 
     The sums of a level have at most 4096 rows a source; deeper levels read only the
     documents of the boundary buckets.
@@ -138,21 +147,15 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
             F.array_sort(F.collect_list(F.struct("bucket", "words"))).alias("sums")
         )
         joined = state.join(listed, ["_s", "_n"], "left")
-        start = F.struct(
-            F.col("before").alias("sum"), F.lit(None).cast("bigint").alias("at"),
-            F.lit(None).cast("bigint").alias("words"),
-        )
-        # The last bucket whose middle is still within the budget, at the last level; the
-        # first bucket that ends beyond the budget, above it.
+        start = F.struct(F.col("before").alias("sum"), F.lit(None).cast("bigint").alias("at"))
+        # The first bucket that ends beyond the budget.
         walked = F.aggregate(
             "sums", start,
             lambda acc, b: F.when(
                 acc["at"].isNull() & (acc["sum"] + b["words"] <= F.col("want")),
-                F.struct((acc["sum"] + b["words"]).alias("sum"), acc["at"].alias("at"),
-                         acc["words"].alias("words")),
+                F.struct((acc["sum"] + b["words"]).alias("sum"), acc["at"].alias("at")),
             ).when(
-                acc["at"].isNull(),
-                F.struct(acc["sum"].alias("sum"), b["bucket"].alias("at"), b["words"].alias("words")),
+                acc["at"].isNull(), F.struct(acc["sum"].alias("sum"), b["bucket"].alias("at")),
             ).otherwise(acc),
         )
         here = joined.withColumn("_w", walked)
@@ -164,37 +167,32 @@ def thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
                 .otherwise(F.col("bucket")).alias("bucket"),
                 F.when(active, F.col("_w.sum")).otherwise(F.col("before")).alias("before"),
                 F.coalesce(active & F.col("_w.at").isNotNull(), F.lit(False)).alias("found"),
-                F.col("_w.words").alias("edge_words"),
             ),
             "mix-level",
         )
-    # ``bucket`` is now one hash value, ``before`` the words below it. It is taken too if
-    # that brings the source nearer to its target. Not found: the whole line fits.
-    taken_too = 2 * F.col("before") + F.col("edge_words") <= 2 * F.col("want")
-    limit = F.when(~F.col("found"), F.lit(1 << (LEVEL_BITS * LEVELS))).otherwise(
-        F.col("bucket") + taken_too.cast("int")
-    )
+    # ``bucket`` is now one hash value, ``before`` the words below it. Not found: the whole
+    # line fits.
+    limit = F.when(F.col("found"), F.col("bucket")).otherwise(F.lit(1 << (LEVEL_BITS * LEVELS)))
     return state.select(
         F.when(~F.col("_n"), F.col("_s")).alias("source"), "source_size", "target", "copies",
-        limit.alias("below"),
+        limit.alias("below"), (F.col("want") - F.col("before")).alias("rest"),
     )
 
 
 def sized_documents(docs: DataFrame) -> DataFrame:
     """doc_id, source, size and place of every document; the only step that reads texts."""
-    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
     return only(docs, ["doc_id", "source", "text"]).select(
-        "doc_id", F.col("source").cast("string").alias("source"), words.alias("size"),
+        "doc_id", F.col("source").cast("string").alias("source"), words().alias("size"),
         place().alias("place"),
     )
 
 
 def mix_limits(sized: DataFrame, **plan) -> DataFrame:
-    """For each source, under a NULL-free ``_key``: size, target, copies and threshold."""
+    """For each source, under a NULL-free ``_key``: size, target, copies, threshold and rest."""
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     limits = written(thresholds(sized, source_targets(sources, **plan)), "mix-limits")
     return limits.select(
-        _source_key().alias("_key"), "source_size", "target", "copies", "below"
+        _source_key().alias("_key"), "source_size", "target", "copies", "below", "rest"
     )
 
 
@@ -202,10 +200,17 @@ def _source_key() -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
 
 
-def _times(repeats: int) -> Column:
-    return F.least(
-        F.col("copies") + (F.col("place") < F.col("below")).cast("bigint"), F.lit(repeats)
+def _with_times(rows: DataFrame, limits: DataFrame, repeats: int) -> DataFrame:
+    """``rows`` (with ``_key``, ``place`` and ``size``) with their source's limits and how
+    often the mix has them. Rows at the threshold are counted one by one."""
+    joined = lookup(rows, limits, "_key")
+    edge = running(joined.where("place = below"), ["_key"], ["place"], sums=["size"])
+    # One more is taken while that brings the source nearer to its target.
+    nearer = 2 * F.col("size_before") + F.col("size") <= 2 * F.col("rest")
+    taken = edge.withColumn("_more", nearer).select(*joined.columns, "_more").unionByName(
+        joined.where("place <> below").withColumn("_more", F.col("place") < F.col("below"))
     )
+    return taken.withColumn("times", F.least(F.col("copies") + F.col("_more").cast("bigint"), F.lit(repeats)))
 
 
 def mix_sources(
@@ -217,9 +222,8 @@ def mix_sources(
     """doc_id, source, size, source_size, target, times: how often the mix has each row."""
     sized = written(sized_documents(docs), "mix-sized")
     limits = mix_limits(sized, cycle=cycle, share=share, repeats=repeats)
-    joined = lookup(sized.withColumn("_key", _source_key()), limits, "_key")
-    return joined.select(
-        "doc_id", "source", "size", "source_size", "target", _times(repeats).alias("times")
+    return _with_times(sized.withColumn("_key", _source_key()), limits, repeats).select(
+        "doc_id", "source", "size", "source_size", "target", "times"
     )
 
 
@@ -235,12 +239,12 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     names = [F.col(f"`{n}`") for n in docs.columns]
     limits = mix_limits(written(sized_documents(docs), "mix-sized"))
     keyed = docs.select(
-        F.struct(*names).alias("_row"), _source_key().alias("_key"), place().alias("place")
+        F.struct(*names).alias("_row"), _source_key().alias("_key"), place().alias("place"),
+        words().alias("size"),
     )
-    chosen = lookup(keyed, limits, "_key").withColumn("_times", _times(REPEATS).cast("int"))
+    chosen = _with_times(keyed, limits, REPEATS).where("times > 0")
     return (
-        chosen.where("_times > 0")
-        .select("_row", F.explode(F.sequence(F.lit(1), "_times")).alias("_copy"))
+        chosen.select("_row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("_copy"))
         .select("_row.*")
     )
 
@@ -249,7 +253,8 @@ ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS place
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS place,
+         row_number() OVER () AS nr
   FROM documents),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -281,21 +286,14 @@ targets AS (
 plan AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS copies
   FROM targets),
-line AS (
-  SELECT source, place, sum(size) AS words FROM sized GROUP BY source, place),
 prefix AS (
-  SELECT source, place, words,
-         sum(words) OVER (PARTITION BY source ORDER BY place) - words AS before
-  FROM line),
-edge AS (
-  SELECT p.source, f.place
-  FROM plan p JOIN prefix f ON p.source IS NOT DISTINCT FROM f.source
-  WHERE CASE WHEN f.before + f.words <= p.target - p.copies * p.source_size THEN true
-             ELSE f.before <= p.target - p.copies * p.source_size
-              AND 2 * f.before + f.words <= 2 * (p.target - p.copies * p.source_size) END)
+  SELECT nr, source, size,
+         sum(size) OVER (PARTITION BY source ORDER BY place, nr ROWS UNBOUNDED PRECEDING) - size AS before
+  FROM sized)
 SELECT d.doc_id, d.size, p.source_size, p.target,
-       (d.size * least(p.copies + CASE WHEN e.place IS NULL THEN 0 ELSE 1 END, 2))::BIGINT AS taken
+       (d.size * least(p.copies + CASE WHEN 2 * f.before + f.size <= 2 * (p.target - p.copies * p.source_size)
+                                  THEN 1 ELSE 0 END, 2))::BIGINT AS taken
 FROM sized d
 JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
-LEFT JOIN edge e ON e.source IS NOT DISTINCT FROM d.source AND e.place = d.place
+JOIN prefix f ON f.nr = d.nr
 """
