@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from viewtide import registry, schemas
-from viewtide.operators import dims, facts, geo, parse
-from viewtide.plans import health, load, reports
+from viewtide.operators import dims, facts, geo, merge, parse
+from viewtide.plans import health, load, partials, reports
 from viewtide.session import new_scratch, stateful_session
 from viewtide.sources.jdbc import JdbcDatabase, Split
 from viewtide.sources.messages import KafkaTopic, read_message_stream
@@ -91,45 +91,157 @@ def test_failed_batch_releases_its_rows(spark, messages_of, warehouse, locator,
         raise RuntimeError("no table")
 
     monkeypatch.setattr(load, "_merge_batch", fail)
+    before = set(spark.sparkContext._jsc.getPersistentRDDs())
     with pytest.raises(RuntimeError):
         load.load_micro_batch(warehouse, messages_of(view(0)), locator, 0)
-    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= before
 
 
-def test_compaction_survives_a_replay(spark, messages_of, warehouse, locator):
+def test_closing_survives_replays(spark, messages_of, warehouse, locator):
     batches = [messages_of(view(n), view(n + 10), view(n, time_stamp=None)) for n in range(4)]
     for number, batch in enumerate(batches[:3]):
         load.load_micro_batch(warehouse, batch, locator, number)
     before = contents(warehouse)
-    warehouse.compact()
+    assert warehouse.close() == 1 and warehouse.close() == 1
     assert contents(warehouse) == before
-    assert len(warehouse.manifest("fact_product_views").read()[1]) == 2
-    # The newest batch may be repeated by its stream, and so may a folded one.
+    fact = warehouse.with_runs("fact_product_views")
+    assert {r["run"] for r in fact.select("run").distinct().collect()} == {-2, 2}
+    # The newest batch may be repeated by its stream; repeating a closed one changes nothing.
     for number in (2, 0):
         load.load_micro_batch(warehouse, batches[number], locator, number)
         assert contents(warehouse) == before
+    warehouse.sweep()
+    assert warehouse.runs("fact_product_views") == {-2, 2}
+    assert warehouse.runs("dim_customer") <= {-2, 2}
+    assert contents(warehouse) == before
     load.load_micro_batch(warehouse, batches[3], locator, 3)
-    warehouse.compact()
+    warehouse.close()
+    assert warehouse.runs("fact_product_views") == {-3, -2, 2, 3}
     plain = Warehouse(spark, new_scratch(spark, "plain"))
     for number, batch in enumerate(batches):
         load.load_micro_batch(plain, batch, locator, number)
-    assert contents(warehouse) == contents(plain)
+    sketchless = lambda w: {n: r for n, r in contents(w).items() if n != "view_partials"}
+    assert sketchless(warehouse) == sketchless(plain)
+    assert rows(partials.all_counts(warehouse)) == rows(partials.all_counts(plain))
+
+
+@pytest.mark.parametrize("died_at", range(3))
+def test_a_closing_that_died_is_not_seen(messages_of, warehouse, locator, monkeypatch, died_at):
+    """It has written some tables but no mark; a later one closes more than it would have."""
+    for number in range(2):
+        load.load_micro_batch(warehouse, messages_of(view(number)), locator, number)
+    before, write, done = contents(warehouse), Warehouse._overwrite, []
+
+    def dying(self, table, frame, run):
+        if run < 0 and len(done) == died_at * 4:
+            raise RuntimeError("died")
+        done.append(table)
+        write(self, table, frame, run)
+
+    monkeypatch.setattr(Warehouse, "_overwrite", dying)
+    with pytest.raises(RuntimeError):
+        warehouse.close()
+    monkeypatch.setattr(Warehouse, "_overwrite", write)
+    assert warehouse.closed() == -1 and contents(warehouse) == before
+    load.load_micro_batch(warehouse, messages_of(view(2)), locator, 2)
+    before = contents(warehouse)
+    assert warehouse.close() == 1 and contents(warehouse) == before
+    warehouse.sweep()
+    assert contents(warehouse) == before and warehouse.runs("fact_product_views") == {-2, 2}
+
+
+def test_tables_are_found_by_another_session(spark, messages_of, warehouse, locator):
+    """What a session has entered into its catalog another one finds in the folders."""
+    load.load_micro_batch(warehouse, messages_of(view(0), view(1)), locator, 0)
+    want = rows(warehouse.table("dim_customer"))
+    spark.sql(f"DROP TABLE {warehouse._bucketed('dim_customer', spark)}")
+    again = Warehouse(spark, warehouse.root)
+    assert rows(again.table("dim_customer")) == want
+    load.load_micro_batch(again, messages_of(view(0), view(2, device_id="new")), locator, 1)
+    assert len(rows(again.table("dim_customer"))) == 3
 
 
-def test_a_day_opens_few_folders(spark, messages_of, warehouse, locator):
-    """Folding keeps a day's folders few, and a read names only that day's."""
+def test_a_day_opens_its_folders_only(spark, messages_of, warehouse, locator):
     fact = spark.createDataFrame(
         [(f"f{n}", 20240500 + n % 3) for n in range(30)], "fact_id string, date_id int")
     fields = schemas.TABLES["fact_product_views"]
-    for number in range(40):
-        rows = fact.selectExpr(*[n if n in fact.columns else f"CAST(NULL AS {k}) AS {n}" for n, k in fields.items()])
-        warehouse.write_batch("fact_product_views", rows.withColumn("fact_id", F.concat("fact_id", F.lit(number))), number)
-    day = warehouse.paths("fact_product_views", [20240501])
-    assert len(day) < 20 and all("date_id=20240501" in p for p in day)
-    assert warehouse.table("fact_product_views", [20240501]).count() == 400
-    assert warehouse.table("fact_product_views").count() == 1200
-    assert warehouse.before("fact_product_views", 7).count() == 210
-    assert warehouse.paths("fact_product_views", [20200101]) == []
+    whole = fact.selectExpr(*[n if n in fact.columns else f"CAST(NULL AS {k}) AS {n}" for n, k in fields.items()])
+    for number in range(6):
+        warehouse.write_batch(
+            "fact_product_views", whole.withColumn("fact_id", F.concat("fact_id", F.lit(number))), number)
+    warehouse.close(3)
+    day = warehouse.table("fact_product_views", [20240501])
+    files = day.inputFiles()
+    assert all("date_id=20240501/" in f for f in files)
+    live = day.where("date_id = 20240501")
+    assert "PartitionFilters" in plan(live) and live.count() == 60
+    assert warehouse.table("fact_product_views").count() == 180
+    assert warehouse.before("fact_product_views", 5).count() == 150
+    assert warehouse.table("fact_product_views", [20200101]).count() == 0
+
+
+def test_history_of_customers_is_not_shuffled(messages_of, warehouse, locator, spark):
+    load.load_micro_batch(warehouse, messages_of(*[view(n, device_id=f"d{n}") for n in range(30)]), locator, 0)
+    logs = parse.parse_logs(messages_of(view(3, device_id="d3"), view(99, device_id="new")))
+    new = dims.dim_customer(logs)
+    held = merge.held_in_buckets(warehouse.before("dim_customer", 1), new.select("customer_id"))
+    text = plan(held)
+    assert "Bucketed: true" in text and "ShuffledHashJoin" in text and "Sort" not in text
+    # The history is the left side, printed first: nothing but its scan stands below the join.
+    history = text[text.index("ShuffledHashJoin") : text.index("FileScan")]
+    assert "Exchange" not in history
+    assert [r["customer_id"] for r in held.collect()] == ["d3"]
+    added = merge.absent_rows(new, held, "customer_id")
+    assert [r["customer_id"] for r in added.collect()] == ["new"]
+
+
+# -- kept reports ------------------------------------------------------------------------
+
+KEPT = ["top_products", "top_countries", "hourly_traffic", "user_agents", "top_referrers", "browser_os_hourly"]
+
+
+@pytest.mark.parametrize("load_batch", [load.load_micro_batch, load.load_table_batch])
+def test_kept_reports_equal_those_of_the_fact(messages_of, warehouse, locator, load_batch):
+    batches = [
+        messages_of(*[view(n) for n in range(6)], "broken"),
+        messages_of(*[view(n) for n in range(3, 12)], view(12, device_id="", product_id=None),
+                    view(13, ip="8.8.8.8"), view(14, time_stamp=T0 + 90_000), view(15, time_stamp=None)),
+        messages_of(view(1), view(20, time_stamp=T0 + 4000, user_agent="Firefox/121")),
+    ]
+
+    def check():
+        for name in KEPT:
+            kept, own = (getattr(m, name)(warehouse, DAY).collect() for m in (partials, reports))
+            assert [tuple(r) for r in kept] == [tuple(r) for r in own]
+        for arguments in (("Peru",), ("Atlantis",)):
+            assert rows(partials.stores_by_country(warehouse, *arguments, DAY)) == rows(
+                reports.stores_by_country(warehouse, *arguments, DAY))
+        for product in ("1", "no such"):
+            assert rows(partials.product_hourly(warehouse, product, DAY)) == rows(
+                reports.product_hourly(warehouse, product, DAY))
+        views = reports.views_of_day(warehouse, DAY)
+        exact = views.groupBy(F.hour("time_stamp").alias("h")).agg(F.countDistinct("customer_id"))
+        assert rows(partials.hourly_customers(warehouse, DAY)) == rows(exact)
+
+    check()
+    for number, batch in enumerate(batches):
+        load_batch(warehouse, batch, locator, number)
+        check()
+        load_batch(warehouse, batch, locator, number)
+        check()
+    load_batch(warehouse, batches[0], locator, 0)
+    check()
+    warehouse.close()
+    warehouse.sweep()
+    check()
+
+
+def test_kept_reports_scan_partials_only(spark, sf_dir):
+    warehouse = registry.load_star(spark, sf_dir)
+    key = registry.AS_OF.replace("-", "")
+    for name in [*KEPT, "hourly_customers"]:
+        frame = getattr(partials, name)(warehouse, registry.AS_OF)
+        assert frame.inputFiles() and all(f"view_partials/date_id={key}/" in f for f in frame.inputFiles())
 
 
 # -- streams ---------------------------------------------------------------------------
@@ -345,13 +457,13 @@ def test_no_python_and_no_nested_loops(spark, sf_dir, name):
 
 def test_plans_inside_a_micro_batch(messages_of, warehouse, locator, monkeypatch):
     """What a stream's batches run, which their returned tables no longer show."""
-    plans, write = [], Warehouse._write
+    plans, write = [], Warehouse._overwrite
 
     def recorded(self, table, rows, *rest):
         plans.append(plan(rows))
         return write(self, table, rows, *rest)
 
-    monkeypatch.setattr(Warehouse, "_write", recorded)
+    monkeypatch.setattr(Warehouse, "_overwrite", recorded)
     for number in range(2):
         load.load_micro_batch(warehouse, messages_of(view(number), view(5)), locator, number)
         load.land_micro_batch(warehouse, messages_of(view(number), "broken"), number)
@@ -367,6 +479,20 @@ def test_reports_prune_the_fact(spark, sf_dir, name):
     assert "PartitionFilters: [isnotnull(date_id" in text and "current_url" not in text
 
 
+def test_calendar_attributes_prune_the_fact(spark, sf_dir):
+    frame = registry.QUERIES["weekend_views"](spark, sf_dir)
+    scans = [line for line in plan(frame).splitlines() if "FileScan" in line and "store_id" in line]
+    assert len(scans) == 1 and "dynamic" in scans[0].split("PartitionFilters")[1]
+
+
+@pytest.mark.parametrize("name", [n for n in registry.QUERIES if n.startswith("sql_")])
+def test_table_functions_equal_the_kept_reports(spark, sf_dir, name):
+    kept = registry.QUERIES[name.replace("sql_", "kept_")](spark, sf_dir)
+    frame = registry.QUERIES[name](spark, sf_dir)
+    assert [tuple(r) for r in frame.collect()] == [tuple(r) for r in kept.collect()]
+    assert "PartitionFilters: [isnotnull(date_id" in plan(frame) and "LateralJoin" not in plan(frame)
+
+
 def test_today_is_a_literal_partition(spark, sf_dir):
     warehouse = registry.load_star(spark, sf_dir)
     assert not reports.views_of_day(warehouse).inputFiles()

@@ -21,3 +21,12 @@ def held_keys(existing: DataFrame, batch_keys: DataFrame) -> DataFrame:
     """
     key = batch_keys.columns[0]
     return existing.select(key).join(batch_keys, key, "left_semi")
+
+
+def held_in_buckets(existing: DataFrame, batch_keys: DataFrame) -> DataFrame:
+    """The same for a history bucketed by its key.
+
+    The batch's keys go to the buckets and are looked up there; the history streams past
+    them where it lies, neither shuffled nor sorted.
+    """
+    return held_keys(existing, batch_keys.hint("shuffle_hash"))

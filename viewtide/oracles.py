@@ -301,4 +301,42 @@ _SELECTS = {
           WHERE o.topic = t.topic AND o.partition = t.partition)""",
 }
 
+for _name in ("top_products", "top_countries", "hourly_traffic", "user_agents", "top_referrers",
+              "stores_by_country", "product_hourly", "browser_os_hourly"):
+    _SELECTS[f"kept_{_name}"] = _SELECTS[f"report_{_name}"]
+
+_SELECTS["kept_hourly_customers"] = """SELECT view_hour, count(DISTINCT customer_id) AS customers
+  FROM today GROUP BY view_hour"""
+_SELECTS["weekend_views"] = """SELECT d.date_of_week, store_id, count(*) AS views
+  FROM fact f JOIN dim_date d ON f.date_id = d.date_id
+  WHERE is_weekday_or_weekend = 'weekend' AND quarter_number = 1 GROUP BY 1, 2"""
+_SELECTS["kept_daily_customers"] = """SELECT date_id, count(DISTINCT customer_id) AS customers
+  FROM fact WHERE date_id IS NOT NULL GROUP BY date_id"""
+_SELECTS["kept_counts_after_replays"] = """, dated AS (
+    SELECT f.*, cast(hour(time_stamp) AS int) AS view_hour, country_name, user_agent,
+      l.location_id IS NOT NULL AS located, c.customer_id IS NOT NULL AS known
+    FROM fact f LEFT JOIN dim_location l USING (location_id)
+    LEFT JOIN customer_batches c USING (customer_id)
+    WHERE date_id IS NOT NULL),
+  parts AS (
+    SELECT 'product' AS part, date_id, view_hour, product_id, NULL AS store_id, NULL AS country_name,
+      NULL AS user_agent, NULL AS referrer_url, count(*) AS views FROM dated GROUP BY ALL
+    UNION ALL SELECT 'place', date_id, NULL, NULL, store_id, country_name, NULL, NULL, count(*)
+    FROM dated WHERE located GROUP BY ALL
+    UNION ALL SELECT 'agent', date_id, view_hour, NULL, NULL, NULL, user_agent, NULL, count(*)
+    FROM dated WHERE known GROUP BY ALL
+    UNION ALL SELECT 'referrer', date_id, NULL, NULL, NULL, NULL, NULL, referrer_url, count(*)
+    FROM dated GROUP BY ALL
+    UNION ALL SELECT 'customers', date_id, view_hour, NULL, NULL, NULL, NULL, NULL, count(*)
+    FROM dated GROUP BY ALL)
+  SELECT part, date_id, view_hour, cast(product_id AS varchar) AS product_id,
+    cast(store_id AS varchar) AS store_id, cast(country_name AS varchar) AS country_name,
+    cast(user_agent AS varchar) AS user_agent, cast(referrer_url AS varchar) AS referrer_url, views
+  FROM parts"""
+
+# The table functions answer what the kept reports do.
+for _name in [n for n in _SELECTS if n.startswith("kept_")]:
+    if _name not in ("kept_daily_customers", "kept_counts_after_replays"):
+        _SELECTS[_name.replace("kept_", "sql_")] = _SELECTS[_name]
+
 ORACLES = {name: _COMMON + select for name, select in _SELECTS.items()}

@@ -16,8 +16,9 @@ from viewtide import schemas
 from viewtide.functions import dates
 from viewtide.operators import dims, facts, merge, parse
 from viewtide.operators.geo import IpLocator
+from viewtide.plans import partials
 from viewtide.session import new_scratch
-from viewtide.sources.warehouse import Warehouse
+from viewtide.sources.warehouse import BUCKETED, Warehouse
 
 STAGED = [
     "id", "collection", "current_url", "referrer_url", "device_id", "user_id_db",
@@ -77,12 +78,12 @@ def _survey(staged: DataFrame) -> Survey:
     return Survey(found["n"], [*found["days"], *([None] if found["undated"] else [])])
 
 
-def _merge_dimension(warehouse: Warehouse, table: str, logs: DataFrame, batch_id: int) -> None:
+def merge_dimension(warehouse: Warehouse, table: str, logs: DataFrame, batch_id: int) -> None:
+    """Add the rows of a dimension that earlier batches have not brought."""
     rows, key = dims.BUILDERS[table](logs), schemas.PRIMARY_KEYS[table]
     known = warehouse.before(table, batch_id)
-    if table == "dim_customer":
-        # The one dimension that grows with the traffic.
-        known = merge.held_keys(known, rows.select(key))
+    if table in BUCKETED:
+        known = merge.held_in_buckets(known, rows.select(key))
     warehouse.write_batch(table, merge.absent_rows(rows, known, key), batch_id)
 
 
@@ -94,7 +95,7 @@ def _merge_batch(
     logs = staged.where("accepted")
     jobs = [lambda: warehouse.write_batch("log_rejects", rejects, batch_id)]
     jobs += [
-        partial(_merge_dimension, warehouse, table, logs, batch_id)
+        partial(merge_dimension, warehouse, table, logs, batch_id)
         for table in dims.BUILDERS
     ]
     inherit = inheritable_thread_target(warehouse.spark)
@@ -107,16 +108,19 @@ def _merge_batch(
     held = merge.held_keys(known, rows.select("fact_id"))
     new = merge.absent_rows(facts.first_per_fact(rows), held, "fact_id")
     warehouse.write_batch("fact_product_views", new, batch_id)
+    partials.write_partials(warehouse, batch_id, survey.days)
 
 
 def load_table_batch(
     warehouse: Warehouse, messages: DataFrame, locator: IpLocator, batch_id: int
 ) -> int:
-    """Load a large batch; returns its number of messages.
+    """Load a large batch; returns its number of messages. A closed one is skipped.
 
     The parsed rows are written once, so the JSON is read once, every table scans only
     its columns, and lost executors cost no re-parsing.
     """
+    if batch_id <= warehouse.closed():
+        return 0
     with ExitStack() as tables:
         parsed = parse.parse_messages(messages)
         if not locator.broadcasts:
@@ -131,7 +135,9 @@ def load_table_batch(
 def load_micro_batch(
     warehouse: Warehouse, messages: DataFrame, locator: IpLocator, batch_id: int
 ) -> int:
-    """Load a micro-batch; returns its number of messages. An empty one is skipped."""
+    """Load a micro-batch; returns its number of messages. An empty or closed one is skipped."""
+    if batch_id <= warehouse.closed():
+        return 0
     with ExitStack() as kept:
         parsed = parse.parse_messages(messages)
         if not locator.broadcasts:
@@ -146,6 +152,8 @@ def load_micro_batch(
 
 def land_micro_batch(warehouse: Warehouse, messages: DataFrame, batch_id: int) -> int:
     """Land a micro-batch flat, without star tables; returns its number of messages."""
+    if batch_id <= warehouse.closed():
+        return 0
     with _persisted(parse.parse_messages(messages)) as parsed:
         counts = parsed.agg(
             F.count("*").alias("row_count"),

@@ -51,7 +51,7 @@ IP_RANGES = (
 
 TOPIC_OFFSETS = "topic string, partition int, end_offset bigint, committed_offset bigint"
 
-# Star tables: business columns only; the warehouse adds batch_id.
+# Star tables: business columns only; the warehouse adds batch_id and run.
 TABLES: dict[str, dict[str, str]] = {
     "dim_product": {
         "product_id": "string",
@@ -107,8 +107,31 @@ TABLES: dict[str, dict[str, str]] = {
     "log_rejects": {"value": "string"},
     "user_log_raw_rejects": {"value": "string"},
     "landed_counts": {"row_count": "bigint", "reject_count": "bigint"},
+    # Counts of one batch's new views: see plans.partials.
+    "view_partials": {
+        "part": "string",
+        "date_id": "int",
+        "view_hour": "int",
+        "product_id": "string",
+        "store_id": "string",
+        "country_name": "string",
+        "user_agent": "string",
+        "referrer_url": "string",
+        "views": "bigint",
+        "customers": "binary",
+    },
+    "hourly_counts": {"hour_start": "timestamp_ntz", "views": "bigint"},
 }
 
+# Tables in folders by day, and the column that tells it.
+DAY_TABLES = {"fact_product_views": "date_id", "view_partials": "date_id"}
+
+
+def stored(table: str) -> dict[str, str]:
+    """The columns of a star table as it is stored: its own, the batch and the run."""
+    return {**TABLES[table], "batch_id": "bigint", "run": "bigint"}
+
+
 PRIMARY_KEYS = {
     "dim_product": "product_id",
     "dim_store": "store_id",

@@ -6,10 +6,9 @@ at ``first_batch``, so a stream can follow earlier loads of the same tables.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
@@ -18,13 +17,14 @@ from viewtide.functions import dates
 from viewtide.operators import facts, parse
 from viewtide.operators.geo import IpLocator
 from viewtide.plans import health, load
-from viewtide.sources.manifest import Folder, Manifest
 from viewtide.sources.messages import KafkaTopic
 from viewtide.sources.warehouse import Warehouse
 
 Trigger = Mapping[str, object]
 STAR_TRIGGER: Trigger = {"processingTime": "15 seconds"}
 RAW_TRIGGER: Trigger = {"processingTime": "10 seconds"}
+# At a batch in 15 seconds, an hour.
+CLOSE_EVERY = 240
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, trigger: Trigger) -> StreamingQuery:
@@ -38,11 +38,19 @@ def start_star(
     checkpoint: str,
     trigger: Trigger = STAR_TRIGGER,
     first_batch: int = 0,
+    close_every: int = CLOSE_EVERY,
 ) -> StreamingQuery:
-    """Keep the star tables up to date; a repeated batch changes nothing."""
+    """Keep the star tables up to date; a repeated batch changes nothing.
+
+    Every ``close_every`` batches the earlier ones are closed; what a closing took over is
+    deleted with the next one, so readers have that long to finish.
+    """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         load.load_micro_batch(warehouse, batch, locator, first_batch + batch_id)
+        if batch_id % close_every == close_every - 1:
+            warehouse.sweep()
+            warehouse.close()
 
     return _start(messages.writeStream.foreachBatch(process), checkpoint, trigger)
 
@@ -82,14 +90,14 @@ def start_relay(
 
 
 def start_hourly_traffic(
-    messages: DataFrame, target: str, checkpoint: str, trigger: Trigger
+    messages: DataFrame, warehouse: Warehouse, checkpoint: str, trigger: Trigger
 ) -> StreamingQuery:
     """Logs received per hour of their event time, over the whole history.
 
-    The state is one row per hour, so it needs no watermark and late logs still count. Each
-    batch writes a version of its own; ``read_version`` reads the newest whole one. State
-    is kept in as many partitions as the session of ``messages`` shuffles to when the
-    query first starts: see ``session.stateful_session``.
+    The state is one row per hour, so it needs no watermark and late logs still count. A
+    batch writes the hours whose count it changed, under its own run; ``hourly_traffic`` reads the
+    last count of each. State is kept in as many partitions as the session of ``messages``
+    shuffles to when the query first starts: see ``session.stateful_session``.
     """
     logs = parse.parse_logs(messages).select(
         dates.dated_time(F.col("time_stamp")).alias("viewed_at")
@@ -102,23 +110,15 @@ def start_hourly_traffic(
     )
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        publish_version(batch, target, batch_id)
-
-    return _start(counts.writeStream.outputMode("complete").foreachBatch(publish), checkpoint, trigger)
-
+        warehouse.write_batch("hourly_counts", batch, batch_id)
 
-def publish_version(rows: DataFrame, target: str, version: int) -> None:
-    """Write a version of a small table and list it as the live one."""
-    name = f"version-{version}-{uuid.uuid4().hex}"
-    rows.write.parquet(f"{target}/{name}")
-    manifest = Manifest(rows.sparkSession, target)
-    manifest.write(manifest.read()[0], [Folder(name, version, version)])
+    return _start(counts.writeStream.outputMode("update").foreachBatch(publish), checkpoint, trigger)
 
 
-def read_version(spark: SparkSession, target: str) -> DataFrame:
-    """The version that was published last."""
-    folder = Manifest(spark, target).read()[1][-1]
-    return spark.read.parquet(f"{target}/{folder.name}")
+def hourly_traffic(warehouse: Warehouse) -> DataFrame:
+    """Each hour's count as the last batch that changed it left it."""
+    counts = warehouse.with_batches("hourly_counts")
+    return counts.groupBy("hour_start").agg(F.max_by("views", "batch_id").alias("views"))
 
 
 def start_dedup(
