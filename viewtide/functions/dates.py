@@ -18,6 +18,21 @@ def _micros(epoch: Column) -> Column:
     ).when((epoch > LARGEST_SECONDS) & (epoch <= LARGEST_MILLIS), epoch * 1_000)
 
 
+# A written date and time, and one that names its zone.
+WRITTEN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?"
+ZONE = r"(Z|[+-]\d{2}:?\d{2})$"
+
+
+def epoch_of(text: Column) -> Column:
+    """An epoch from its digits, or the whole seconds of an ISO 8601 time; one without a zone
+    is a UTC clock reading. NULL for anything else."""
+    start = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+    clock = F.floor(F.timestamp_diff("MICROSECOND", start, text.try_cast("timestamp_ntz")) / 1_000_000)
+    instant = F.unix_seconds(text.try_cast("timestamp"))
+    written = F.when(text.rlike(WRITTEN + ZONE), instant).when(text.rlike(WRITTEN + "$"), clock)
+    return F.coalesce(text.try_cast("bigint"), written)
+
+
 def event_time(epoch: Column) -> Column:
     """An epoch as a UTC clock reading."""
     start = F.expr("timestamp_ntz'1970-01-01 00:00:00'")

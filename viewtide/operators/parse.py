@@ -21,7 +21,7 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     """Every message as log columns, plus ``accepted`` and the text as ``value``.
 
     Unknown keys are dropped and missing keys are NULL. A field of the wrong shape is
-    NULL while the others stay.
+    NULL while the others stay. An epoch may be written as ISO 8601.
     """
     text = messages.select(F.col("value").cast("string").alias("value"))
     parsed = text.select("value", F.from_json("value", schemas.MESSAGE).alias("data"))
@@ -31,7 +31,7 @@ def parse_messages(messages: DataFrame) -> DataFrame:
         if name == "email_address":
             field = F.coalesce(field, F.col("data.email"))
         elif name == "time_stamp":
-            field = field.try_cast("bigint")
+            field = dates.epoch_of(field)
         fields.append(field.alias(name))
     return parsed.select(*fields, is_log(F.col("value")).alias("accepted"), "value")
 
@@ -54,3 +54,12 @@ def raw_log_landing(logs: DataFrame) -> DataFrame:
             "option": F.to_json("option"),
         }
     )
+
+
+def key_counts(messages: DataFrame) -> DataFrame:
+    """How many logs have each outer key, and whether the schema knows it: what a source has
+    begun to send, or stopped sending. Counts combine before the shuffle."""
+    value = F.col("value").cast("string")
+    keys = messages.select(F.explode(F.array_distinct(F.json_object_keys(value))).alias("key"))
+    known = F.col("key").isin(*schemas.LOG_FIELDS, "email").alias("known")
+    return keys.groupBy("key").agg(F.count("*").alias("logs")).select("key", known, "logs")

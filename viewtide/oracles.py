@@ -170,16 +170,19 @@ _FIELDS = [
 ]
 
 
-def _json(epoch: str, email: str) -> str:
+def _json(epoch: str, email: str, more: str = "") -> str:
     values = ", ".join(
         f"""'{email if n == "email_address" else n}': {epoch if n == "time_stamp" else f'"{n}"'}"""
         for n in _FIELDS
     )
-    return f"cast(json_merge_patch('{{{{}}}}', to_json({{{{{values}}}}})) AS varchar)"
+    return f"cast(json_merge_patch('{{{{}}}}', to_json({{{{{values}{more}}}}})) AS varchar)"
 
 
 _RELAYED = f"""SELECT CASE WHEN cast(id AS bigint) % 43 = 0
     THEN {_json("cast(time_stamp AS varchar)", "email_address")}
+  WHEN cast(id AS bigint) % 67 = 0 AND cast(id AS bigint) % 13 <> 0
+    THEN {_json("strftime(make_timestamp(time_stamp * 1000000), '%Y-%m-%dT%H:%M:%SZ')", "email_address")}
+  WHEN cast(id AS bigint) % 71 = 0 THEN {_json("time_stamp", "email_address", ", 'campaign': 'spring'")}
   WHEN cast(id AS bigint) % 3 = 1 THEN {_json("time_stamp", "email")}
   ELSE {_json("time_stamp", "email_address")} END AS value
 FROM logs UNION ALL SELECT value FROM malformed""".replace("{{", "{").replace("}}", "}")
@@ -287,6 +290,7 @@ _SELECTS = {
     "stream_hourly_traffic": "SELECT date_trunc('hour', viewed) AS hour_start, count(*) AS views "
     "FROM numbered WHERE time_stamp <> 0 GROUP BY 1",
     "stream_dedup_watermark": "SELECT * FROM fact WHERE date_id IS NOT NULL",
+    "stream_first_copies": "SELECT * EXCLUDE (batch) FROM fact_batches",
     "topic_relay": _RELAYED,
     "consumer_lag": "SELECT topic, cast(sum(end_offset - coalesce(committed_offset, 0)) "
     "AS bigint) AS total_lag FROM offsets GROUP BY topic",
@@ -307,6 +311,27 @@ for _name in ("top_products", "top_countries", "hourly_traffic", "user_agents",
 
 _SELECTS["kept_hourly_customers"] = """SELECT view_hour, count(DISTINCT customer_id) AS customers
   FROM today GROUP BY view_hour"""
+_SELECTS["log_key_counts"] = f""", lines AS ({_RELAYED}),
+  keys AS (
+    SELECT unnest(json_keys(value)) AS key FROM lines
+    WHERE coalesce(json_valid(value) AND regexp_matches(value, '^\\s*\\{{'), false))
+  SELECT key, key <> 'campaign' AS known, count(*) AS logs FROM keys GROUP BY key"""
+_SELECTS["key_violations"] = " UNION ALL ".join(
+    f"""SELECT '{name}' AS table_name, count(*) AS rows, count(*) - count({key}) AS null_keys,
+      count({key}) - count(DISTINCT {key}) AS repeated_rows FROM ({rows})"""
+    for name, key, rows in (
+        ("dim_product", "product_id", "SELECT DISTINCT product_id FROM hashed WHERE product_id IS NOT NULL"),
+        ("dim_store", "store_id", "SELECT DISTINCT store_id FROM hashed WHERE store_id IS NOT NULL"),
+        ("dim_location", "location_id", "SELECT * FROM dim_location"),
+        ("dim_customer", "customer_id", "SELECT * FROM dim_customer"),
+        ("dim_date", "date_id", "SELECT * FROM dim_date"),
+        ("fact_product_views", "fact_id", "SELECT * FROM fact"),
+        ("user_log_raw", "id", "SELECT * FROM logs"),
+    )
+)
+_SELECTS["stream_progress"] = "SELECT batch_id, row_count AS input_rows FROM (" + _SELECTS["batch_row_counts"] + ")"
+_SELECTS["pipeline_freshness_since"] = _SELECTS["pipeline_freshness"].replace(
+    "FROM fact)", "FROM fact WHERE date_id >= 20240115)")
 _SELECTS["weekend_views"] = """SELECT d.date_of_week, store_id, count(*) AS views
   FROM fact f JOIN dim_date d ON f.date_id = d.date_id
   WHERE is_weekday_or_weekend = 'weekend' AND quarter_number = 1 GROUP BY 1, 2"""

@@ -16,7 +16,7 @@ from viewtide.session import new_scratch, stateful_session
 from viewtide.sources import clickstream
 from viewtide.sources.messages import read_message_stream, read_messages
 from viewtide.sources.warehouse import Warehouse
-from viewtide.streaming import jobs
+from viewtide.streaming import jobs, progress
 
 AS_OF = "2024-01-15"
 COUNTRY = "NATION_3"
@@ -392,6 +392,19 @@ def stream_dedup_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def stream_first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All views once each, undated ones too, by state that forgets them a day after arrival."""
+    target, checkpoint = new_scratch(spark, "first"), new_scratch(spark, "checkpoint")
+    own = stateful_session(spark, spark.sparkContext.defaultParallelism)
+    locator = _locator(own, sf_dir)
+    _stream_parts(
+        own,
+        sf_dir,
+        lambda stream: jobs.start_first_copies(stream, locator, target, checkpoint, "1 day", AT_ONCE),
+    )
+    return spark.read.parquet(target)
+
+
 def stream_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The logs that the de-duplication cannot place in time."""
     target, checkpoint = new_scratch(spark, "undated"), new_scratch(spark, "checkpoint")
@@ -422,6 +435,44 @@ def pipeline_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health.pipeline_freshness(fact, "2024-03-01 00:00:00")
 
 
+def pipeline_freshness_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fact = load_star(spark, sf_dir).table("fact_product_views")
+    return health.pipeline_freshness(fact, "2024-03-01 00:00:00", 20240115)
+
+
+def key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The star tables, and the raw landing, whose ids are sent again."""
+    warehouse, raw = load_star(spark, sf_dir), _raw_landing(spark, sf_dir)
+    tables = {name: warehouse.table(name) for name in schemas.PRIMARY_KEYS}
+    tables["user_log_raw"] = raw.table("user_log_raw")
+    return health.key_violations(tables, {**schemas.PRIMARY_KEYS, "user_log_raw": "id"})
+
+
+def log_key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse.key_counts(_messages(spark, sf_dir))
+
+
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each batch of a relay, as its listener wrote them down."""
+    target, checkpoint = new_scratch(spark, "relay"), new_scratch(spark, "checkpoint")
+    log = progress.ProgressLog(spark, new_scratch(spark, "progress")).add()
+    ended = []
+
+    def start(stream: DataFrame):
+        query = jobs.start_relay(stream, target, checkpoint, AT_ONCE)
+        ended.append(query)
+        return query
+
+    try:
+        _stream_parts(spark, sf_dir, start)
+        for query in ended:
+            log.wait_for(query)
+    finally:
+        log.remove()
+    # Other queries of the session may have reported, too.
+    return log.read().where(F.col("query") == str(ended[0].id)).select("batch_id", "input_rows")
+
+
 def missing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six partitions per topic are expected; the events fill five."""
     observed = clickstream.topic_offsets(spark, sf_dir, AS_OF)
@@ -439,7 +490,8 @@ QUERIES: dict[str, Query] = {
         report_product_hourly, report_browser_os_hourly, domain_log_type_counts, star_sql,
         *KEPT, *BY_FUNCTION, weekend_views, kept_daily_customers, kept_counts_after_replays,
         stream_fact, stream_raw, stream_replay_idempotent, star_compacted_replay,
-        stream_hourly_traffic, stream_dedup_watermark, stream_undated, topic_relay,
-        consumer_lag, pipeline_freshness, missing_partitions,
+        stream_hourly_traffic, stream_dedup_watermark, stream_first_copies, stream_undated, topic_relay,
+        consumer_lag, pipeline_freshness, pipeline_freshness_since, missing_partitions,
+        key_violations, log_key_counts, stream_progress,
     )
 }

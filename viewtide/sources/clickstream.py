@@ -2,7 +2,7 @@
 
 Every event becomes one log record; its page and referrer come from the whole pages
 table. Some records come twice (replays) and some lines are malformed. Odd values are
-spread over the records: epochs that are zero, missing or text, empty and blank texts,
+spread over the records: epochs that are zero, missing, text or written out, empty and blank texts,
 addresses that are none, bad local times, two options, and the other name of the e-mail.
 """
 
@@ -111,22 +111,30 @@ def _records(spark: SparkSession, sf_dir: str, events: DataFrame) -> DataFrame:
 
 
 def _line() -> Column:
-    """A record as JSON: some epochs as text, some e-mails under their other name."""
+    """A record as JSON: some epochs as text or written out, some e-mails under their other
+    name, some records with a key that the schema does not know."""
+    digits = F.col("time_stamp").cast("string")
+    written = F.date_format(
+        F.timestamp_add("SECOND", F.col("time_stamp"), F.expr("timestamp_ntz'1970-01-01 00:00:00'")),
+        "yyyy-MM-dd'T'HH:mm:ss'Z'",
+    )
 
-    def fields(text_epoch: bool, other_name: bool) -> Column:
-        epoch = F.col("time_stamp").cast("string").alias("time_stamp")
+    def fields(text_epoch: Column | None, other_name: bool, *more: Column) -> Column:
         email = F.col("email_address").alias("email")
         return F.to_json(F.struct(*[
-            epoch if name == "time_stamp" and text_epoch
+            text_epoch.alias(name) if name == "time_stamp" and text_epoch is not None
             else email if name == "email_address" and other_name else F.col(name)
             for name in schemas.LOG_FIELDS
-        ]))
+        ], *more))
 
     number = F.col("id").cast("bigint")
     return (
-        F.when(number % 43 == 0, fields(True, False))
-        .when(number % 3 == 1, fields(False, True))
-        .otherwise(fields(False, False))
+        F.when(number % 43 == 0, fields(digits, False))
+        # Milliseconds are not written out.
+        .when((number % 67 == 0) & (number % 13 != 0), fields(written, False))
+        .when(number % 71 == 0, fields(None, False, F.lit("spring").alias("campaign")))
+        .when(number % 3 == 1, fields(None, True))
+        .otherwise(fields(None, False))
     )
 
 

@@ -133,7 +133,7 @@ def start_dedup(
 
     A copy that comes more than ``delay`` behind the newest view is dropped as late, like
     any view as old. Undated logs have no event time to forget them by; they are left out
-    here and go to ``start_undated``.
+    here and go to ``start_undated``, or all logs go to ``start_first_copies``.
     """
     logs = parse.parse_logs(messages)
     timed = logs.withColumn("_instant", dates.event_instant(F.col("time_stamp")))
@@ -144,6 +144,28 @@ def start_dedup(
     return _start(writer, checkpoint, trigger)
 
 
+def start_first_copies(
+    messages: DataFrame,
+    locator: IpLocator,
+    target: str,
+    checkpoint: str,
+    memory: str,
+    trigger: Trigger,
+) -> StreamingQuery:
+    """All fact rows once each, dated or not, with state bounded to ``memory`` of arrival.
+
+    Undated logs have no event time to forget them by, and a log's own time says nothing of
+    when its copies come. Here a key is forgotten by the age of its first copy's arrival, the
+    time of its batch: a copy that comes within ``memory`` of that is dropped, and a view of
+    any age still counts. A repeated batch keeps its time, so it repeats its rows.
+    """
+    arrived = parse.parse_logs(messages).withColumn("_arrived", F.current_timestamp())
+    rows = facts.fact_rows(locator.enrich(arrived.withWatermark("_arrived", memory)), "_arrived")
+    unique = rows.dropDuplicatesWithinWatermark(["fact_id"]).select(*facts.FACT_COLUMNS)
+    writer = unique.writeStream.outputMode("append").format("parquet").option("path", target)
+    return _start(writer, checkpoint, trigger)
+
+
 def start_undated(
     messages: DataFrame, target: str, checkpoint: str, trigger: Trigger
 ) -> StreamingQuery:
