@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from viewtide.sources.jdbc import JdbcDatabase, Split
 from viewtide.sources.messages import KafkaTopic, read_message_stream
 from viewtide.sources.ranges import read_ip_ranges
 from viewtide.sources.warehouse import Warehouse
-from viewtide.streaming import jobs
+from viewtide.streaming import jobs, progress
 
 T0 = 1716885082  # 2024-05-28 08:31:22
 DAY = "2024-05-28"
@@ -335,6 +336,60 @@ def test_late_copies_and_undated_logs(spark, messages_of, locator):
     assert sorted(r["id"] for r in spark.read.parquet(aside).collect()) == ["2", "4"]
 
 
+def test_first_copies_forget_by_arrival(spark, messages_of, locator):
+    """Copies of dated and undated logs are dropped while their key is remembered; the state
+    holds no keys that arrived longer ago than that."""
+    source, target, marks = (new_scratch(spark, n) for n in ("in", "out", "cp"))
+    own = stateful_session(spark, 2)
+    batches = [
+        [view(1), view(1), view(2, time_stamp=None), view(3, time_stamp=0)],
+        [view(1), view(2, time_stamp=None), view(4)],
+        *[[view(100 + 10 * n + i) for i in range(3)] for n in range(3)],
+    ]
+
+    def run(memory, checkpoint, some):
+        held = []
+        for batch in some:
+            messages_of(*batch).write.mode("append").text(source)
+            query = jobs.start_first_copies(
+                read_message_stream(own, source), locator, target, checkpoint, memory, registry.AT_ONCE)
+            query.awaitTermination()
+            held.append([p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress][-1])
+            time.sleep(1.2)
+        return held
+
+    assert run("1 hour", marks, batches[:2]) == [3, 4]
+    found = spark.read.parquet(target)
+    assert sorted((r["product_id"], r["date_id"]) for r in found.collect() if r["date_id"]) == [
+        ("1", 20240528), ("1", 20240528)]
+    assert found.count() == 4 and found.where("date_id IS NULL").count() == 2
+    source, target = new_scratch(spark, "in"), new_scratch(spark, "out")
+    held = run("1 second", marks + "-short", batches)
+    assert max(held) <= 7 and held[-1] <= 6  # of 13 keys; one batch more than the memory
+
+
+def test_progress_is_kept_as_a_table(spark, messages_of):
+    source, target, marks = (new_scratch(spark, n) for n in ("in", "out", "cp"))
+    log = progress.ProgressLog(spark, new_scratch(spark, "progress")).add()
+    try:
+        for lines in (["a", "b", view(1)], [view(2)]):
+            messages_of(*lines).coalesce(1).write.mode("append").text(source)
+            query = jobs.start_relay(read_message_stream(spark, source), target, marks, registry.AT_ONCE)
+            log.wait_for(query)
+        # The stream dies before its last commit; the folder has that batch and skips it.
+        registry._forget_last_commit(spark, marks)
+        again = jobs.start_relay(read_message_stream(spark, source), target, marks, registry.AT_ONCE)
+        log.wait_for(again)
+    finally:
+        log.remove()
+    kept = log.read().where(F.col("query") == str(again.id)).orderBy("batch_id").collect()
+    assert [(r["batch_id"], r["input_rows"]) for r in kept] == [(0, 3), (1, 1)]
+    assert kept[1]["run_id"] == str(query.runId) and kept[0]["duration_ms"] > 0
+    assert json.loads(kept[0]["observed"])["messages"] == {"row_count": 3, "reject_count": 2}
+    rates = progress.batch_rates(log.read()).where(F.col("query") == str(again.id)).first()
+    assert (rates["batches"], rates["input_rows"]) == (2, 4) and rates["rows_per_second"] > 0
+
+
 def test_jdbc_options():
     database = JdbcDatabase("jdbc:x:y", {"user": "u"})
     assert database.read_options("t") == {"user": "u", "url": "jdbc:x:y", "dbtable": "t"}
@@ -424,6 +479,18 @@ def test_lag(spark):
     assert rows(health.missing_partitions(want, offsets)) == [("b", 1)]
 
 
+def test_key_violations(spark):
+    frame = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,), ("a",)], "k string")
+    got = health.key_violations({"t": frame, "none": frame.limit(0)}, {"t": "k", "none": "k"})
+    assert rows(got) == [("none", 0, 0, 0), ("t", 6, 2, 2)]
+
+
+def test_freshness_since_a_day_opens_these_days_only(spark, sf_dir):
+    frame = registry.QUERIES["pipeline_freshness_since"](spark, sf_dir)
+    scan = next(line for line in plan(frame).splitlines() if "FileScan" in line)
+    assert "PartitionFilters: [isnotnull(date_id" in scan
+
+
 def test_offsets_from_progress(spark):
     frame = spark.createDataFrame(
         [('{"a":{"0":10,"1":5},"b":{"0":3}}', '{"a":{"0":4}}')],

@@ -43,6 +43,12 @@ def test_parsed_fields(messages_of):
     assert log('{"time_stamp":"1716885082"}')["time_stamp"] == T0
     assert log('{"time_stamp":1716885082}')["time_stamp"] == T0
     assert log('{"time_stamp":"soon"}')["time_stamp"] is None
+    for text in ("2024-05-28T08:31:22Z", "2024-05-28 08:31:22", "2024-05-28T08:31:22.987Z",
+                 "2024-05-28T10:31:22+02:00", "2024-05-28T08:31:22.5"):
+        assert log(json.dumps({"time_stamp": text}))["time_stamp"] == T0
+    assert log('{"time_stamp":"1969-12-31T23:59:59.5"}')["time_stamp"] == -1
+    for text in ("2024-05-28", "2024-05-28T08:31Z", "2024-13-28T08:31:22Z", "28/05/2024 08:31", "2024-05-28T08:31:22 pm"):
+        assert log(json.dumps({"time_stamp": text}))["time_stamp"] is None
     assert log('{"email":"a@b.example"}')["email_address"] == "a@b.example"
     both = '{"email":"a@b.example","email_address":"c@d.example"}'
     assert log(both)["email_address"] == "c@d.example"
@@ -53,6 +59,22 @@ def test_parsed_fields(messages_of):
     ]
 
 
+def test_written_times_do_not_depend_on_the_session_zone(spark, messages_of):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        messages = messages_of(*[json.dumps({"time_stamp": t}) for t in (
+            "2024-05-28T08:31:22", "2024-05-28T08:31:22Z", "2024-05-28T17:31:22+09:00")])
+        assert {r["time_stamp"] for r in parse.parse_logs(messages).collect()} == {T0}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_key_counts(messages_of):
+    messages = messages_of('{"id":1,"new":2,"id":3}', '{"id":"x","email":"e"}', "[1]", "", '{"new":null}')
+    assert rows(parse.key_counts(messages)) == [("email", True, 1), ("id", True, 2), ("new", False, 2)]
+
+
 def test_binary_messages(spark):
     frame = spark.createDataFrame([(bytearray('{"id":"é"}'.encode()),)], "value binary")
     assert parse.parse_logs(frame).first()["id"] == "é"

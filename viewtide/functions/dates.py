@@ -19,7 +19,7 @@ def _micros(epoch: Column) -> Column:
 
 
 # A written date and time, and one that names its zone.
-WRITTEN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?"
+WRITTEN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?"
 ZONE = r"(Z|[+-]\d{2}:?\d{2})$"
 
 

@@ -1,8 +1,9 @@
 """The progress of streaming queries kept as a table.
 
-A listener appends a row for every batch that any query of the session reports: its rows,
-durations, offsets and observed counts. A batch that is repeated replaces its row, so the table has
-one row per query and batch however often a query was restarted.
+A listener writes a row for every batch that any query of the session reports: its rows,
+durations, offsets and observed counts. A batch that is repeated by a restarted query has a
+row of each run; ``read`` takes the last run that read anything, as a sink that has the batch
+already may skip it. So it gives one row per query and batch.
 """
 
 from __future__ import annotations
@@ -60,7 +61,7 @@ class ProgressLog(StreamingQueryListener):
         )
         frame = self.spark.createDataFrame([row], PROGRESS).coalesce(1)
         writer = frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("query", "batch_id").parquet(self.path)
+        writer.partitionBy("query", "batch_id", "run_id").parquet(self.path)
 
     def onQueryTerminated(self, event) -> None:
         self._event(event.runId).set()
@@ -72,7 +73,10 @@ class ProgressLog(StreamingQueryListener):
             raise TimeoutError(f"no report of the end of {query.runId}")
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(PROGRESS).parquet(self.path)
+        reports = self.spark.read.schema(PROGRESS).parquet(self.path)
+        whole = F.struct(*[F.col(name) for name in reports.columns])
+        last = F.max_by(whole, F.struct(F.col("input_rows") > 0, "started_at"))
+        return reports.groupBy("query", "batch_id").agg(last.alias("_last")).select("_last.*")
 
 
 def batch_rates(progress: DataFrame) -> DataFrame:
