@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from viewtide import schemas
-from viewtide.operators import dims, facts, geo, lookup, merge, parse
+from viewtide.operators import dims, facts, geo, intervals, lookup, merge, parse
 
 SLOW = settings(
     max_examples=5, deadline=None, derandomize=True,
@@ -111,6 +111,21 @@ def test_raw_landing(logs_of):
     assert landed["2"]["local_time"] is None and landed["2"]["option"] is None
 
 
+# -- intervals ---------------------------------------------------------------------------
+
+
+def test_audit_of_ranges(spark):
+    wide = 1 << 20
+    bounds = [(10, 19), (12, 15), (20, 29), (29, 40), (50, 49), (wide, 3 * wide), (wide + 70_000, wide + 70_009),
+              (3 * wide + 5, 3 * wide + 5), (3 * wide + 5, 3 * wide + 5)]
+    frame = spark.createDataFrame(bounds, "ip_from long, ip_to long")
+    assert rows(intervals.audit(frame)) == sorted([
+        ("inverted", 50, 49), ("overlap", 12, 15), ("overlap", 29, 29), ("gap", 41, wide - 1),
+        ("overlap", wide + 70_000, wide + 70_009), ("gap", 3 * wide + 1, 3 * wide + 4),
+        ("overlap", 3 * wide + 5, 3 * wide + 5)], key=str)
+    assert intervals.audit(frame.limit(0)).count() == 0
+
+
 # -- lookup and geo --------------------------------------------------------------------
 
 

@@ -311,6 +311,21 @@ for _name in ("top_products", "top_countries", "hourly_traffic", "user_agents",
 
 _SELECTS["kept_hourly_customers"] = """SELECT view_hour, count(DISTINCT customer_id) AS customers
   FROM today GROUP BY view_hour"""
+_SELECTS["range_audit"] = """, suppliers AS (
+    SELECT s_suppkey AS n, CASE WHEN s_suppkey % 4 = 0 THEN (11 * 256 + s_suppkey % 200)::bigint * 65536
+        ELSE (10 * 256 + s_nationkey)::bigint * 65536 END + s_suppkey * 977 % 60000 AS ip_from,
+      CASE WHEN s_suppkey % 10 = 0 THEN -256 ELSE (s_suppkey % 3 + 1) * 256 END AS length
+    FROM supplier),
+  all_ranges AS (
+    SELECT ip_from, ip_to FROM ranges
+    UNION ALL SELECT ip_from, ip_from + length - 1 FROM suppliers
+    UNION ALL SELECT ip_from, ip_from + length - 1 FROM suppliers WHERE n % 7 = 0),
+  reached AS (
+    SELECT *, max(ip_to) OVER (ORDER BY ip_from, ip_to ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+    FROM all_ranges WHERE ip_from <= ip_to)
+  SELECT 'inverted' AS kind, ip_from::bigint AS ip_from, ip_to::bigint AS ip_to FROM all_ranges WHERE ip_from > ip_to
+  UNION ALL SELECT 'overlap', ip_from, least(ip_to, reach) FROM reached WHERE ip_from <= reach
+  UNION ALL SELECT 'gap', reach + 1, ip_from - 1 FROM reached WHERE ip_from > reach + 1"""
 _SELECTS["log_key_counts"] = f""", lines AS ({_RELAYED}),
   keys AS (
     SELECT unnest(json_keys(value)) AS key FROM lines

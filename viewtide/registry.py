@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewtide import schemas
-from viewtide.operators import dims, facts, merge, parse
+from viewtide.operators import dims, facts, intervals, merge, parse
 from viewtide.operators.geo import IpLocator
 from viewtide.plans import health, load, partials, reports, table_functions
 from viewtide.session import new_scratch, stateful_session
@@ -98,6 +98,10 @@ def geo_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _located(spark, sf_dir).select("id", "ip", "loc_info.*")
 
 
+def range_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.audit(clickstream.odd_ranges(spark, sf_dir))
+
+
 # -- dimensions and fact ---------------------------------------------------------------
 
 
@@ -482,7 +486,7 @@ def missing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
-        parse_logs, parse_rejects, raw_log_landing, batch_row_counts, geo_enrich,
+        parse_logs, parse_rejects, raw_log_landing, batch_row_counts, geo_enrich, range_audit,
         dim_product, dim_store, dim_location, dim_customer, dim_date, dim_increment,
         fact_product_views, fact_via_dim_joins, fact_increment, fact_fk_orphans,
         report_top_products, report_top_countries, report_hourly_traffic,

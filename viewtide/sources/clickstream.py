@@ -176,6 +176,21 @@ def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def odd_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranges of ``ip_ranges`` with narrower ones of the suppliers inside of them, some
+    that lie apart, some repeated and some that end before they begin."""
+    number, nation = F.col("s_suppkey").cast("bigint"), F.col("s_nationkey").cast("bigint")
+    apart = F.when(number % 4 == 0, (F.lit(11 * 256) + number % 200) * 65_536)
+    start = F.coalesce(apart, (F.lit(10 * 256) + nation) * 65_536) + number * 977 % 60_000
+    length = F.when(number % 10 == 0, -256).otherwise((number % 3 + 1) * 256)
+    own = table(spark, sf_dir, "supplier").select(
+        start.alias("ip_from"), (start + length - 1).alias("ip_to"), number.alias("_n")
+    )
+    again = own.where(F.col("_n") % 7 == 0)
+    both = own.unionByName(again).drop("_n")
+    return ip_ranges(spark, sf_dir).select("ip_from", "ip_to").unionByName(both)
+
+
 def topic_offsets(spark: SparkSession, sf_dir: str, as_of: str, partitions: int = 5) -> DataFrame:
     """Events as topics: written offsets per partition, and those read by ``as_of``."""
     read = F.col("ts") < F.lit(as_of).cast("timestamp_ntz")
