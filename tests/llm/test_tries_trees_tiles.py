@@ -184,16 +184,16 @@ def test_pages_are_pruned():
     tree = hard_negatives.build(ids, ids, ids % 3, vectors)
     read = []
 
-    class Counted(hard_negatives.Best):
+    class Counted(hard_negatives.Windows):
         def offer(self, scores, ids, rows):
             read.append(len(scores))
             super().offer(scores, ids, rows)
 
-    best = Counted(5, -np.inf, np.inf)
-    hard_negatives.search(tree, 0, 0, vectors[0], [best], True)
+    best = Counted(5, [(hard_negatives.LEAST, hard_negatives.MOST)])
+    hard_negatives.search(tree, 0, 0, vectors[0], best, True)
     scores = vectors @ vectors[0]
     want = sorted((-scores[i], i) for i in ids if i % 3 == 0 and i)[:5]
-    assert [(s, i) for s, i, _ in best.found] == want and sum(read) < len(ids) / 10
+    assert [(s, i) for s, i, _ in best.found[0]] == want and sum(read) < len(ids) / 10
 
 
 def test_vectors_that_take_no_part(spark):

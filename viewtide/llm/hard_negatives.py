@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,7 +45,7 @@ from viewtide.llm.tables import only, table, written
 
 SHARD_ROWS = 8192
 ANCHORS = 4096
-PAGE = 64
+PAGE = 256
 FANOUT = 16
 SCALE = 256
 LARGEST = 1 << 24
@@ -86,12 +86,12 @@ def pack(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     keyed = rows.withColumns({"_one": keys[0], "_two": keys[-1]})
     shards = max(1, math.ceil(n / shard_rows))
     slabs = math.ceil(math.sqrt(shards))
-    slab_rows = math.ceil(shards / slabs) * shard_rows
+    per_slab = math.ceil(shards / slabs)
+    size = max(1, math.ceil(n / (slabs * per_slab)))  # equal shards
     ranked = running(keyed, [], ["_one", "vec_id"]).withColumnRenamed("_at", "row")
-    slabbed = ranked.withColumn("slab", F.floor(F.col("row") / slab_rows))
+    slabbed = ranked.withColumn("slab", F.floor(F.col("row") / (size * per_slab)))
     tiled = running(slabbed, ["slab"], ["_two", "row"])
-    per_slab = math.ceil(shards / slabs)
-    shard = F.col("slab") * per_slab + F.floor(F.col("_at") / shard_rows)
+    shard = F.col("slab") * per_slab + F.floor(F.col("_at") / size)
     return tiled.select("row", "vec_id", "label", "vector", shard.alias("shard"))
 
 
@@ -143,31 +143,41 @@ def build(rows: np.ndarray, ids: np.ndarray, labels: np.ndarray, vectors: np.nda
 # -- search ------------------------------------------------------------------------------
 
 
-class Best:
-    """The k best of a window of scores: higher first, ties by smaller id, then row."""
+LEAST, MOST = -(2**63) + 1, 2**63 - 1
+
+
+class Windows:
+    """The k best of each of an anchor's windows of scores: higher first, ties by smaller id,
+    then row."""
 
-    def __init__(self, k: int, low: float, high: float):
-        self.k, self.low, self.high = k, low, high
-        self.found: list[tuple[int, int, int]] = []
+    def __init__(self, k: int, spans: Sequence[tuple[int, int]]):
+        self.k = k
+        self.low, self.high = np.array(spans, np.int64).reshape(-1, 2).T
+        # The score that a row must reach to be among the k best.
+        self.floor = self.low.copy()
+        self.found: list[list[tuple[int, int, int]]] = [[] for _ in spans]
 
-    def may_hold(self, least: float, most: float) -> bool:
-        """Whether scores between these bounds can still matter."""
-        if most < self.low or least > self.high:
-            return False
-        return len(self.found) < self.k or min(most, self.high) >= -self.found[-1][0]
+    def may_hold(self, least: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Where scores between these bounds can still matter to a window."""
+        top = np.minimum(most[:, None], self.high)
+        return ((top >= self.floor) & (least[:, None] <= self.high)).any(axis=1)
 
     def offer(self, scores: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
-        ok = (scores >= self.low) & (scores <= self.high)
-        if len(self.found) == self.k:
-            ok &= scores >= -self.found[-1][0]
-        at = np.flatnonzero(ok)
-        if len(at):
+        ok = (scores >= self.floor[:, None]) & (scores <= self.high[:, None])
+        for w in np.flatnonzero(ok.any(axis=1)).tolist():
+            at = ok[w].nonzero()[0]
+            if len(at) > self.k:
+                # The k highest, and all that tie with the last of them.
+                own = scores[at]
+                at = at[own >= np.partition(own, len(at) - self.k)[len(at) - self.k]]
             more = zip((-scores[at]).tolist(), ids[at].tolist(), rows[at].tolist())
-            self.found = heapq.nsmallest(self.k, [*self.found, *more])
+            self.found[w] = best = sorted([*self.found[w], *more])[: self.k]
+            if len(best) == self.k:
+                self.floor[w] = -best[-1][0]
 
 
 def search(
-    tree: Tree, row: int, label: int, vector: np.ndarray, windows: list[Best], same: bool
+    tree: Tree, row: int, label: int, vector: np.ndarray, windows: Windows, same: bool
 ) -> None:
     """Fill the windows with the best rows of the tree of the anchor's label (``same``; not
     the anchor itself) or of the other labels."""
@@ -176,21 +186,15 @@ def search(
 
     def push(level: int, a: int, b: int) -> None:
         low, high, first, last = (x[a:b] for x in tree.levels[level])
+        most, least = high @ up + low @ down, low @ up + high @ down
         serves = (first <= label) & (label <= last) if same else (first != label) | (last != label)
-        at = np.flatnonzero(serves)
-        if not len(at):
-            return
-        most = high[at] @ up + low[at] @ down
-        least = low[at] @ up + high[at] @ down
-        for i, m, l in zip(at.tolist(), most.tolist(), least.tolist()):
-            if any(w.may_hold(l, m) for w in windows):
-                heapq.heappush(queue, (-m, level, a + i, l))
+        for i in np.flatnonzero(serves & windows.may_hold(least, most)).tolist():
+            heapq.heappush(queue, (-most[i], level, a + i, least[i]))
 
     push(len(tree.levels) - 1, 0, len(tree.levels[-1][0]))
     while queue:
         most, level, node, least = heapq.heappop(queue)
-        open_ = [w for w in windows if w.may_hold(least, -most)]
-        if not open_:
+        if not windows.may_hold(np.array([least]), np.array([-most]))[0]:
             continue
         a, b = int(tree.kids[level][node]), int(tree.kids[level][node + 1])
         if level:
@@ -199,9 +203,7 @@ def search(
         ok = (tree.labels[a:b] == label) == same
         if same:
             ok &= tree.rows[a:b] != row
-        scores = (tree.vectors[a:b] @ vector)[ok]
-        for w in open_:
-            w.offer(scores, tree.ids[a:b][ok], tree.rows[a:b][ok])
+        windows.offer((tree.vectors[a:b] @ vector)[ok], tree.ids[a:b][ok], tree.rows[a:b][ok])
 
 
 def _matrix(column: pa.ChunkedArray, dims: int) -> np.ndarray:
@@ -222,7 +224,8 @@ def _exact(*parts: np.ndarray) -> list[np.ndarray]:
 
 
 def _task(dims: int, wanted, same: bool, columns: list[str]):
-    """Search a shard's tree for a block of anchors; ``wanted`` makes an anchor's windows."""
+    """Search a shard's tree for a block of anchors; ``wanted`` makes an anchor's windows and
+    what names each of them."""
 
     def run(_key, shard: pa.Table, anchors: pa.Table) -> pa.Table:
         if not shard.num_rows or not anchors.num_rows:
@@ -231,10 +234,10 @@ def _task(dims: int, wanted, same: bool, columns: list[str]):
         tree = build(*[shard[c].to_numpy() for c in ("row", "vec_id", "label")], vectors)
         out = []
         for i, (row, label) in enumerate(zip(anchors["row"].to_pylist(), anchors["label"].to_pylist())):
-            windows = wanted(anchors, i)
-            search(tree, row, label, asked[i], [w for w, _ in windows], same)
-            for window, tag in windows:
-                out += [(row, *tag, id_, found, int(-score)) for score, id_, found in window.found]
+            windows, tags = wanted(anchors, i)
+            search(tree, row, label, asked[i], windows, same)
+            for tag, found in zip(tags, windows.found):
+                out += [(row, *tag, id_, other, int(-score)) for score, id_, other in found]
         return pa.table({c: pa.array([o[k] for o in out], pa.int64()) for k, c in enumerate(columns)})
 
     return run
@@ -261,7 +264,7 @@ def positives(packed: DataFrame, asks: Column, k: int, block: int = ANCHORS) ->
     dims = _dims(packed)
 
     def wanted(_anchors, _i):
-        return [(Best(k, -math.inf, math.inf), ())]
+        return Windows(k, [(LEAST, MOST)]), [()]
 
     names = ["row", "vec_id", "other", "score"]
     found = _meet(packed, packed.where(asks), _task(dims, wanted, True, names), names, block)
@@ -294,9 +297,9 @@ def negatives(
     )
 
     def wanted(asked: pa.Table, i: int):
-        pairs = zip(asked["positives"][i].as_py(), asked["scores"][i].as_py())
-        # Whole numbers between the two shares of the positive's score.
-        return [(Best(k, -(-least * s // parts), most * s // parts), (p,)) for p, s in pairs]
+        # Whole numbers between the two shares of the positives' scores.
+        spans = [(-(-least * s // parts), most * s // parts) for s in asked["scores"][i].as_py()]
+        return Windows(k, spans), [(p,) for p in asked["positives"][i].as_py()]
 
     names = ["row", "positive", "vec_id", "other", "score"]
     found = _meet(packed, written(anchors, "anchors"), _task(dims, wanted, False, names), names, block)
