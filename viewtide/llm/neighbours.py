@@ -1,6 +1,7 @@
 """Approximate nearest neighbours with a vantage-point tree per shard.
 
-Vectors are dealt to shards by hash of their id. A shard's tree splits its vectors, again
+Vectors are dealt to shards by hash of id and components, as many shards as the number of
+rows asks for: the same rows give the same answers on any cluster. A shard's tree splits its vectors, again
 and again, by distance from a vantage point into a nearer and a farther half, and keeps
 the range of distances on each side. By the triangle inequality a side whose range lies
 farther from the query's own distance than its worst match so far holds nothing better.
@@ -35,8 +36,7 @@ from viewtide.llm.tables import only, table, written
 
 K = 5
 FACTOR = 0.25
-SHARD_ROWS = 65_536
-LEAST_SHARD_ROWS = 2_048
+SHARD_ROWS = 8_192
 BLOCK_ROWS = 1_024
 LEAF = 64
 _SLACK = 1e-9
@@ -203,7 +203,10 @@ def build_index(vectors: DataFrame, shards: int, k: int = K) -> DataFrame:
             "tree": pa.array([pickle.dumps(tree, protocol=5)], pa.binary()),
         })
 
-    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
+    # Rows that repeat both id and vector are one; those that repeat the id alone part here.
+    dealt = vectors.distinct().withColumn(
+        "shard", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(shards))
+    )
     return dealt.groupBy("shard", "dims").applyInArrow(kernels.lean_group(grow), "shard long, dims int, tree binary")
 
 
@@ -252,8 +255,7 @@ def nearest(
     """The ``k`` nearest other rows of every row under ``asks``."""
     ready = usable(vectors)
     if shards is None:
-        n, slots = ready.count(), vectors.sparkSession.sparkContext.defaultParallelism
-        shards = max(1, -(-n // SHARD_ROWS), min(slots, n // LEAST_SHARD_ROWS))
+        shards = max(1, -(-ready.count() // SHARD_ROWS))
     index = written(build_index(ready, shards, k), "vp-trees")
     return search_index(index, ready.where(asks), shards, k, factor)
 
