@@ -6,7 +6,8 @@ sentences is, so its probability is the noisy-or of theirs. Fitting the document
 through the noisy-or teaches the sentence scores, which then show where the offence is.
 
 Two bounded steps fit the model on at most ``SAMPLE_ROWS`` labelled documents (in
-expectation; drawn by hash of the id, half of them toxic if there are so many): tasks count
+expectation; drawn by hash of the id, half of them toxic if there are so many, and where ids
+have many rows, by hash of the text as well; copies count once): tasks count
 in how many toxic and other documents each hashed feature occurs, and the few thousand that
 lean to toxic documents enter the noisy-or fit. Every document is then scored whole.
 
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewtide.llm import kernels
-from viewtide.llm.tables import crc_of_id, only, table, written
+from viewtide.llm.tables import crc_of_id, only, sent, table, written
 
 FEATURE_BITS = 20
 GRAMS = (4, 6)  # widths in bytes of the sequences inside words
@@ -180,16 +181,24 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column) -> Model | None:
         return None
     share = {k: min(1.0, SAMPLE_ROWS / 2 / n) for k, n in sizes.items()}
     line = F.pmod(F.xxhash64(F.lit("toxicity sample"), "doc_id"), F.lit(1_000_000)) / 1_000_000
-    chosen = marked.where(line < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
-    sample = written(
+    chosen = marked.where(line < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0])).distinct()
+    drawn = (
         only(docs, ["doc_id", "text"]).where("text IS NOT NULL")
-        .join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("int")),
-        "toxic-sample",
+        .join(sent(chosen), "doc_id")
+        .select("text", F.col("toxic").cast("int").alias("toxic"), F.xxhash64("doc_id", "text").alias("_key"))
+    )
+    rows = drawn.agg(F.count_distinct("_key", "toxic")).first()[0]
+    if rows > SAMPLE_ROWS * 5 // 4:
+        # Ids with many texts: these are drawn from as well.
+        drawn = drawn.where(F.pmod("_key", F.lit(1_000_000)) < int(1_000_000 * SAMPLE_ROWS / rows))
+    sample = written(
+        drawn.groupBy("_key", "toxic").agg(F.min("text").alias("text")).select("text", "toxic"), "toxic-sample"
     )
     counted = sample.mapInArrow(kernels.lean(_document_frequencies, whole=True), "feature long, toxic long, other long")
     summed = counted.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     # Smoothed log-ratio of the rates, times the toxic documents that show it.
-    rate = {k: max(1.0, n * share[k]) for k, n in sizes.items()}
+    taken = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    rate = {k: max(1.0, float(taken.get(k, 0))) for k in sizes}
     lean = F.log(((F.col("toxic") + 0.5) / rate[1]) / ((F.col("other") + 0.5) / rate[0]))
     least = min(max(LEAST_DOCUMENTS[0], round(rate[1] / 50)), LEAST_DOCUMENTS[1])
     top = (
