@@ -347,3 +347,62 @@ def test_mixing_a_source_under_one_id(spark, text):
     assert len(target) == 5
     for source, want in target.items():
         assert abs(taken[source] - want) <= largest[source]
+
+
+# -- bounded samples and shards -----------------------------------------------------------------
+
+
+def test_language_sample_is_bounded_under_one_id(spark):
+    """Most rows have one id or none, a third are copies of one text."""
+    from viewtide.llm import language
+
+    rows = [(None if i % 3 else 5, f"text number {i} of many words", "en" if i % 2 else "fr") for i in range(6000)]
+    rows += [(9, "the same again", "en")] * 3000 + [(i, f"seltener text {i}", "de") for i in range(40)]
+    docs = spark.createDataFrame([*rows, (7, None, "en")], "doc_id long, text string, lang string")
+    sample = language.training_sample(docs, F.lit(True), 300).collect()
+    found = defaultdict(set)
+    for r in sample:
+        found[r["lang"]].add(r["text"])
+    assert sum(map(len, found.values())) == len(sample) < 450
+    assert len(found["de"]) == 40 and 50 < len(found["fr"]) < 150 and 20 < len(found["en"]) < 150
+
+
+def test_toxicity_sample_is_bounded_under_one_id(spark, monkeypatch):
+    from viewtide.llm import toxicity
+
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", 200)
+    bad = "A start. You are a blurgh and a gnarfle."
+    rows = [(i % 4 if i % 8 else 100 + i, f"{bad if i % 2 else 'A calm text here.'} Number {i}.") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [(i, i % 2) for i in range(4)] * 50 + [(100 + i, i % 2) for i in range(0, 4000, 8)], "doc_id long, toxic int")
+    kept, write = [], toxicity.written
+
+    def counted(frame, label):
+        table = write(frame, label)
+        kept.append((label, table.count()))
+        return table
+
+    monkeypatch.setattr(toxicity, "written", counted)
+    model = toxicity.train(docs, labels, F.lit(True))
+    assert all(n < 300 for label, n in kept if label == "toxic-sample")
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(docs.where("doc_id < 4"), model).collect()}
+    assert got[1] > 0.5 > got[2]
+
+
+def test_neighbours_do_not_depend_on_the_cluster(spark):
+    """Shards come from the rows; rows of one id and copies do not crowd one of them."""
+    from viewtide.llm import neighbours
+
+    rng = np.random.default_rng(4)
+    rows = [(i if i % 3 else 7, rng.normal(size=6).tolist()) for i in range(900)] + [(8, [1.0] * 6)] * 700
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ready = neighbours.usable(frame)
+    held = neighbours.build_index(ready, 4, 5).collect()
+    import pickle
+
+    sizes = [len(pickle.loads(r["tree"]).units) for r in held]
+    assert len(sizes) == 4 and max(sizes) < 300 and sum(sizes) == 901
+    asks = F.col("vec_id") % 50 == 0
+    answers = [sorted(map(tuple, neighbours.nearest(f, asks).collect())) for f in (frame, frame.repartition(7))]
+    assert answers[0] == answers[1] and answers[0]

@@ -6,8 +6,9 @@ codeword costs least under the logistic loss, each bit weighted by how well it d
 training documents. With up to six languages the code is exhaustive (every way to part
 them once); beyond that, seeded random codewords far from each other.
 
-The classifiers are fitted on a sample bounded by ``SAMPLE_ROWS``, drawn by hash of the id
-to about as many documents of each language; every document is then scored whole.
+The classifiers are fitted on a sample bounded by ``SAMPLE_ROWS`` (in expectation), drawn by
+hash of id and text to about as many documents of each language, copies counted once, so
+that no id, however many rows have it, goes in or out as one; every document is then scored whole.
 
 Defined results
     NULL text or a text without any letter: ``und``, score 0. No labelled document: all
@@ -28,7 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewtide.llm import kernels
-from viewtide.llm.tables import crc_of_id, only, table
+from viewtide.llm.tables import crc_of_id, only, table, written
+from viewtide.operators.lookup import lookup
 
 DIMS = 4096
 SAMPLE_ROWS = 3000
@@ -119,15 +121,19 @@ def fit(rows: np.ndarray, classes: np.ndarray, languages: list[str]) -> Model:
 
 
 def training_sample(docs: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """About ``rows`` documents in all, as many of each language, drawn by hash of the id."""
-    labelled = docs.where(learn & F.col("lang").isNotNull())
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return labelled
-    each = max(1, rows // len(counts))
-    shares = [x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, each / n)))]
-    line = F.pmod(F.xxhash64(F.lit("language sample"), "doc_id"), F.lit(1_000_000)) / 1_000_000
-    return labelled.where(line < F.create_map(*shares)[F.col("lang")])
+    """text and lang of about ``rows`` different documents in all, as many of each language."""
+    labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn(
+        "_key", F.xxhash64(F.lit("language sample"), "doc_id", "text")
+    )
+    counts = written(labelled.groupBy("lang").agg(F.count("*").alias("_n")), "language-counts")
+    languages = counts.count()
+    if not languages:
+        return labelled.select("text", "lang")
+    each = max(1, rows // languages)
+    line = F.pmod("_key", F.lit(1_000_000)) / 1_000_000
+    drawn = lookup(labelled, counts, "lang").where(line < F.lit(each) / F.col("_n"))
+    # Copies are combined before the shuffle.
+    return drawn.groupBy("lang", "_key").agg(F.min("text").alias("text")).select("text", "lang")
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,7 +151,7 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> Model | None:
     """A model from a bounded sample of the documents under ``learn``; None without any."""
     known = only(docs, ["doc_id", "text", "lang"])
-    sample = training_sample(known, learn, rows).where("text IS NOT NULL").select("text", "lang")
+    sample = training_sample(known, learn, rows)
     got = sorted(map(tuple, sample.mapInArrow(kernels.lean(_sparse), "lang string, places binary, amounts binary").collect()))
     if not got:
         return None
