@@ -293,7 +293,7 @@ def patterns(n):
 
 
 def test_decontamination_masks_fit_beside_all_replaced_words():
-    assert sorted(decontamination.MASKS) == list(range(decontamination.LEAST_WORDS, decontamination.WINDOW + 1))
+    assert sorted(decontamination.MASKS) == list(range(1, decontamination.WINDOW + 1))
     for n, masks in decontamination.MASKS.items():
         laid = [{s + o for o in m} for m in masks for s in range(n - m[-1])]
         assert all(any(not seen & set(p) for seen in laid) for p in patterns(n))
@@ -343,6 +343,24 @@ def test_decontamination_against_all_alignments(spark):
     assert len(want) > 40
 
 
+def test_decontamination_short_and_long_items(spark):
+    """Items of few words on demand, a long one whose words are not written with each seed,
+    and items of the same words."""
+    rng = random.Random(4)
+    long_one = " ".join(f"v{rng.randrange(4000)}" for _ in range(3000))
+    items = spark.createDataFrame(
+        [(1, "one"), (2, "two words"), (3, "now three words"), (4, "and these are four"),
+         (5, long_one), (6, long_one), (None, "one"), (8, "")], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, "One, not more"), (2, "here two words"), (3, "now three other words"), (4, "and these are four"),
+         (5, " ".join(long_one.split()[1500:1520])), (6, None)], "doc_id long, text string")
+    pairs = lambda n: {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(docs, items, n).collect()}
+    assert pairs(5) == {(5, 5), (5, 6)}
+    assert pairs(1) == {(1, 1), (1, None), (2, 2), (4, 4), (5, 5), (5, 6)}
+    seeds, _ = decontamination.benchmark_seeds(decontamination.benchmark_words(items).dropDuplicates(["_item"]))
+    assert seeds.columns == ["_item", "item_at", "seed"] and seeds.count() < 3000 * 3
+
+
 def test_licenses(awkward, no_documents):
     got = by_id(licenses.scan(awkward), "n_words", "n_base", "first_word", "last_word",
                 "base_labels", "labels", "score")

@@ -10,11 +10,12 @@ least ``SIMILAR`` of its words equal.
 
 Words are runs of letters and digits in lower case. Only DataFrame functions run, and
 texts are never shuffled: hashes are made and looked up where a document is read, and what
-travels is a row for each alignment.
+travels is a row for each alignment. Items with the same words are one until the end.
 
 Defined results
-    NULL or empty texts have no words and no overlaps. Items of fewer than five words are
-    not looked for.
+    NULL or empty texts have no words and no overlaps. Items of fewer words than the
+    parameter ``least_words`` says are not looked for: 5 by default, since shorter ones stand
+    in clean documents by chance; 1 looks for all, those under 5 words exactly.
     Repeated items each give rows; repeated documents each give rows (one for each doc_id
     and text). Empty tables: no rows. Extra columns are not read; NULL ids stay NULL.
 """
@@ -31,6 +32,10 @@ from viewtide.operators.lookup import fits_broadcast
 # window of a longer one. Found by search and proven by enumeration in the tests: of each
 # way to replace as many words as SIMILAR allows, a mask laid somewhere meets none.
 MASKS = {
+    1: ((0,),),
+    2: ((0, 1),),
+    3: ((0, 1, 2),),
+    4: ((0, 1, 2, 3),),
     5: ((0, 1, 2, 3), (0, 2, 3, 4), (0, 1, 3, 4), (0, 1, 2, 4)),
     6: ((0, 1, 2, 3), (0, 1, 3, 4)),
     7: ((0, 1, 2, 3, 4), (0, 1, 3, 4, 5), (0, 1, 2, 3, 5)),
@@ -79,23 +84,28 @@ def _seeds(df: DataFrame, masks: list[tuple[int, ...]], *keep: str) -> DataFrame
     )
 
 
-def benchmark_seeds(items: DataFrame) -> tuple[DataFrame, list[tuple[int, ...]]]:
-    """Seeds of all items, and the masks in use: those of the lengths that occur."""
-    worded = written(
+def benchmark_words(items: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """item_id, _item (tells the words apart), words and _length (of the window)."""
+    return written(
         only(items, ["item_id", "text"]).select("item_id", words().alias("words"))
-        .where(F.size("words") >= LEAST_WORDS),
+        .where(F.size("words") >= F.lit(max(least_words, 1)))
+        .withColumn("_item", F.xxhash64("words"))
+        .withColumn("_length", F.least(F.size("words"), F.lit(WINDOW))),
         "bench-words",
     )
-    length = F.least(F.size("words"), F.lit(WINDOW))
+
+
+def benchmark_seeds(contents: DataFrame) -> tuple[DataFrame, list[tuple[int, ...]]]:
+    """Seeds of the items, and the masks in use: those of the lengths that occur."""
     # At most a row for each entry of MASKS.
-    lengths = [r["n"] for r in worded.groupBy(length.alias("n")).count().collect()]
+    lengths = [r["_length"] for r in contents.select("_length").distinct().collect()]
     masks = sorted({m for n in lengths for m in MASKS[n]}) or [MASKS[WINDOW][0]]
-    seeds = _seeds(worded.withColumn("_length", length), masks, "item_id", "words", "_length")
+    seeds = _seeds(contents, masks, "_item", "_length")
     wanted = F.lit(False)
     for n in lengths:
         own = [masks.index(m) for m in MASKS[n]]
         wanted = wanted | ((F.col("_length") == n) & F.col("mask").isin(own))
-    return seeds.where(wanted).select("item_id", "words", F.col("at").alias("item_at"), "seed"), masks
+    return seeds.where(wanted).select("_item", F.col("at").alias("item_at"), "seed"), masks
 
 
 def _document_key() -> list[Column]:
@@ -106,25 +116,19 @@ def _document_key() -> list[Column]:
     ]
 
 
-def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """A row for each document and item that overlap, at their best alignment.
-
-    _id, _text (the document's key), doc_id, item_id, at_word (where the best window starts
-    in the document), window_words, equal_words, similarity.
-    """
-    seeds, masks = benchmark_seeds(items)
-    seeds = written(seeds, "bench-seeds")
-    seeds = seeds.withColumn("_item", F.xxhash64("words"))
-    lookup_side = seeds.select("item_id", "_item", "item_at", "seed").distinct()
-    lookup_side = sent(lookup_side)
-    # Items by content, so that alignments carry ids only.
-    texts = seeds.select("_item", F.col("words").alias("item_words")).distinct()
+def _found(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """A row for each document and ``_item`` of ``benchmark_words`` that overlap, at their best
+    alignment."""
+    contents = items.dropDuplicates(["_item"])
+    seeds, masks = benchmark_seeds(contents)
+    seeds = sent(written(seeds, "bench-seeds"))
+    texts = contents.select("_item", F.col("words").alias("item_words"))
 
     source = only(docs, ["doc_id", "text"])
     worded = source.select(*_document_key(), words().alias("words"))
-    hits = _seeds(worded, masks, "_id", "_text").join(lookup_side, "seed")
+    hits = _seeds(worded, masks, "_id", "_text").join(seeds, "seed")
     alignments = written(
-        hits.groupBy("_id", "_text", "item_id", "_item", (F.col("at") - F.col("item_at")).alias("shift"))
+        hits.groupBy("_id", "_text", "_item", (F.col("at") - F.col("item_at")).alias("shift"))
         .agg(F.count("*").alias("seeds")),
         "bench-alignments",
     )
@@ -161,7 +165,7 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
         pairs.withColumn("_equal", equal)
         .withColumn("_best", F.array_max(sums))
         .select(
-            "_id", "_text", "doc_id", "item_id", "shift",
+            "_id", "_text", "doc_id", "_item", "shift",
             window.cast("bigint").alias("window_words"),
             F.col("_best.n").cast("bigint").alias("equal_words"),
             (F.col("shift") - F.col("_best.s")).cast("bigint").alias("at_word"),
@@ -170,14 +174,23 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
         .where(F.col("similarity") >= SIMILAR)
     )
     best = F.max(F.struct("similarity", (-F.col("at_word")).alias("a"), "window_words", "equal_words"))
-    return scored.groupBy("_id", "_text", "doc_id", "item_id").agg(best.alias("b")).select(
-        "_id", "_text", "doc_id", "item_id", (-F.col("b.a")).alias("at_word"),
+    return scored.groupBy("_id", "_text", "doc_id", "_item").agg(best.alias("b")).select(
+        "_id", "_text", "doc_id", "_item", (-F.col("b.a")).alias("at_word"),
         "b.window_words", "b.equal_words", "b.similarity",
     )
 
 
-def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    return overlaps(docs, items).drop("_id", "_text")
+def contaminated(docs: DataFrame, items: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """A row for each document and item that overlap, at their best alignment.
+
+    doc_id, item_id, at_word (where the best window starts in the document), window_words,
+    equal_words, similarity.
+    """
+    worded = benchmark_words(items, least_words)
+    ids = sent(worded.select("_item", "item_id"))
+    return _found(docs, worded).join(ids, "_item").select(
+        "doc_id", "item_id", "at_word", "window_words", "equal_words", "similarity"
+    )
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,46 +199,45 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``docs`` without those that overlap a benchmark item."""
-    found = overlaps(docs, table(spark, sf_dir, "benchmark")).select("_id", "_text").distinct()
-    found = written(found, "bench-found")
+    items = benchmark_words(table(spark, sf_dir, "benchmark"))
+    found = written(_found(docs, items).select("_id", "_text").distinct(), "bench-found")
     found = sent(found)
     names = [F.col(f"`{n}`") for n in docs.columns]
     rows = docs.select(F.struct(*names).alias("_row"), *_document_key())
     return rows.join(found, ["_id", "_text"], "left_anti").select("_row.*")
 
 
+# Without seeds: words that are equal are counted by alignment, and every alignment with as many
+# as the window needs is looked at, window by window.
 ORACLE = r"""
 WITH d AS (
   SELECT DISTINCT doc_id, text AS key,
          list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
   FROM documents),
-b AS (
-  SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
-  FROM benchmark),
-bl AS (SELECT * FROM b WHERE len(w) >= 5),
-dp AS (SELECT doc_id, key, w, unnest(range(len(w))) AS i FROM d),
-bp AS (SELECT item_id, w, unnest(range(len(w))) AS i FROM bl),
-ds AS (
-  SELECT doc_id, key, i, 0 AS m, [w[i+1], w[i+2], w[i+3], w[i+6], w[i+7], w[i+9]]::VARCHAR AS s FROM dp WHERE i + 9 <= len(w)
-  UNION ALL SELECT doc_id, key, i, 1, [w[i+1], w[i+2], w[i+3], w[i+4], w[i+5], w[i+7]]::VARCHAR FROM dp WHERE i + 7 <= len(w)
-  UNION ALL SELECT doc_id, key, i, n, w[i+1:i+n]::VARCHAR FROM dp, (SELECT DISTINCT len(w) AS n FROM bl WHERE len(w) < 9) WHERE i + n <= len(w)),
-bs AS (
-  SELECT item_id, i, 0 AS m, [w[i+1], w[i+2], w[i+3], w[i+6], w[i+7], w[i+9]]::VARCHAR AS s FROM bp WHERE i + 9 <= len(w)
-  UNION ALL SELECT item_id, i, 1, [w[i+1], w[i+2], w[i+3], w[i+4], w[i+5], w[i+7]]::VARCHAR FROM bp WHERE i + 7 <= len(w) AND len(w) >= 9
-  UNION ALL SELECT item_id, 0, len(w), w::VARCHAR FROM bl WHERE len(w) < 9),
+dk AS (SELECT row_number() OVER () AS k, * FROM d),
+bl AS (
+  SELECT *, least(len(w), 15) AS size FROM (
+    SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w
+    FROM benchmark)
+  WHERE len(w) >= 5),
+dp AS (SELECT k, unnest(w) AS word, unnest(range(len(w))) AS i FROM dk),
+bp AS (SELECT item_id, size, unnest(w) AS word, unnest(range(len(w))) AS j FROM bl),
 al AS (
-  SELECT DISTINCT ds.doc_id, ds.key, bs.item_id, ds.i - bs.i AS shift
-  FROM ds JOIN bs ON ds.m = bs.m AND ds.s = bs.s),
-pos AS (
-  SELECT al.*, bl.w AS iw, d.w AS dw, unnest(range(len(bl.w) - least(len(bl.w), 15) + 1)) AS s
-  FROM al JOIN bl USING (item_id) JOIN d ON d.doc_id IS NOT DISTINCT FROM al.doc_id AND d.key IS NOT DISTINCT FROM al.key),
+  SELECT k, item_id, i - j AS shift FROM dp JOIN bp USING (word)
+  GROUP BY ALL HAVING count(*) >= ceil(0.8 * any_value(size))),
 win AS (
-  SELECT doc_id, key, item_id, (shift + s)::BIGINT AS at_word, least(len(iw), 15)::BIGINT AS window_words,
-         list_sum([CASE WHEN shift + s + k >= 0 AND dw[shift + s + k + 1] = iw[s + k + 1] THEN 1 ELSE 0 END
-                   FOR k IN range(least(len(iw), 15))])::BIGINT AS equal_words
-  FROM pos)
+  SELECT al.k, al.item_id, shift, bl.w AS iw, dk.w AS dw, size,
+         unnest(range(len(bl.w) - size + 1)) AS s
+  FROM al JOIN bl ON bl.item_id IS NOT DISTINCT FROM al.item_id JOIN dk ON dk.k = al.k),
+counted AS (
+  SELECT k, item_id, (shift + s)::BIGINT AS at_word, size::BIGINT AS window_words,
+         list_sum([CASE WHEN shift + s + n >= 0 AND dw[shift + s + n + 1] = iw[s + n + 1] THEN 1 ELSE 0 END
+                   FOR n IN range(size)])::BIGINT AS equal_words
+  FROM win),
+best AS (
+  SELECT * FROM counted WHERE equal_words / window_words >= 0.8
+  QUALIFY row_number() OVER (PARTITION BY k, item_id
+                             ORDER BY equal_words / window_words DESC, at_word, equal_words DESC) = 1)
 SELECT doc_id, item_id, at_word, window_words, equal_words, equal_words / window_words AS similarity
-FROM win WHERE equal_words / window_words >= 0.8
-QUALIFY row_number() OVER (PARTITION BY doc_id, key, item_id
-                           ORDER BY equal_words / window_words DESC, at_word, equal_words DESC) = 1
+FROM best JOIN dk USING (k)
 """
