@@ -241,8 +241,46 @@ def test_near_duplicates_against_all_pairs(spark, width):
         docs[i] = " ".join(words)
     df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
     want = brute_components(docs, width)
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates.find(df, width).collect()}
-    assert got == want
+    for exact in (False, True):
+        found = near_duplicates.find(df, width, exact).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == want
+
+
+def test_blocks_of_a_component_do_not_meet(spark, monkeypatch):
+    """Two components of several blocks and some documents beside them under one pivot."""
+    monkeypatch.setattr(near_duplicates, "BLOCK_ROWS", 4)
+    rows = [(0, i, 10, 1 if i < 20 else 20 if i < 30 else i) for i in range(1, 40)]
+    rows += [(50, i, 10, 51) for i in range(51, 90)]  # done: one component
+    members = spark.createDataFrame(rows, "pivot long, node long, n_shingles long, component long")
+    got = {r["component"]: r for r in near_duplicates._blocks(members).collect()}
+    assert set(got) == {1, 20, *range(30, 40)}
+    assert got[1]["own"] and got[1]["parts"] == 5 and got[20]["own"] and got[20]["parts"] == 3
+    assert {(r["own"], r["first"], r["parts"]) for c, r in got.items() if c >= 30} == {(False, 0, 3)}
+    assert {r["blocks"] for r in got.values()} == {11}
+    assert {got[1]["first"], got[20]["first"]} in ({3, 8}, {3, 6})
+
+
+def test_near_duplicates_in_many_blocks(spark, monkeypatch):
+    from test_corpus_queries import brute_components
+
+    monkeypatch.setattr(near_duplicates, "BLOCK_ROWS", 3)
+    rng = np.random.default_rng(8)
+    docs = {}
+    for i in range(120):
+        words = [f"b{j}" for j in range(60)]
+        for at in rng.integers(0, 60, (2, 5, 9, 12)[i % 4]):
+            words[at] = f"c{rng.integers(0, 4)}x{at}"
+        docs[i] = " ".join(words)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates.find(df, 2).collect()}
+    assert got == brute_components(docs, 2)
+
+
+def test_least_shared_values_reach_every_similar_set():
+    for n in range(1, 400):
+        kept = len(near_duplicates._least_shared(np.arange(n)))
+        # The others are too few to hold an overlap of 80 %.
+        assert 100 * (n - kept) < 80 * n <= 100 * (n - kept + 1)
 
 
 def test_language(awkward, no_documents):

@@ -16,11 +16,16 @@ its own sketch, and all runs of five of a longer one only with a probability of
 3.  Two members of a list have its pivot in common. So all members of a pivot's lists are
     compared with each other, in blocks inside tasks, as far as they lie in different
     components; only links that join two components leave a task. A link between two
-    documents of a list is found whoever its pivot was.
+    documents of a list is found whoever its pivot was. A component of more than a block has
+    blocks of its own, which do not meet each other.
 
 A group of thousands of copies thus costs a star and not all its pairs; members that do not
 reach the pivot travel once for each ``BLOCK_ROWS`` others of their group.
 
+``find(exact=True)`` leaves no chance: the lists are kept by each of the smallest fifth of a
+set's values, one of which two sets at 80 % must share, and there is no estimate. It is meant for
+smaller corpora, since the lists of common shingles are long.
+
 Defined results
     NULL texts and texts without words: empty set, linked with nothing, kept. Fewer words
     than a shingle: one shingle of all of them. Rows that repeat a doc_id are one document
@@ -47,8 +52,8 @@ SKETCH = 96
 # one has at least 80 % of the other's size have a length in common.
 RUNS = ((2, 4, 6), (3, 6, 20), (4, 16, 120), (5, 96, None))
 SIMILAR = (80, 100)
-# The estimate has a standard error of 0.04 at a similarity of 0.8: five of them.
-ESTIMATE = 0.6
+# The estimate has a standard error of 0.04 at a similarity of 0.8: seven of them.
+ESTIMATE = 0.5
 # A block has about so many documents and shingles, whichever is reached first.
 BLOCK_ROWS = 256
 BLOCK_SHINGLES = 250_000
@@ -92,7 +97,13 @@ def _longs(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
-def sketches(docs: DataFrame, width: int) -> DataFrame:
+def _least_shared(values: np.ndarray) -> np.ndarray:
+    """The smallest values, so many that a similar set has one of them among its own."""
+    n = len(values)
+    return values[: n + 1 + -n * SIMILAR[0] // SIMILAR[1]]
+
+
+def sketches(docs: DataFrame, width: int, exact: bool = False) -> DataFrame:
     """doc_id, n_shingles, signature and sketch (ascending as unsigned) of every row."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +114,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                     batch.column("doc_id")[first:end],
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_signature(s) for s in sets], pa.binary()),
-                    _longs([s[:SKETCH] for s in sets]),
+                    _longs([_least_shared(s) if exact else s[:SKETCH] for s in sets]),
                 ], ["doc_id", "n_shingles", "signature", "sketch"])
 
     kind = dict(docs.dtypes)["doc_id"]
@@ -126,25 +137,23 @@ def _runs() -> Column:
     return F.concat(*[of(*band) for band in RUNS])
 
 
-def inverted_lists(nodes: DataFrame) -> DataFrame:
-    """run, node, pivot (the first member) of all lists with more than one member."""
+def inverted_lists(nodes: DataFrame, exact: bool = False) -> DataFrame:
+    """node and pivot (the first member) of all lists with more than one member, each pair
+    once and without the pivots themselves."""
+    keys = F.col("sketch") if exact else _runs()
     # Sets of fewer than four shingles are similar to equal ones only.
-    rows = nodes.where("n_shingles >= 4").select("node", F.explode(_runs()).alias("run"))
-    members = Window.partitionBy("run")
-    return (
-        rows.withColumns({
-            "pivot": F.min("node").over(members), "_last": F.max("node").over(members),
-        })
-        .where("pivot <> _last").select("run", "node", "pivot")
-    )
+    rows = nodes.where("n_shingles >= 4").select("node", F.explode(keys).alias("run"))
+    heads = rows.groupBy("run").agg(F.min("node").alias("pivot"), F.max("node").alias("_last"))
+    heads = written(heads.where("pivot <> _last").select("run", "pivot"), "near-lists")
+    return rows.join(sent(heads), "run").where("node <> pivot").select("pivot", "node").distinct()
 
 
-def similar(x: np.ndarray, y: np.ndarray) -> bool:
+def similar(x: np.ndarray, y: np.ndarray, exact: bool = False) -> bool:
     """Two full sets: by size, by the estimate from the sketch of the union, exactly."""
     small, large = sorted((len(x), len(y)))
     if SIMILAR[1] * small < SIMILAR[0] * large:
         return False
-    if large > SKETCH:
+    if large > SKETCH and not exact:
         one, two = x[:SKETCH], y[:SKETCH]
         union = np.union1d(one, two)[:SKETCH]
         both = np.intersect1d(one, two, assume_unique=True)
@@ -158,14 +167,6 @@ def _set(value: pa.Scalar) -> np.ndarray:
     return np.frombuffer(value.as_buffer(), np.uint64)
 
 
-def _similar_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = [similar(_set(x), _set(y)) for x, y in zip(batch.column("left"), batch.column("right"))]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], ["a", "b"]
-        )
-
-
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """node, shingle set and its size of the documents whose ids are in ``ids`` (node)."""
 
@@ -186,13 +187,20 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return chosen.mapInArrow(kernels.lean(sets), f"node {kind}, shingles binary, n_shingles long")
 
 
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, sets: DataFrame, exact: bool = False) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets are similar."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column("left"), batch.column("right"))
+            keep = pa.array([similar(_set(x), _set(y), exact) for x, y in both], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
+
     kind = dict(pairs.dtypes)["a"]
     sets = sets.select("node", "shingles")
     joined = pairs.join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
     return joined.select("a", "b", "left", "right").mapInArrow(
-        kernels.lean(_similar_pairs), f"a {kind}, b {kind}"
+        kernels.lean(kept), f"a {kind}, b {kind}"
     ).distinct()
 
 
@@ -257,6 +265,30 @@ def _compare(group: pa.Table) -> pa.Table:
     })
 
 
+def _blocks(members: DataFrame) -> DataFrame:
+    """For each pivot and component of ``members``: own (whether it has blocks to itself, or else
+    shares those of all small ones), its first block, their number, and that of all the pivot's.
+
+    Pivots whose members all lie in one component are done and left out.
+    """
+    parts = lambda n, shingles: F.greatest(F.ceil(n / BLOCK_ROWS), F.ceil(shingles / BLOCK_SHINGLES))
+    kinds = members.groupBy("pivot", "component").agg(
+        F.count("*").alias("n"), F.sum("n_shingles").alias("s"), F.lit(1).alias("one")
+    ).withColumn("own", parts(F.col("n"), F.col("s")) > 1)
+    # A row for each component that fills a block, and one for the small ones.
+    shares = kinds.groupBy("pivot", F.when(F.col("own"), F.col("component")).alias("large")).agg(
+        parts(F.sum("n"), F.sum("s")).alias("parts"), F.sum("one").alias("kinds")
+    )
+    group = Window.partitionBy("pivot")
+    sofar = group.orderBy("large").rowsBetween(Window.unboundedPreceding, -1)
+    laid = shares.withColumns({
+        "first": F.coalesce(F.sum("parts").over(sofar), F.lit(0)),
+        "blocks": F.sum("parts").over(group), "_kinds": F.sum("kinds").over(group),
+    }).where("_kinds > 1").drop("kinds", "_kinds").withColumnRenamed("pivot", "_pivot")
+    same = (F.col("pivot") == F.col("_pivot")) & F.when(F.col("own"), F.col("component")).eqNullSafe(F.col("large"))
+    return kinds.join(laid, same).select("pivot", "component", "own", "first", "parts", "blocks")
+
+
 def _across(groups: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
     """Links between members of one group (pivot, node) that ``links`` do not yet join."""
     kind = dict(groups.dtypes)["node"]
@@ -265,17 +297,16 @@ def _across(groups: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
         .join(components(links), "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
-    # A group is done if all its members but the pivot lie in one component.
-    spans = members.groupBy("pivot").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high"),
-        F.greatest(
-            F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
-        ).cast("int").alias("blocks"),
-    ).where("_low <> _high")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    block = _blocks(members)
     placed = (
-        members.join(spans.select("pivot", "blocks"), "pivot").withColumn("block", block)
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        members.join(block, ["pivot", "component"])
+        .withColumn("block", F.col("first") + F.pmod(
+            F.when(F.col("own"), F.xxhash64("node")).otherwise(F.xxhash64("component")), F.col("parts")
+        ))
+        .withColumn("with", F.explode(F.filter(
+            F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1),
+            lambda b: ~F.col("own") | (b < F.col("first")) | (b >= F.col("first") + F.col("parts")),
+        )))
         .select(
             "pivot", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"),
             "block", "node", "component",
@@ -286,9 +317,9 @@ def _across(groups: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def find(docs: DataFrame, width: int = 5) -> DataFrame:
+def find(docs: DataFrame, width: int = 5, exact: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
-    sketched = written(sketches(docs, width), "near-sketches")
+    sketched = written(sketches(docs, width, exact), "near-sketches")
     usable = sketched.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = written(
         usable.groupBy("signature").agg(F.min("doc_id").alias("node")), "near-classes"
@@ -298,12 +329,13 @@ def find(docs: DataFrame, width: int = 5) -> DataFrame:
     nodes = usable.join(chosen, ["signature", "doc_id"], "left_semi").select(
         F.col("doc_id").alias("node"), "n_shingles", "sketch"
     )
-    lists = written(inverted_lists(nodes), "near-lists")
-    ids = written(lists.select("node").distinct(), "near-ids")
+    groups = written(inverted_lists(nodes, exact), "near-groups")
+    ids = written(
+        groups.select(F.explode(F.array("pivot", "node")).alias("node")).distinct(), "near-ids"
+    )
     sets = written(full_sets(docs, ids, width), "near-sets")
 
-    groups = written(lists.where("node <> pivot").select("pivot", "node").distinct(), "near-groups")
-    links = written(_links(groups.toDF("a", "b"), sets), "near-links")
+    links = written(_links(groups.toDF("a", "b"), sets, exact), "near-links")
     across = _across(groups, links, sets)
     labels = components(written(links.unionByName(across), "near-links"))
 
