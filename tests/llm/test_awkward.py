@@ -63,6 +63,19 @@ def test_crowded_anchors_give_the_same(awkward, monkeypatch):
     assert sorted(map(str, repeats.remove_repeats(awkward).collect())) == want
 
 
+def test_equal_rows_without_id_are_cut_once_a_task(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    shared, own = ("".join(map(chr, rng.integers(97, 123, 500))) for _ in range(2))
+    rows = [(None, shared + own)] * 600 + [(1, "x" + shared[:300] + "y" * 50), (2, own[100:] + "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    every = repeats._keyed(docs).select("text", "text_key", "id_key").mapInArrow(repeats._all_contexts, repeats._CONTEXT)
+    spots = every.groupBy("anchor", "whole").agg(
+        F.min(F.struct("text_key", "id_key", "begin", "strings", "place")).alias("spot"))
+    assert repeats._bytes_of(docs, spots).count() <= 3 * spots.count()
+    got = by_id(repeats.remove_repeats(docs), "n_bytes", "n_removed")
+    assert got[None] == [(1000, 1000)] * 600 and got[1] == [(351, 300)] and got[2] == [(401, 400)]
+
+
 def random_texts(seed):
     rng = np.random.default_rng(seed)
     pool = [bytes(rng.integers(97, 99 + seed % 3, 400, np.uint8)) for _ in range(3)]

@@ -203,11 +203,16 @@ _CONTEXT = ("anchor long, whole long, text_key long, id_key long, begin int, str
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of the wanted contexts of each text."""
+    """The bytes of the wanted contexts of each text; of equal rows in a task the first is cut."""
+    done: set[tuple[int, int]] = set()
     for batch in batches:
         data, at = kernels.text_bytes(batch.column("text"))
         data = memoryview(data)
-        for i, wanted in enumerate(batch.column("wanted")):
+        keys = zip(*(batch.column(c).to_pylist() for c in ("text_key", "id_key")))
+        for i, (key, wanted) in enumerate(zip(keys, batch.column("wanted"))):
+            if key in done:
+                continue
+            done.add(key)
             rows = wanted.values
             begin, strings = (rows.field(c).to_numpy() for c in ("begin", "strings"))
             pieces = [
@@ -222,6 +227,9 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _compare(group: pa.Table) -> pa.Table:
     """Covered bytes of the contexts of some anchors, as offsets in each context."""
+    # Equal rows of several tasks have brought the same contexts.
+    contexts_ = np.stack([group[c].to_numpy() for c in ("anchor", "whole")])
+    group = group.take(np.sort(np.unique(contexts_, axis=1, return_index=True)[1]))
     anchor, whole = (group[c].to_numpy() for c in ("anchor", "whole"))
     begin = REACH - group["place"].to_numpy().astype(np.int64)
     data, at = kernels.text_bytes(group["bytes"])
@@ -301,7 +309,7 @@ def _bytes_of(docs: DataFrame, contexts_: DataFrame) -> DataFrame:
     wanted = written(wanted, "repeat-wanted")
     n = wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0
     wanted = sent(wanted, 40 * n)  # its arrays hold n spots
-    return _keyed(docs).join(wanted, ["text_key", "id_key"]).select("text", "wanted").mapInArrow(
+    return _keyed(docs).join(wanted, ["text_key", "id_key"]).select("text_key", "id_key", "text", "wanted").mapInArrow(
         kernels.lean(_cut_out), "anchor long, whole long, place int, bytes binary"
     )
 
