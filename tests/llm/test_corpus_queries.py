@@ -71,6 +71,13 @@ def test_toxicity(spark, sf_dir, tables):
     assert len(got) == tables["documents"].count() and got.score.between(0, 1).all()
     assert ((got.score >= 0.5) == (got.predicted == 1)).all()
     assert all((zlib.crc32(str(d).encode()) % 5 == 0) == h for d, h in zip(got.doc_id, got.held_out))
+    # Held-out labels: how often a toxic document scores higher than another one.
+    both = got.merge(tables["labels"].select("doc_id", "toxic").toPandas(), on="doc_id")
+    held = both[both.held_out & both.toxic.notna()]
+    toxic, other = (held[held.toxic == x].score.to_numpy() for x in (1, 0))
+    assert len(toxic) and len(other)
+    higher = (toxic[:, None] > other).mean() + (toxic[:, None] == other).mean() / 2
+    assert higher > 0.95, (higher, len(toxic), len(other))
 
 
 def test_neighbours(spark, sf_dir, tables):
