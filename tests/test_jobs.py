@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from viewtide.operators import dims, facts, geo, merge, parse
 from viewtide.plans import health, load, partials, reports
 from viewtide.session import new_scratch, stateful_session
 from viewtide.sources.jdbc import JdbcDatabase, Split
-from viewtide.sources.messages import KafkaTopic, read_message_stream
+from viewtide.sources.messages import KafkaTopic, read_message_stream, read_messages, write_messages
 from viewtide.sources.ranges import read_ip_ranges
 from viewtide.sources.warehouse import Warehouse
 from viewtide.streaming import jobs, progress
@@ -278,6 +279,27 @@ def test_relay_keeps_every_byte(spark, messages_of):
     assert sorted(r["value"] for r in spark.read.text(target).collect()) == sorted(lines)
 
 
+def test_messages_are_written_compressed(spark, messages_of):
+    """In files that a task can read whole, and each line as it was."""
+    folder, target = new_scratch(spark, "in"), new_scratch(spark, "out")
+    lines = [view(n) for n in range(20_001)] + ["", "not json", '{"id":"é"}']
+    write_messages(messages_of(*lines).coalesce(1), folder)
+    files = sorted(Path(folder).glob("part-*"))
+    assert len(files) == 2 and all(f.name.endswith(".gz") for f in files)
+    assert sum(f.stat().st_size for f in files) < sum(map(len, lines)) / 4
+    assert sorted(r["value"] for r in read_messages(spark, folder).collect()) == sorted(lines)
+    jobs.start_relay(
+        read_message_stream(spark, folder), target, new_scratch(spark, "cp"), registry.AT_ONCE
+    ).awaitTermination()
+    assert sorted(r["value"] for r in read_messages(spark, target).collect()) == sorted(lines)
+
+
+def test_topics_are_compressed(spark, sf_dir):
+    topic = registry.write_topic(spark, sf_dir)
+    files = list(Path(topic).glob("*/part-*"))
+    assert files and all(f.name.endswith(".gz") for f in files)
+
+
 def test_raw_landing_keeps_rejects(spark, messages_of, warehouse):
     source = new_scratch(spark, "in")
     messages_of(view(1), "broken", view(2)).write.text(source)
