@@ -68,6 +68,28 @@ def test_replayed_and_overlapping_batches(messages_of, warehouse, locator, load_
     assert rows(warehouse.table("log_rejects")) == [("broken",)]
 
 
+def test_only_suspects_are_shuffled_whole(spark, messages_of):
+    """Rows without a copy pass as they lie; copies and known facts meet by the whole key."""
+    def of(*values):
+        return facts.fact_rows(parse.parse_logs(messages_of(*values)).withColumn("loc_info", place))
+
+    place = F.lit(None).cast("struct<location_id:string>")
+    batch = [view(n) for n in range(9)] + [view(3), view(4, ip="10.9.9.9", id="0")]
+    batch += [view(20, time_stamp=None), view(21, time_stamp=None, device_id="d0", product_id="2")]
+    made, known = of(*batch).persist(), facts.first_per_fact(of(view(5), view(30))).persist()
+    suspects = facts.suspect_hashes(made, known).persist()
+    # 3 and 4 come again, 5 is known, 20 and 21 have the same keys.
+    assert suspects.distinct().count() == 4
+    want = rows(merge.absent_rows(facts.first_per_fact(made), known, "fact_id"))
+    assert rows(facts.new_facts(made, known, suspects)) == want and len(want) == 9
+    # All hashes alike: the keys still decide.
+    everything = made.select(F.xxhash64("fact_id").alias("_hash"))
+    assert rows(facts.new_facts(made, known, everything)) == want
+    for limit in (0, 1 << 20):
+        with load._new_facts(made, known, limit) as new:
+            assert rows(new) == want
+
+
 def test_without_broadcast(spark, messages_of, warehouse, locator):
     far = geo.IpLocator(spark.createDataFrame(
         [(167772160, 167837695, "Chile", "CL", "R", None)], schemas.IP_RANGES), broadcast_bytes=0)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from viewtide import schemas
 from viewtide.functions import dates, keys
-from viewtide.operators import lookup
+from viewtide.operators import lookup, merge
 
 FACT_COLUMNS = list(schemas.TABLES["fact_product_views"])
 
@@ -68,6 +68,33 @@ def first_per_fact(rows: DataFrame) -> DataFrame:
     return first.select("fact_id", *[F.col(f"_first.{name}") for name in rest])
 
 
+def _hash() -> Column:
+    return F.xxhash64("fact_id").alias("_hash")
+
+
+def suspect_hashes(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """The 64-bit hashes ``_hash`` that the fact keys of several rows have, or of a row and a
+    known fact: copies, or chance. Only hashes and counts are shuffled."""
+    own = rows.select(_hash())
+    repeated = own.groupBy("_hash").count().where(F.col("count") > 1).select("_hash")
+    return repeated.unionByName(merge.held_keys(known.select(_hash()), own))
+
+
+def new_facts(rows: DataFrame, known: DataFrame, suspects: DataFrame) -> DataFrame:
+    """The first copy of each fact that is not known, of rows that are cheap to read twice.
+
+    A row without one of the ``suspects`` (see ``suspect_hashes``; they are broadcast) has no
+    copy and is not known, so it passes as it lies; only the others are sorted and shuffled.
+    """
+
+    def of(frame: DataFrame, how: str) -> DataFrame:
+        return frame.select("*", _hash()).join(F.broadcast(suspects), "_hash", how)
+
+    copies = first_per_fact(of(rows, "left_semi"))
+    absent = merge.absent_rows(copies, of(known, "left_semi"), "fact_id")
+    return of(rows, "left_anti").select(*FACT_COLUMNS).unionByName(absent)
+
+
 def fact_product_views(
     located: DataFrame, collections: Sequence[str] | None = None
 ) -> DataFrame:

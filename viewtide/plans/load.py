@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from viewtide import schemas
 from viewtide.functions import dates
-from viewtide.operators import dims, facts, merge, parse
+from viewtide.operators import dims, facts, lookup, merge, parse
 from viewtide.operators.geo import IpLocator
 from viewtide.plans import partials
 from viewtide.session import new_scratch
@@ -87,8 +87,23 @@ def merge_dimension(warehouse: Warehouse, table: str, logs: DataFrame, batch_id:
     warehouse.write_batch(table, merge.absent_rows(rows, known, key), batch_id)
 
 
+@contextmanager
+def _new_facts(rows: DataFrame, known: DataFrame, broadcast_bytes: int) -> Iterator[DataFrame]:
+    """The first copies of the facts that are not known yet; the rows are kept or written."""
+    with _persisted(facts.suspect_hashes(rows, known)) as suspects:
+        if lookup.fits_broadcast(suspects, broadcast_bytes):
+            yield facts.new_facts(rows, known, suspects)
+        else:
+            held = merge.held_keys(known, rows.select("fact_id"))
+            yield merge.absent_rows(facts.first_per_fact(rows), held, "fact_id")
+
+
 def _merge_batch(
-    warehouse: Warehouse, staged: DataFrame, batch_id: int, survey: Survey
+    warehouse: Warehouse,
+    staged: DataFrame,
+    batch_id: int,
+    survey: Survey,
+    broadcast_bytes: int = lookup.BROADCAST_BYTES,
 ) -> None:
     """Rejects and dimensions side by side, then the fact that refers to them."""
     rejects = staged.where(~F.col("accepted")).select("value")
@@ -105,9 +120,8 @@ def _merge_batch(
     rows = facts.fact_rows(logs)
     # A fact key contains its date, so no other day can hold the same key.
     known = warehouse.before("fact_product_views", batch_id, survey.days)
-    held = merge.held_keys(known, rows.select("fact_id"))
-    new = merge.absent_rows(facts.first_per_fact(rows), held, "fact_id")
-    warehouse.write_batch("fact_product_views", new, batch_id)
+    with _new_facts(rows, known, broadcast_bytes) as new:
+        warehouse.write_batch("fact_product_views", new, batch_id)
     partials.write_partials(warehouse, batch_id, survey.days)
 
 
