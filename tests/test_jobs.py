@@ -68,6 +68,12 @@ def test_replayed_and_overlapping_batches(messages_of, warehouse, locator, load_
     assert rows(warehouse.table("log_rejects")) == [("broken",)]
 
 
+def test_tables_are_written_in_zstd(spark, messages_of, warehouse):
+    load.land_micro_batch(warehouse, messages_of(view(1), "broken"), 0)
+    files = list(Path(warehouse.path("user_log_raw")).glob("run=0/part-*"))
+    assert files and all(".zstd." in f.name for f in files)
+
+
 def test_only_suspects_are_shuffled_whole(spark, messages_of):
     """Rows without a copy pass as they lie; copies and known facts meet by the whole key."""
     def of(*values):

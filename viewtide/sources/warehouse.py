@@ -163,7 +163,9 @@ class Warehouse:
             keys = [PARTITIONS[table], "run"]
             # Few files per day, with large days split over several tasks.
             rows = rows.hint("rebalance", keys[0])
+        # Keys are hex digits, which the default codec stores a byte each.
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = writer.option("compression", "zstd")
         writer.partitionBy(*keys).parquet(self.path(table))
 
     def write_batch(self, table: str, rows: DataFrame, batch_id: int) -> None:
