@@ -17,7 +17,7 @@ from viewtide.functions import dates
 from viewtide.operators import dims, facts, lookup, merge, parse
 from viewtide.operators.geo import IpLocator
 from viewtide.plans import partials
-from viewtide.session import new_scratch
+from viewtide.session import written
 from viewtide.sources.warehouse import BUCKETED, Warehouse
 
 STAGED = [
@@ -34,18 +34,6 @@ def _locate(parsed: DataFrame, locator: IpLocator) -> DataFrame:
     return located.select(*[text if name == "value" else name for name in STAGED])
 
 
-@contextmanager
-def _written(rows: DataFrame, label: str) -> Iterator[DataFrame]:
-    """The rows as a table of their own in the shared folder, emptied afterwards."""
-    spark = rows.sparkSession
-    path = new_scratch(spark, label)
-    try:
-        rows.write.parquet(path)
-        yield spark.read.schema(rows.schema).parquet(path)
-    finally:
-        spark.range(0).write.mode("overwrite").parquet(path)
-
-
 @contextmanager
 def _persisted(rows: DataFrame) -> Iterator[DataFrame]:
     """The rows kept on the executors, memory first, and released afterwards."""
@@ -139,8 +127,8 @@ def load_table_batch(
         parsed = parse.parse_messages(messages)
         if not locator.broadcasts:
             # The addresses are then read more than once.
-            parsed = tables.enter_context(_written(parsed, "parsed"))
-        staged = tables.enter_context(_written(_locate(parsed, locator), "staged"))
+            parsed = tables.enter_context(written(parsed, "parsed"))
+        staged = tables.enter_context(written(_locate(parsed, locator), "staged"))
         survey = _survey(staged)
         _merge_batch(warehouse, staged, batch_id, survey)
         return survey.rows

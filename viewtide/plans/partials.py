@@ -4,8 +4,8 @@ When a batch has written its new facts, it counts them by what the reports group
 writes these counts beside them, under its own run: a repeated batch replaces its counts,
 and since a fact is new in one batch only, the sums over all batches are those of the
 fact. Attributes of customers and places are taken when they are counted; a dimension row
-never changes. Distinct customers do not add up, so each hour keeps a sketch of them, which
-unions do.
+never changes. Distinct customers do not add up, so each hour keeps its customers themselves,
+a row for each, and the reports count them exactly.
 
 A day's counts lie in that day's folder; ``part`` tells which grouping a row belongs to.
 """
@@ -19,31 +19,29 @@ from pyspark.sql import functions as F
 
 from viewtide.plans import reports
 from viewtide.plans.reports import Day
+from viewtide.session import written
 from viewtide.sources.warehouse import Warehouse
 
 LABELS = ["view_hour", "product_id", "store_id", "country_name", "user_agent", "referrer_url"]
-# A sketch of 2**14 registers is exact to some 1,500 customers; beyond, its standard error
-# is 0.8 %.
-SKETCH_BITS = 14
 
 
 def _filed(part: str, counts: DataFrame) -> DataFrame:
     """Counts of one grouping as rows of the common table."""
     have = set(counts.columns)
     labels = [F.col(n) if n in have else F.lit(None).alias(n) for n in LABELS]
-    sketch = F.col("customers") if "customers" in have else F.lit(None).cast("binary")
-    return counts.select(F.lit(part).alias("part"), "date_id", *labels, "views", sketch.alias("customers"))
+    customer = F.col("customer_id") if part == "customers" else F.lit(None).cast("string").alias("customer_id")
+    return counts.select(F.lit(part).alias("part"), "date_id", *labels, "views", customer)
 
 
-def partial_rows(facts: DataFrame, places: DataFrame, customers: DataFrame) -> DataFrame:
-    """The counts of dated views (of one batch), by hour and product, by store and country,
-    by hour and user agent, by referrer, and by hour with a sketch of the customers.
+def counts_per_key(facts: DataFrame) -> DataFrame:
+    """Dated views (of one batch) counted by all keys of the reports at once, combined before
+    the shuffle.
 
-    One pass groups by all keys at once, combined before the shuffle; the dimensions meet
-    counts per key.
+    Written, this is one pass over the views. Read as it is, a filter on one of the groupings
+    goes below the count, and each of them makes a pass of its own.
     """
     dated = facts.where(F.col("date_id").isNotNull()).withColumn("view_hour", F.hour("time_stamp"))
-    keyed = dated.sparkSession.sql(
+    return dated.sparkSession.sql(
         """SELECT date_id, view_hour, product_id, store_id, location_id, customer_id, referrer_url,
           count(*) AS views,
           grouping(product_id) AS no_product, grouping(location_id) AS no_place,
@@ -54,6 +52,14 @@ def partial_rows(facts: DataFrame, places: DataFrame, customers: DataFrame) -> D
         views=dated,
     )
 
+
+def partial_rows(keyed: DataFrame, places: DataFrame, customers: DataFrame) -> DataFrame:
+    """The rows to keep of ``counts_per_key``: by hour and product, by store and country, by
+    hour and user agent, by referrer, and by hour and customer.
+
+    The dimensions meet counts per key.
+    """
+
     def of(flag: str) -> DataFrame:
         return keyed.where(F.col(flag) == 0)
 
@@ -66,15 +72,12 @@ def partial_rows(facts: DataFrame, places: DataFrame, customers: DataFrame) -> D
     known = of("no_customer").where("customer_id IS NOT NULL").join(
         customers.select("customer_id", "user_agent"), "customer_id"
     )
-    sketched = dated.groupBy("date_id", "view_hour").agg(
-        F.count("*").alias("views"), F.hll_sketch_agg("customer_id", SKETCH_BITS).alias("customers")
-    )
     filed = [
         _filed("product", of("no_product").drop("store_id", "referrer_url")),
         _filed("place", summed(located, "store_id", "country_name")),
         _filed("agent", summed(known, "view_hour", "user_agent")),
         _filed("referrer", of("no_referrer").drop("view_hour", "product_id", "store_id")),
-        _filed("customers", sketched),
+        _filed("customers", of("no_customer").drop("product_id", "store_id", "referrer_url")),
     ]
     rows = filed[0]
     for more in filed[1:]:
@@ -86,8 +89,9 @@ def write_partials(warehouse: Warehouse, batch_id: int, days: Collection[int | N
     """Count what a batch has just written; its own files are all that is read of the fact."""
     dated = [day for day in days if day is not None]
     own = warehouse.with_runs("fact_product_views", dated).where(F.col("run") == batch_id)
-    rows = partial_rows(own, warehouse.table("dim_location"), warehouse.table("dim_customer"))
-    warehouse.write_batch("view_partials", rows, batch_id)
+    with written(counts_per_key(own), "counts") as keyed:
+        rows = partial_rows(keyed, warehouse.table("dim_location"), warehouse.table("dim_customer"))
+        warehouse.write_batch("view_partials", rows, batch_id)
 
 
 # -- reports -----------------------------------------------------------------------------
@@ -115,7 +119,8 @@ def top_countries(warehouse: Warehouse, as_of: Day = None, limit: int = 10) -> D
 
 
 def hourly_traffic(warehouse: Warehouse, as_of: Day = None) -> DataFrame:
-    return reports.hours_filled(_summed(counts_of_day(warehouse, "customers", as_of), "view_hour"))
+    # Any grouping by hour has all views; there are fewer products than customers.
+    return reports.hours_filled(_summed(counts_of_day(warehouse, "product", as_of), "view_hour"))
 
 
 def user_agents(warehouse: Warehouse, as_of: Day = None) -> DataFrame:
@@ -142,8 +147,9 @@ def browser_os_hourly(warehouse: Warehouse, as_of: Day = None) -> DataFrame:
 
 
 def distinct_customers() -> Column:
-    """An aggregate over partials: how many customers their sketches hold together."""
-    return F.hll_sketch_estimate(F.hll_union_agg("customers")).alias("customers")
+    """An aggregate over partials: how many customers they hold together, views without one
+    left out."""
+    return F.count_distinct("customer_id").alias("customers")
 
 
 def hourly_customers(warehouse: Warehouse, as_of: Day = None) -> DataFrame:

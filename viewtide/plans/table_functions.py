@@ -47,7 +47,7 @@ FUNCTIONS = {
         _top("product_id", "product", 10, "product_id IS NOT NULL"),
     ),
     "top_countries": ("as_of DATE", "country_name STRING, views BIGINT", _top("country_name", "place", 10)),
-    "hourly_traffic": ("as_of DATE", "view_hour INT, views BIGINT", _hours("customers")),
+    "hourly_traffic": ("as_of DATE", "view_hour INT, views BIGINT", _hours("product")),
     "user_agents": ("as_of DATE", "user_agent STRING, views BIGINT", _top("user_agent", "agent", None)),
     "top_referrers": ("as_of DATE", "referrer_url STRING, views BIGINT", _top("referrer_url", "referrer", 5)),
     "stores_by_country": (
@@ -65,7 +65,7 @@ FUNCTIONS = {
     ),
     "hourly_customers": (
         "as_of DATE", "view_hour INT, customers BIGINT",
-        f"""SELECT view_hour, hll_sketch_estimate(hll_union_agg(customers)) AS customers
+        f"""SELECT view_hour, count(DISTINCT customer_id) AS customers
           FROM {VIEW} WHERE {_DAY} AND part = 'customers' GROUP BY view_hour ORDER BY view_hour""",
     ),
 }
