@@ -96,6 +96,19 @@ def test_only_suspects_are_shuffled_whole(spark, messages_of):
             assert rows(new) == want
 
 
+def test_a_batch_loaded_again_sends_no_hashes_of_its_facts(spark):
+    """A million known facts: their hashes would fill the driver."""
+    fields = schemas.TABLES["fact_product_views"]
+    key = F.concat(F.lit("f"), F.col("id").cast("string")).alias("fact_id")
+    nulls = [F.lit(None).cast(kind).alias(name) for name, kind in fields.items() if name != "fact_id"]
+
+    def of(n):
+        return spark.range(n).select(F.col("id").cast("string").alias("_log_id"), key, *nulls)
+
+    with load._new_facts(of(1_000_100), of(1_000_000).select(*facts.FACT_COLUMNS)) as new:
+        assert "_hash" not in plan(new) and new.count() == 100
+
+
 def test_without_broadcast(spark, messages_of, warehouse, locator):
     far = geo.IpLocator(spark.createDataFrame(
         [(167772160, 167837695, "Chile", "CL", "R", None)], schemas.IP_RANGES), broadcast_bytes=0)

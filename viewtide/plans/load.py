@@ -25,6 +25,10 @@ STAGED = [
     "resolution", "email_address", "ip", "product_id", "store_id", "time_stamp",
     "user_agent", "loc_info", "accepted", "value",
 ]
+# Hashes of copies and known facts are broadcast only if they measure at most this, which is some
+# 800,000 of them: the driver holds the rows, their hash table and what it sends of it at once. A
+# batch that is loaded again has as many as facts.
+SUSPECT_BYTES = 32 * 1024 * 1024
 
 
 def _locate(parsed: DataFrame, locator: IpLocator) -> DataFrame:
@@ -76,7 +80,9 @@ def merge_dimension(warehouse: Warehouse, table: str, logs: DataFrame, batch_id:
 
 
 @contextmanager
-def _new_facts(rows: DataFrame, known: DataFrame, broadcast_bytes: int) -> Iterator[DataFrame]:
+def _new_facts(
+    rows: DataFrame, known: DataFrame, broadcast_bytes: int = SUSPECT_BYTES
+) -> Iterator[DataFrame]:
     """The first copies of the facts that are not known yet; the rows are kept or written."""
     with _persisted(facts.suspect_hashes(rows, known)) as suspects:
         if lookup.fits_broadcast(suspects, broadcast_bytes):
@@ -91,7 +97,7 @@ def _merge_batch(
     staged: DataFrame,
     batch_id: int,
     survey: Survey,
-    broadcast_bytes: int = lookup.BROADCAST_BYTES,
+    broadcast_bytes: int = SUSPECT_BYTES,
 ) -> None:
     """Rejects and dimensions side by side, then the fact that refers to them."""
     rejects = staged.where(~F.col("accepted")).select("value")
