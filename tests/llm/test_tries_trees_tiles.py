@@ -406,3 +406,23 @@ def test_neighbours_do_not_depend_on_the_cluster(spark):
     asks = F.col("vec_id") % 50 == 0
     answers = [sorted(map(tuple, neighbours.nearest(f, asks).collect())) for f in (frame, frame.repartition(7))]
     assert answers[0] == answers[1] and answers[0]
+
+
+def test_a_tree_comes_once_for_many_queries(spark, monkeypatch):
+    """Trees and queries meet in bounded groups; no join repeats a tree for each block."""
+    from viewtide.llm import neighbours
+
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=6 if i % 9 else 4).tolist()) for i in range(400)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+    def answers():
+        got = neighbours.nearest(frame, F.col("vec_id") % 2 == 0, factor=1.0, shards=3)
+        assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+        return sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in got.collect())
+
+    want = answers()
+    assert len(want) == 200 * 5
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(neighbours, "BLOCKS", 3)
+    assert answers() == want

@@ -9,7 +9,9 @@ farther from the query's own distance than its worst match so far holds nothing
 a chance to miss; 1 restores exact search. Distances are those of unit vectors, which
 order like the cosine; scores are cosines of the given vectors in double precision.
 
-Queries go in blocks against every shard, and each query keeps its best ``k`` of a shard.
+Queries go in blocks against every shard, and each query keeps its best ``k`` of a shard. A
+tree meets ``BLOCKS`` blocks at a time, so a task holds one tree and some 30,000 queries,
+however many there are.
 Equal vectors of a shard stand in its tree once, with their ``k + 1`` smallest ids: no
 answer can need more of them, however many copies there are.
 
@@ -23,7 +25,6 @@ Defined results
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,6 +39,7 @@ K = 5
 FACTOR = 0.25
 SHARD_ROWS = 8_192
 BLOCK_ROWS = 1_024
+BLOCKS = 32
 LEAF = 64
 _SLACK = 1e-9
 
@@ -216,28 +218,36 @@ def search_index(
     """query_id, rank, vec_id, score of the ``k`` nearest found for every query."""
     n = queries.count()
     blocks = max(1, -(-n // BLOCK_ROWS))
-    blocked = (
-        queries.groupBy("dims", F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).alias("block"))
-        .agg(F.collect_list(F.struct("vec_id", "embedding")).alias("queries"))
-        .withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
+    chunks = -(-blocks // BLOCKS)
+    every = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
+    block = F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).alias("block")
+    blocked = queries.groupBy("dims", block).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("queries"))
+    asked = blocked.select(
+        every(shards).alias("shard"), "dims", F.pmod("block", F.lit(chunks)).alias("chunk"),
+        F.lit(None).cast("binary").alias("tree"), "queries",
+    )
+    trees = index.select(
+        "shard", "dims", every(chunks).alias("chunk"), "tree",
+        F.lit(None).cast(asked.schema["queries"].dataType).alias("queries"),
+    )
+
+    def find(group: pa.Table) -> pa.Table:
+        got, names = [], ["query_id", "vec_id", "score"]
+        tree = group["tree"].drop_null()
+        if len(tree):  # else the shard has no vectors of this length
+            tree, dims = pickle.loads(tree[0].as_buffer()), group["dims"][0].as_py()
+            for chunk in group["queries"].drop_null().chunks:
+                for block in chunk:
+                    ids = block.values.field("vec_id").to_numpy().astype(np.int64)
+                    got.append(search(tree, ids, _matrix(block.values.field("embedding"), dims), k, factor))
+        if not got:
+            return pa.table({n: pa.array([], t) for n, t in zip(names, (pa.int64(), pa.int64(), pa.float64()))})
+        return pa.table({n: np.concatenate(x) for n, x in zip(names, zip(*got))})
+
+    # Side by side and not joined: a join would bring a copy of the tree with each block.
+    found = trees.unionByName(asked).groupBy("shard", "dims", "chunk").applyInArrow(
+        kernels.lean_group(find), "query_id long, vec_id long, score double"
     )
-    pairs = index.join(blocked, ["shard", "dims"]).select("shard", "dims", "tree", "queries")
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                key = (batch.column("shard")[i].as_py(), batch.column("dims")[i].as_py())
-                if last is None or last[0] != key:
-                    last = (key, pickle.loads(batch.column("tree")[i].as_buffer()))
-                asked = batch.column("queries")[i].values
-                ids = asked.field("vec_id").to_numpy().astype(np.int64)
-                got = search(last[1], ids, _matrix(asked.field("embedding"), key[1]), k, factor)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in got], ["query_id", "vec_id", "score"]
-                )
-
-    found = pairs.mapInArrow(kernels.lean(find, whole=True), "query_id long, vec_id long, score double")
     # At most k rows a query and shard come together here.
     ranked = found.distinct().groupBy("query_id").agg(
         F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("far"), "vec_id"))), 1, k).alias("top")
